@@ -163,22 +163,20 @@ def name_rows(df: DataFrame, keep: Sequence[str], name: str, second: str) -> Dat
     return typed_rows(df, keep, rows).filter(F.col("name").isNotNull())
 
 
+def _typed_emails(column: str, kind: str) -> Column:
+    """The valid addresses of one column as an array of (email_type, email)."""
+    listed = column == EMAIL_LIST_COLUMN
+    one = F.array(text.email_or_null(F.col(column)))
+    found = text.email_list(F.col(column)) if listed else one
+    return F.transform(
+        F.coalesce(found, F.array().cast("array<string>")),
+        lambda e: F.struct(F.lit(kind).alias("email_type"), e.alias("email")),
+    )
+
+
 def email_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """RSH6 + RSH7: single addresses and one comma-separated list to typed rows."""
-    entries = []
-    for c, kind in EMAIL_COLUMNS.items():
-        if c == EMAIL_LIST_COLUMN:
-            found = text.email_list(F.col(c))
-        else:
-            found = F.array(text.email_or_null(F.col(c)))
-        entries.append(
-            F.transform(
-                F.coalesce(found, F.array().cast("array<string>")),
-                lambda e, kind=kind: F.struct(
-                    F.lit(kind).alias("email_type"), e.alias("email")
-                ),
-            )
-        )
+    entries = [_typed_emails(c, kind) for c, kind in EMAIL_COLUMNS.items()]
     return df.select(*keep, F.inline(F.concat(*entries))).filter(F.col("email").isNotNull())
 
 

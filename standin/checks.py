@@ -1,5 +1,5 @@
 """Imports every module that registers checks."""
 
-from standin import scope_checks
+from standin import load_checks, plan_checks, record_checks, scope_checks
 
-MODULES = (scope_checks,)
+MODULES = (scope_checks, record_checks, load_checks, plan_checks)

@@ -55,7 +55,8 @@ def comma_number(x: str) -> str:
 
 
 def fold_name(x: str) -> str:
-    plain = f"strip_accents(upper({strip(x)}))"
+    # The rule upper-cases a sharp s to SS, DuckDB's upper to one capital letter.
+    plain = f"strip_accents(upper(replace({strip(x)}, 'ß', 'ss')))"
     kept = f"regexp_replace({plain}, '[^A-Z0-9 ]+', '', 'g')"
     return f"coalesce(trim(regexp_replace({kept}, ' +', ' ', 'g')), '')"
 
