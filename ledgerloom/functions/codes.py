@@ -67,13 +67,14 @@ CLOSED_STATUSES = (0, 11)
 MAX_INT = 2147483647
 WEEKS_PER_MONTH = 4.0
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Characters of a decimal number; a cast alone would also take suffixes, hex digits and words.
+_NUMBER_CHARACTERS = "0123456789+-.eE"
 
 
 def to_number(c: Column) -> Column:
     """Text with a decimal point to double; anything else is null."""
     s = strip(c.cast("string"))
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
+    return F.when(F.btrim(s, F.lit(_NUMBER_CHARACTERS)) == "", s.try_cast("double"))
 
 
 def to_decimal_comma(c: Column) -> Column:
@@ -86,17 +87,14 @@ def safe_int(c: Column, default: int | None) -> Column:
     return F.coalesce(strip(c.cast("string")).try_cast("int"), F.lit(default).cast("int"))
 
 
-def hour_rate(price: Column, frequency: Column, hours: Column, strict: bool = False) -> Column:
+def hour_rate(price: Column, frequency: Column, hours: Column) -> Column:
     """NUM1: price over the monthly hours, two decimals, 0 when there are no hours.
 
-    Decimal commas are read in every input. ``strict`` reads them as 0, the way the rate formula
-    of the source system does. The quotient is fixed to ten decimals and rounded half to even.
+    ``frequency`` and ``hours`` are numbers. The quotient is fixed to ten decimals and rounded
+    half to even.
     """
-    parse = to_number if strict else to_decimal_comma
     monthly = (
-        F.coalesce(parse(frequency), F.lit(0.0))
-        * F.coalesce(parse(hours), F.lit(0.0))
-        * F.lit(WEEKS_PER_MONTH)
+        F.coalesce(frequency, F.lit(0.0)) * F.coalesce(hours, F.lit(0.0)) * F.lit(WEEKS_PER_MONTH)
     )
     quotient = F.try_divide(F.coalesce(price.cast("double"), F.lit(0.0)), monthly)
     rounded = F.bround(quotient.cast("decimal(38,10)"), 2).cast("decimal(18,2)")
@@ -108,25 +106,21 @@ def rate_key(rate: Column) -> Column:
     return F.coalesce(rate.cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
 
 
-def frequency_label(c: Column) -> Column:
+def frequency_label(number: Column) -> Column:
     """NUM4: label of the exact number, else of the number rounded half to even, else ''."""
-    x = to_number(c)
     labels = literal_map(FREQUENCY_LABELS)
-    return F.coalesce(labels[x], labels[F.bround(x)], F.lit(""))
+    return F.coalesce(labels[number], labels[F.bround(number)], F.lit(""))
 
 
-def frequency_key(c: Column) -> Column:
+def frequency_key(c: Column, number: Column) -> Column:
     """NUM5: integers without decimals, other numbers as they are, other text unchanged."""
-    x = to_number(c)
-    whole = F.when(x == F.floor(x), x.cast("bigint").cast("string"))
-    return F.coalesce(whole, x.cast("string"), c.cast("string"), F.lit(""))
+    whole = F.when(number == F.floor(number), number.cast("bigint").cast("string"))
+    return F.coalesce(whole, number.cast("string"), c.cast("string"), F.lit(""))
 
 
-def hours_key(c: Column) -> Column:
+def hours_key(c: Column, number: Column) -> Column:
     """Hours as key text: a double, 0.0 when missing, '' when the text is no number."""
-    return F.when(c.isNull(), "0.0").otherwise(
-        F.coalesce(to_decimal_comma(c).cast("string"), F.lit(""))
-    )
+    return F.when(c.isNull(), "0.0").otherwise(F.coalesce(number.cast("string"), F.lit("")))
 
 
 def frequency_texts(label: Column) -> Column:

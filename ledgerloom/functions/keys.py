@@ -19,9 +19,10 @@ def surrogate_key(entity: str, *parts: Column) -> Column:
     recomputed and no key has to be read back from the target.
     """
     text = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    h = F.md5(F.concat_ws("|", F.lit(entity), *text))
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(h, start, length) for start, length in cuts])
+    key = F.md5(F.concat_ws("|", F.lit(entity), *text))
+    for dash in (9, 14, 19, 24):
+        key = F.overlay(key, F.lit("-"), dash, 0)
+    return key
 
 
 def merge_key(tax_id: Column, record_id: Column) -> Column:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
@@ -205,13 +205,12 @@ def active_rows(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def exact_matches(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """FIL11: lines equal to a wanted scenario, two missing notice dates being equal."""
+    """FIL11: lines equal to a wanted scenario, two missing notice dates being equal.
+
+    ``lines`` carry ``hours_number`` and ``rate``; ``wanted`` the six columns compared.
+    """
     keyed = lines.withColumns(
-        {
-            "hours_number": codes.to_decimal_comma(F.col("hours")),
-            "start_day": F.to_date("start_at"),
-            "notice_day": F.to_date("notice_at"),
-        }
+        {"start_day": F.to_date("start_at"), "notice_day": F.to_date("notice_at")}
     )
     w, k = wanted.alias("w"), keyed.alias("k")
     same = (
@@ -225,14 +224,14 @@ def exact_matches(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return k.join(w, same, "left_semi")
 
 
-def near_matches(lines: DataFrame, contract_id: int, frequency: str, start_day: str) -> DataFrame:
-    """FIL12: the first ten lines of a contract with the same frequency and start day."""
-    return (
-        lines.filter(
-            (F.col("contract_id") == contract_id)
-            & (F.col("frequency") == frequency)
-            & (F.to_date("start_at") == F.lit(start_day).cast("date"))
-        )
-        .orderBy(*[F.col(c) for c in ["line_id", *lines.columns]])
-        .limit(10)
-    )
+def near_matches(lines: DataFrame, wanted: DataFrame, n: int = 10) -> DataFrame:
+    """FIL12: per wanted (contract, frequency, start day) the first ``n`` lines by line id.
+
+    The rank is cut before the shuffle, so each map task sends at most ``n`` rows per key.
+    """
+    keys = ["contract_id", "frequency", "start_day"]
+    keyed = lines.withColumn("start_day", F.to_date("start_at"))
+    near = match.within(keyed, wanted.select(*keys).distinct(), keys)
+    order = Window.partitionBy(*keys).orderBy("line_id", *[F.col(c) for c in lines.columns])
+    ranked = near.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")

@@ -126,16 +126,32 @@ def load_promoter_tasks(existing: DataFrame | None, incoming: DataFrame) -> Data
     return incoming if existing is None else load.append_new(existing, incoming, ["name"])
 
 
-def line_rate(strict: bool = False) -> Column:
-    return codes.hour_rate(F.col("price"), F.col("frequency"), F.col("hours"), strict)
+def with_line_numbers(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Frequency and hours text as numbers, parsed once for every column that needs them.
+
+    Decimal commas are read. ``strict`` reads them as no number, the way the rate formula of the
+    source system does.
+    """
+    parse = codes.to_number if strict else codes.to_decimal_comma
+    return df.withColumns(
+        {
+            "frequency_number": parse(F.col("frequency")),
+            "hours_number": parse(F.col("hours")),
+        }
+    )
+
+
+def line_rate() -> Column:
+    """NUM1 over the columns of ``with_line_numbers``."""
+    return codes.hour_rate(F.col("price"), F.col("frequency_number"), F.col("hours_number"))
 
 
-def scenario_key_columns(strict: bool = False) -> dict[str, Column]:
+def scenario_key_columns() -> dict[str, Column]:
     """JOI5: the normalised frequency, hours and rate of a line or scenario."""
     return {
-        "frequency_key": codes.frequency_key(F.col("frequency")),
-        "hours_key": codes.hours_key(F.col("hours")),
-        "rate_key": codes.rate_key(line_rate(strict)),
+        "frequency_key": codes.frequency_key(F.col("frequency"), F.col("frequency_number")),
+        "hours_key": codes.hours_key(F.col("hours"), F.col("hours_number")),
+        "rate_key": codes.rate_key(line_rate()),
     }
 
 
@@ -147,13 +163,13 @@ def distinct_scenarios(lines: DataFrame, strict: bool = False) -> DataFrame:
     first = match.first_per_key(
         rolled, ["contract_id", "frequency", "hours", "price"], []
     ).withColumnRenamed("contract_id", "contract_legacy_id")
-    return first.withColumns(
+    return with_line_numbers(first, strict).withColumns(
         {
             "scenario_id": keys.surrogate_key(
                 "scenario", F.col("contract_legacy_id"), F.col("frequency"), F.col("hours"),
                 F.col("price"),
             ),
-            **scenario_key_columns(strict),
+            **scenario_key_columns(),
         }
     )
 
@@ -180,19 +196,17 @@ def keyed_scenarios(
         F.col("id").alias("promoter_task_id"), F.col("name").alias("_task")
     )
     tasked = billed.withColumn("_task", text.task_name(F.col("task_name"))).join(tasks, "_task")
-    hours = codes.to_decimal_comma(F.col("hours"))
     created = dates.first_timestamp(run_ts, F.col("line_created_at"))
     return tasked.withColumns(
         {
             "id": F.col("scenario_id"),
             "legacy_id": F.lit(0),
-            "frequency_label": codes.frequency_label(F.col("frequency")),
-            "hours_number": hours,
+            "frequency_label": codes.frequency_label(F.col("frequency_number")),
             "hour_value": F.col("rate_key"),
             "start_date": dates.first_day(run_ts, F.col("start_day"), F.col("line_created_at")),
             "end_date": F.col("notice_day"),
             "scenario_status": codes.scenario_status(F.col("status")),
-            "expected_amount": codes.expected_amount(hours, F.col("rate_key")),
+            "expected_amount": codes.expected_amount(F.col("hours_number"), F.col("rate_key")),
             "created_at": created,
             "updated_at": F.coalesce(F.col("line_updated_at"), created),
         }
@@ -219,7 +233,8 @@ def scenario_key_map(keyed: DataFrame) -> DataFrame:
 def keyed_lines(lines: DataFrame, params: ScopeParams, strict: bool = False) -> DataFrame:
     """Lines in scope with the scenario key columns."""
     scoped = in_scope(lines, params).filter(F.col("customer_id").isNotNull())
-    return sample(scoped, params, "line_id").withColumns(scenario_key_columns(strict))
+    numbered = with_line_numbers(sample(scoped, params, "line_id"), strict)
+    return numbered.withColumns(scenario_key_columns())
 
 
 def contract_scenario_stores(

@@ -206,11 +206,12 @@ def _texts_of(label: str) -> str:
 def frequency_labels(t):
     """NUM4 to NUM6."""
     rows = t["contract_lines"].groupBy("frequency").agg(F.count("*").alias("lines"))
-    label = codes.frequency_label(F.col("frequency"))
+    number = codes.to_number(F.col("frequency"))
+    label = codes.frequency_label(number)
     return rows.select(
         "frequency",
         label.alias("label"),
-        codes.frequency_key(F.col("frequency")).alias("frequency_key"),
+        codes.frequency_key(F.col("frequency"), number).alias("frequency_key"),
         codes.frequency_texts(label).alias("texts"),
         "lines",
     )

@@ -193,7 +193,9 @@ _RATE = r.rate("price", "frequency", "hours")
 )
 def scenario_by_day(t):
     """AGG3 and NUM1."""
-    return rollup.scenario_by_day(scoped(t), contracts.line_rate())
+    return rollup.scenario_by_day(
+        contracts.with_line_numbers(scoped(t)), contracts.line_rate()
+    )
 
 
 @check(
@@ -206,7 +208,8 @@ def scenario_count(t):
     key = rollup.composite_key(
         F.col("contract_id"), F.col("frequency"), F.col("hours"), contracts.line_rate()
     )
-    return rollup.count_groups(scoped(t), [key.alias("key")], "scenarios")
+    lines = contracts.with_line_numbers(scoped(t))
+    return rollup.count_groups(lines, [key.alias("key")], "scenarios")
 
 
 FIRST_SCENARIOS = r.first_rows(
@@ -260,11 +263,11 @@ LINE_KEYS = f"""lines_keyed AS (
 )
 def scenario_dedup(t):
     """WIN1 with NUM1 to NUM7 and BOO3."""
-    hours = codes.to_decimal_comma(F.col("hours"))
+    hours = F.col("hours_number")
     return contracts.distinct_scenarios(scoped(t)).select(
         "contract_legacy_id",
         "scenario_id",
-        codes.frequency_label(F.col("frequency")).alias("frequency"),
+        codes.frequency_label(F.col("frequency_number")).alias("frequency"),
         hours.alias("hours"),
         F.col("rate_key").alias("rate"),
         codes.expected_amount(hours, F.col("rate_key")).alias("expected_amount"),
@@ -276,7 +279,7 @@ def scenario_dedup(t):
 
 def _key_map(t):
     scenarios = contracts.distinct_scenarios(scoped(t)).withColumn(
-        "frequency_label", codes.frequency_label(F.col("frequency"))
+        "frequency_label", codes.frequency_label(F.col("frequency_number"))
     )
     return contracts.scenario_key_map(scenarios)
 
@@ -358,16 +361,41 @@ def exact_matches(t):
         .select(
             F.col("contract_legacy_id").alias("contract_id"),
             "frequency",
-            codes.to_decimal_comma(F.col("hours")).alias("hours_number"),
+            "hours_number",
             F.col("rate_key").alias("rate"),
             "start_day",
             "notice_day",
         )
     )
-    lines = scoped(t).withColumn("rate", contracts.line_rate())
+    lines = contracts.with_line_numbers(scoped(t)).withColumn("rate", contracts.line_rate())
     return scope.exact_matches(lines, wanted).select("line_id", "contract_id", "rate")
 
 
+@check(
+    "near_scenario_lines",
+    f"""{V}, {KEYED_SCENARIOS}, missing AS (
+      SELECT DISTINCT contract_id, frequency, start_day FROM scenarios WHERE price <= 50000)
+    SELECT line_id, store_id, contract_id, frequency, CAST(sd AS VARCHAR) AS start_day FROM (
+      SELECT l.*, row_number() OVER (PARTITION BY contract_id, frequency, sd
+        ORDER BY line_id, status, customer_id, customer_name, system_name NULLS FIRST,
+          store_client_id NULLS FIRST, store_client_name NULLS FIRST, billing_day NULLS FIRST,
+          due_day NULLS FIRST, store_id) AS rn
+      FROM (SELECT *, CAST(start_at AS DATE) AS sd FROM v) l
+      WHERE (contract_id, frequency, sd) IN (SELECT contract_id, frequency, start_day FROM missing)) x
+    WHERE rn <= 10""",
+)
+def near_matches(t):
+    """FIL12: lines that resemble the cheap scenarios."""
+    wanted = (
+        contracts.distinct_scenarios(scoped(t))
+        .filter("price <= 50000")
+        .select(F.col("contract_legacy_id").alias("contract_id"), "frequency", "start_day")
+    )
+    return scope.near_matches(scoped(t), wanted).select(
+        "line_id", "store_id", "contract_id", "frequency", "start_day"
+    )
+
+
 @check(
     "latest_rows",
     """SELECT o_orderkey, o_orderdate FROM {orders}
