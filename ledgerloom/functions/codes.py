@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import digits, literal_map, strip
+from ledgerloom.functions.text import WHITESPACE, digits, literal_map, strip
 
 # Visits per week -> frequency label.
 FREQUENCY_LABELS = {
@@ -67,19 +67,25 @@ CLOSED_STATUSES = (0, 11)
 MAX_INT = 2147483647
 WEEKS_PER_MONTH = 4.0
 
-# Characters of a decimal number; a cast alone would also take suffixes, hex digits and words.
-_NUMBER_CHARACTERS = "0123456789+-.eE"
+# Blanks a cast to double does not skip by itself, and what a decimal number is made of.
+_OTHER_SPACE = "".join(c for c in WHITESPACE if c > " ")
+_NUMBER_CHARACTERS = "0123456789.-+eE" + "".join(c for c in WHITESPACE if c <= " ")
+
+
+def _parsed(c: Column) -> Column:
+    """A cast alone would also take suffixes, hex digits and words, so those are ruled out."""
+    return F.when(F.btrim(c, F.lit(_NUMBER_CHARACTERS)) == "", c.try_cast("double"))
 
 
 def to_number(c: Column) -> Column:
     """Text with a decimal point to double; anything else is null."""
-    s = strip(c.cast("string"))
-    return F.when(F.btrim(s, F.lit(_NUMBER_CHARACTERS)) == "", s.try_cast("double"))
+    return _parsed(F.translate(c.cast("string"), _OTHER_SPACE, " " * len(_OTHER_SPACE)))
 
 
 def to_decimal_comma(c: Column) -> Column:
     """NUM3 / NUM8: as ``to_number`` with a decimal comma allowed."""
-    return to_number(F.translate(c.cast("string"), ",", "."))
+    spaces = " " * len(_OTHER_SPACE)
+    return _parsed(F.translate(c.cast("string"), "," + _OTHER_SPACE, "." + spaces))
 
 
 def safe_int(c: Column, default: int | None) -> Column:
@@ -109,7 +115,8 @@ def rate_key(rate: Column) -> Column:
 def frequency_label(number: Column) -> Column:
     """NUM4: label of the exact number, else of the number rounded half to even, else ''."""
     labels = literal_map(FREQUENCY_LABELS)
-    return F.coalesce(labels[number], labels[F.bround(number)], F.lit(""))
+    exact, rounded = number.cast("string"), F.bround(number).cast("string")
+    return F.coalesce(labels[exact], labels[rounded], F.lit(""))
 
 
 def frequency_key(c: Column, number: Column) -> Column:
@@ -125,14 +132,8 @@ def hours_key(c: Column, number: Column) -> Column:
 
 def frequency_texts(label: Column) -> Column:
     """NUM6: the texts a label stands for; an unknown label stands for itself."""
-    table = F.create_map(
-        *[
-            x
-            for name, texts in FREQUENCY_TEXTS.items()
-            for x in (F.lit(name), F.array(*[F.lit(t) for t in texts]))
-        ]
-    )
-    return F.coalesce(table[label], F.array(label))
+    table = literal_map({name: ",".join(texts) for name, texts in FREQUENCY_TEXTS.items()})
+    return F.split(F.coalesce(table[label], label), ",")
 
 
 def expected_amount(hours: Column, rate: Column) -> Column:
@@ -184,7 +185,7 @@ def scenario_status(c: Column) -> Column:
 def order_status_text(c: Column) -> Column:
     """MAP1."""
     return F.coalesce(
-        literal_map(ORDER_STATUS)[c.cast("int")],
+        literal_map(ORDER_STATUS)[c.cast("string")],
         F.concat(F.lit("status_"), c.cast("string")),
         F.lit("pending"),
     )
@@ -197,7 +198,7 @@ def status_number(status: Column, active: Column) -> Column:
 
 def marital_label(c: Column) -> Column:
     """MAP3."""
-    return literal_map(MARITAL_STATUS)[c.cast("int")]
+    return literal_map(MARITAL_STATUS)[c.cast("string")]
 
 
 def person_id_type(c: Column) -> Column:

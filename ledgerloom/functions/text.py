@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 # Every character the cleaning rules strip: all Unicode white space, not only ASCII blanks.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
+# The same characters as a regular expression class.
+_SPACE_CLASS = (
+    r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+)
+
 
 def _accent_table() -> tuple[str, str]:
     """Accented Latin letters and the plain letter each decomposes to."""
@@ -26,8 +31,9 @@ def _accent_table() -> tuple[str, str]:
 
 ACCENTED, UNACCENTED = _accent_table()
 
-# Words that stand for "no value" in a text cell.
-NULL_WORDS = ("", "null", "none")
+# Words that stand for "no value" in a text cell, in any case.
+NULL_WORDS = ("null", "none")
+_NULL_WORD = f"^(?i:{'|'.join(NULL_WORDS)})\\z"
 
 # E-mail address pattern and the words written instead of an address.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -84,8 +90,9 @@ TASK_NAMES_ENGLISH = {
 
 
 def literal_map(table: dict) -> Column:
-    """A constant map column; Catalyst folds it into one literal."""
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    """A constant text map, folded into one literal when the plan is optimised."""
+    entries = "|".join(f"{key}={value}" for key, value in table.items())
+    return F.str_to_map(F.lit(entries), F.lit("[|]"), F.lit("="))
 
 
 def strip(c: Column) -> Column:
@@ -103,8 +110,7 @@ def not_blank(c: Column) -> Column:
 
 def clean_text(c: Column, max_length: int | None = None) -> Column:
     """STR1: strip, null words to null, cut to length."""
-    s = strip(c)
-    cleaned = F.when(~F.lower(s).isin(*NULL_WORDS), s)
+    cleaned = F.nullif(F.regexp_replace(strip(c), _NULL_WORD, ""), F.lit(""))
     return F.substring(cleaned, 1, max_length) if max_length else cleaned
 
 
@@ -187,12 +193,12 @@ def fold_name(c: Column) -> Column:
     plain = F.translate(F.upper(strip(c)), ACCENTED, UNACCENTED)
     # The rule drops every other character first, line breaks included, and then collapses blanks.
     kept = F.regexp_replace(plain, "[^A-Z0-9 ]+", "")
-    return F.coalesce(F.trim(F.regexp_replace(kept, " +", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(kept, "  +", " ")), F.lit(""))
 
 
 def squeeze(c: Column) -> Column:
     """Runs of white space become one blank."""
-    return strip(F.regexp_replace(c, r"[\s\p{Z}]+", " "))
+    return F.trim(F.regexp_replace(c, f"{_SPACE_CLASS}+", " "))
 
 
 def task_name(c: Column) -> Column:

@@ -11,7 +11,10 @@ from ledgerloom.functions import arrays, keys, text
 from ledgerloom.operators import match
 
 # Largest group whose ids are held in one array; the key map holds the ids of every group.
-MAX_ARRAY_IDS = 1000
+MAX_ARRAY_IDS = 100_000
+
+# Ids per array of ``chunked_ids``.
+CHUNK_IDS = 1000
 
 
 def with_merge_key(records: DataFrame) -> DataFrame:
@@ -90,7 +93,7 @@ def with_id_arrays(
     return golden.join(lists, "id", "left")
 
 
-def chunked_ids(key_rows: DataFrame, width: int = MAX_ARRAY_IDS) -> DataFrame:
+def chunked_ids(key_rows: DataFrame, width: int = CHUNK_IDS) -> DataFrame:
     """ARR3 for groups of any size: arrays of ids by id range, at most ``width`` ids each."""
     return (
         key_rows.withColumn("chunk", F.floor(F.col("legacy_id") / F.lit(width)).cast("bigint"))
@@ -99,6 +102,18 @@ def chunked_ids(key_rows: DataFrame, width: int = MAX_ARRAY_IDS) -> DataFrame:
     )
 
 
+def totals(golden: DataFrame, key_rows: DataFrame) -> DataFrame:
+    """AGG12 / VAL2 for groups of any size: golden records, the ids they stand for, ids merged away.
+
+    Counted over the key map, so a group too large for an array counts like any other.
+    """
+    ids = key_rows.agg(F.count("*").alias("ids"))
+    rows = golden.agg(F.count("*")).scalar()
+    return ids.select(rows.alias("rows"), "ids").withColumn(
+        "merged", F.greatest(F.lit(0), F.col("ids") - F.col("rows"))
+    )
+
+
 def broken_groups(golden: DataFrame, key_rows: DataFrame) -> DataFrame:
     """ARR4: golden records without a single legacy id."""
     return match.without(golden, key_rows, ["id"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import arrays
+from ledgerloom.operators.reshape import CHARGE_AMOUNTS
 
 # Columns of a contract roll-up that come from the lines and from the contract master.
 CONTRACT_LINE_MAX = (
@@ -101,6 +102,15 @@ def count_when(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def count_charges(master: DataFrame) -> DataFrame:
+    """AGG7: number of charge rows the contracts give, as a sum of conditional counts."""
+    first, *others = CHARGE_AMOUNTS
+    total = F.count_if((F.col(first) > 0) | F.coalesce(F.col("equipment_charged"), F.lit(False)))
+    for c in others:
+        total = total + F.count_if(F.col(c) > 0)
+    return master.agg(total.alias("rows"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], top: int = 10) -> DataFrame:
     """AGG9: the most repeated keys."""
     return (

@@ -434,14 +434,13 @@ def run_everything(run: Run) -> None:
 
 
 def measures(run: Run) -> dict[str, int]:
-    """VAL10: rows of every loaded table and the merged customer ids, read as one small table."""
-    tables = {TABLE_OF_STEP.get(s, s) for s in STEPS}
+    """VAL10: rows of every loaded table and the legacy ids behind the customers.
+
+    One count per table comes back to the driver.
+    """
+    tables = {*(TABLE_OF_STEP.get(s, s) for s in STEPS), "customer_legacy_ids"}
     loaded = {t: df for t in sorted(tables) if (df := run.store.read(t)) is not None}
-    counts = quality.table_counts(loaded)
-    ids = rollup.count_ids(run.target("customer_legacy_ids"), "legacy_id").select(
-        F.lit("customer_legacy_ids").alias("table"), F.col("ids").alias("rows")
-    )
-    return {r["table"]: r["rows"] for r in counts.unionByName(ids).collect()}
+    return {r["table"]: r["rows"] for r in quality.table_counts(loaded).collect()}
 
 
 def reconcile_run(run: Run) -> DataFrame:
@@ -449,8 +448,12 @@ def reconcile_run(run: Run) -> DataFrame:
     lines = run.scoped_lines()
     count = quality.count_rows
     contract_ids = rollup.count_ids(lines, "contract_id")
-    charged = run.scoped("contract_master").select(
-        sum(F.count_if(F.col(c) > 0) for c in quality.CHARGE_AMOUNTS).alias("rows")
+    charged = rollup.count_charges(
+        match.within(
+            run.scoped("contract_master"),
+            run.contract_keys().select(F.col("legacy_id").alias("contract_id")),
+            ["contract_id"],
+        )
     )
     return quality.reconcile(
         {

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom import session
 from ledgerloom.sources import schemas
 
 # Fixed value: rows per insert statement of a JDBC write.
@@ -81,12 +82,14 @@ class TargetStore:
 
     A load writes a new version and never touches the one it reads. The newest version whose
     write finished (its success marker exists) is the table, so a job that dies changes nothing
-    and its rerun starts clean. ``namespace`` separates environments that hold the same tables.
+    and its rerun starts clean. Without a root the tables live in the shared folder the cluster
+    names. ``namespace`` separates environments that hold the same tables.
     """
 
-    def __init__(self, spark: SparkSession, root: str, namespace: str = ""):
+    def __init__(self, spark: SparkSession, root: str | None = None, namespace: str = ""):
         self.spark = spark
-        self.root = f"{root.rstrip('/')}/{namespace}" if namespace else root.rstrip("/")
+        base = (root or f"{session.shared_folder(spark)}/tables").rstrip("/")
+        self.root = f"{base}/{namespace}" if namespace else base
 
     def _file_system(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -355,7 +355,8 @@ def run_history(t):
 )
 def run_snapshot(t):
     """VAL10."""
-    return quality.snapshot(customers.customers(t["parties"]), "legacy_ids", _billing_frames(t)[1])
+    golden, keys = customers.golden_customers(t["parties"]), customers.customer_keys(t["parties"])
+    return quality.snapshot(golden, keys, _billing_frames(t)[1])
 
 
 @check(

@@ -12,7 +12,7 @@ from ledgerloom.sources import sheet as sheets
 from standin import record_checks as records
 from standin import rules as r
 from standin import scope_checks as scopes
-from standin.registry import PARAMS, check, scoped
+from standin.registry import PARAMS, check, scoped, shared
 
 V = scopes.V
 UPDATED = "coalesce(updated_at, created_at) AS updated_at"
@@ -25,10 +25,12 @@ WANTED = f"""{V}, wanted_parties AS (
 ckeys AS (SELECT record_id AS legacy_id, {r.key('customer', 'merge_key')} AS id FROM keyed_parties)"""
 
 
+@shared
 def wanted_customers(t):
     return customers.customer_scope(t["contract_lines"], PARAMS)
 
 
+@shared
 def customer_keys(t):
     return customers.customer_keys(t["parties"], wanted_customers(t))
 
@@ -110,6 +112,7 @@ BRANDS = f"""cbrands AS (SELECT DISTINCT substr({r.strip('customer_name')}, 1, 2
   WHERE {r.filled('customer_name')})"""
 
 
+@shared
 def brand_rows(t):
     segments = customers.customer_segments(t["segments"])
     return customers.customer_brands(t["contract_lines"], segments, PARAMS, r.RUN_TS)
@@ -131,6 +134,7 @@ PAIRS = f"""pairs AS (SELECT DISTINCT k.id AS customer_id,
   FROM v JOIN ckeys k ON k.legacy_id = v.customer_id WHERE {r.filled('v.customer_name')})"""
 
 
+@shared
 def brand_pairs(t):
     return customers.customer_customer_brand(
         t["contract_lines"], customer_keys(t), brand_rows(t), PARAMS
@@ -154,6 +158,7 @@ _CHANNELS = """id IN (SELECT channel_id FROM {store_records}
   WHERE id IN (SELECT store_id FROM v))"""
 
 
+@shared
 def segment_rows(t):
     records_in_scope = match.within(t["store_records"], wanted_ids(t, "store_id"), ["id"])
     channels = records_in_scope.filter("channel_id IS NOT NULL").select("channel_id").distinct()
@@ -166,6 +171,7 @@ def store_segments(t):
     return segment_rows(t)
 
 
+@shared
 def chain_rows(t):
     return stores.retail_chains(t["chains"], wanted_ids(t, "chain_id"))
 
@@ -182,6 +188,7 @@ def retail_chains(t):
     return chain_rows(t)
 
 
+@shared
 def store_brand_rows(t):
     return stores.store_brands(
         t["brands"], wanted_ids(t, "brand_id"), t["store_records"], chain_rows(t), segment_rows(t)
@@ -207,6 +214,7 @@ def store_brands(t):
     return store_brand_rows(t)
 
 
+@shared
 def store_rows(t):
     return stores.stores(t["store_records"], wanted_ids(t, "store_id"), store_brand_rows(t))
 
@@ -262,6 +270,7 @@ _FLAGS = """TRUE AS email_confirmed, created_at AS email_confirmed_at,
 _EMPTY_ACCOUNT = ("password_hash", "deleted_at", "lockout_end", "security_stamp", "concurrency_stamp")
 
 
+@shared
 def user_rows(t):
     return users.users(t["source_users"])
 
@@ -297,10 +306,12 @@ def user_roles(t):
 # Contracts.
 
 
+@shared
 def terms(t):
     return sheets.sheet_terms(t["sheet"])
 
 
+@shared
 def contract_rows(t):
     return contracts.contracts(
         t["contract_lines"], t["contract_master"], customer_keys(t), terms(t), PARAMS, r.RUN_TS
@@ -335,6 +346,7 @@ def contracts_table(t):
     return contract_rows(t).drop("end_date", "deleted_at", "observations")
 
 
+@shared
 def billing_rows(t):
     keys = match.key_map(contract_rows(t))
     wanted = billing_scope(None, terms(t), keys)
@@ -371,6 +383,7 @@ def billings_table(t):
     return billing_rows(t).drop("observations", "deleted_at")
 
 
+@shared
 def contract_billings(t):
     found = contract_rows(t)
     return billing.contract_billings(
@@ -388,6 +401,7 @@ def contract_billing_map(t):
     return contract_billings(t)
 
 
+@shared
 def task_rows(t):
     return contracts.promoter_tasks(t["contract_lines"], PARAMS, r.RUN_TS)
 
@@ -404,6 +418,7 @@ def promoter_tasks(t):
     return task_rows(t)
 
 
+@shared
 def keyed(t):
     return contracts.keyed_scenarios(
         t["contract_lines"], contract_billings(t), task_rows(t), PARAMS, r.RUN_TS

@@ -327,6 +327,30 @@ def golden_totals(t):
     return rollup.array_totals(customers.customers(t["parties"]), "legacy_ids")
 
 
+@check(
+    "golden_group_totals",
+    f"""WITH {ALL_PARTIES}, {GOLDEN}
+    SELECT count(*) AS rows, CAST(sum(id_count) AS BIGINT) AS ids,
+      CAST(greatest(0, sum(id_count) - count(*)) AS BIGINT) AS merged FROM golden_customers""",
+)
+def golden_group_totals(t):
+    """AGG12 and VAL2 counted over the key map."""
+    return golden.totals(
+        customers.golden_customers(t["parties"]), customers.customer_keys(t["parties"])
+    )
+
+
+@check(
+    "charge_row_count",
+    f"""SELECT count(*) FILTER ({reshape.CHARGE_AMOUNTS[0]} > 0 OR coalesce(equipment_charged, FALSE))
+      {' '.join(f'+ count(*) FILTER ({a} > 0)' for a in reshape.CHARGE_AMOUNTS[1:])} AS rows
+    FROM {{contract_master}}""",
+)
+def charge_row_count(t):
+    """AGG7."""
+    return rollup.count_charges(t["contract_master"])
+
+
 @check(
     "synthetic_ids",
     f"""SELECT o_custkey, {r.synthetic_tax_id("'(' || lo || CASE WHEN lo = hi THEN ',)' ELSE ', ' || hi || ')' END")} AS tax_id

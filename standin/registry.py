@@ -21,7 +21,7 @@ PARAMS = ScopeParams(
 
 
 def scoped(t: Tables) -> DataFrame:
-    return in_scope(t["contract_lines"], PARAMS)
+    return t.shared("scoped", lambda t: in_scope(t["contract_lines"], PARAMS))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -51,3 +51,8 @@ def check(name: str, sql: str | None):
         return build
 
     return register
+
+
+def shared(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Plan a helper frame once per query, however many parts of the query use it."""
+    return lambda t: t.shared(f"{build.__module__}.{build.__name__}", build)

@@ -9,6 +9,7 @@ the cleaning rules are about. Every table grows with the given tables.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -349,6 +350,12 @@ class Tables:
                 self._frames[name] = self.sql(TEXTS[name])
         return self._frames[name]
 
+    def shared(self, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A derived frame that several parts of one query use, planned once."""
+        if name not in self._frames:
+            self._frames[name] = build(self)
+        return self._frames[name]
+
     def sql(self, text: str) -> DataFrame:
         frames = {n: self[n] for n in _names(text)}
         return self.spark.sql(text.replace("{ts}", "TIMESTAMP_NTZ"), **frames)
