@@ -42,17 +42,29 @@ def latest(df: DataFrame, order: str, tie: str, n: int) -> DataFrame:
     return df.orderBy(F.col(order).desc_nulls_last(), F.col(tie)).limit(n)
 
 
+def _any_null(on: Sequence[str]) -> Column:
+    missing = F.col(on[0]).isNull()
+    for c in on[1:]:
+        missing = missing | F.col(c).isNull()
+    return missing
+
+
 def _spread_nulls(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """A second join column that sends rows with a null key to many partitions.
 
     Rows with a null key never match, yet an outer or anti join has to keep them; without this
     they would all hash to one partition.
     """
-    missing = F.lit(False)
-    for c in on:
-        missing = missing | F.col(c).isNull()
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_NULL_SPREAD)) + 1
-    return df.withColumn("_spread", F.when(missing, spread).otherwise(F.lit(0).cast("bigint")))
+    return df.withColumn("_spread", F.when(_any_null(on), spread).otherwise(F.lit(0).cast("bigint")))
+
+
+def _unspread(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The other side of such a join: 0 on every key that can match.
+
+    Not a plain constant, which the optimiser would take out of the join keys.
+    """
+    return df.withColumn("_spread", F.when(_any_null(on), F.lit(-1).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -62,13 +74,13 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     only when its measured size is under the configured threshold, and otherwise shuffles both
     sides with skewed partitions split at run time.
     """
-    keyed = right.withColumn("_spread", F.lit(0).cast("bigint"))
-    return _spread_nulls(left, on).join(keyed, [*on, "_spread"], "left").drop("_spread")
+    joined = _spread_nulls(left, on).join(_unspread(right, on), [*on, "_spread"], "left")
+    return joined.drop("_spread")
 
 
 def without(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """JOI12 / VAL9: rows of ``left`` with no match; rows with a null key are kept."""
-    keyed = right.select(*on, F.lit(0).cast("bigint").alias("_spread"))
+    keyed = _unspread(right.select(*on), on)
     joined = _spread_nulls(left, on).join(keyed, [*on, "_spread"], "left_anti")
     return joined.select(*left.columns)
 
