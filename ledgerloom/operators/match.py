@@ -79,15 +79,19 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def without(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """JOI12 / VAL9: rows of ``left`` with no match; rows with a null key are kept."""
-    keyed = _unspread(right.select(*on), on)
+    """JOI12 / VAL9: rows of ``left`` with no match; rows with a null key are kept.
+
+    The right side is made distinct on the join columns. That shares its shuffle with the join and
+    merges repeated keys before it, so a key ``right`` repeats many times fills no partition.
+    """
+    keyed = _unspread(right.select(*on), on).distinct()
     joined = _spread_nulls(left, on).join(keyed, [*on, "_spread"], "left_anti")
     return joined.select(*left.columns)
 
 
 def within(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """JOI11 / FIL5: rows of ``left`` whose key is in ``right``."""
-    return left.join(right.select(*on), list(on), "left_semi")
+    """JOI11 / FIL5: rows of ``left`` whose key is in ``right``; see ``without`` for the distinct."""
+    return left.join(right.select(*on).distinct(), list(on), "left_semi")
 
 
 def key_map(target: DataFrame, id_column: str = "id", legacy: str = "legacy_id") -> DataFrame:

@@ -53,5 +53,8 @@ def fill_dependencies(saved: DataFrame, lines: DataFrame, stores: DataFrame) ->
     contracts = scope.dimension(saved, scope.CONTRACT, "contract_id")
     derived = scope.scope_ids(match.within(lines, contracts, ["contract_id"]))
     derived = derived.unionByName(scope.channel_ids(derived, stores))
-    present = saved.select("dimension").distinct()
-    return saved.unionByName(match.without(derived, present, ["dimension"]))
+    # At most one entry per dimension name, so this is a constant of a few words, not a join.
+    names = [*scope.DIMENSIONS, scope.CHANNEL, scope.SEGMENT]
+    present = saved.filter(F.col("dimension").isin(*names)).agg(F.collect_set("dimension"))
+    missing = ~F.array_contains(present.scalar(), F.col("dimension"))
+    return saved.unionByName(derived.filter(missing))

@@ -16,7 +16,10 @@ ACTIVE_COLUMNS = ("orcamento_ativo", "ativo?")
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The exported sheet as text cells with clean headers and its row order."""
+    """The exported sheet as text cells with clean headers and its row order.
+
+    Cells may hold line breaks, so one task reads the file; a spreadsheet has a bounded row count.
+    """
     raw = spark.read.csv(path, header=True, multiLine=True)
     return headers.with_clean_headers(raw).withColumn(
         ROW_POSITION, F.monotonically_increasing_id()

@@ -101,7 +101,7 @@ def scope_counts(t):
 
 @check(
     "scope_intersect",
-    f"{V} SELECT DISTINCT contract_id FROM v WHERE contract_id IN ({MARKED})",
+    f"{V} SELECT contract_id FROM v INTERSECT {MARKED}",
 )
 def scope_intersect(t):
     """SET1 and SRC4."""
