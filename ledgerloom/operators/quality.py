@@ -15,7 +15,8 @@ from ledgerloom.operators import golden, match, rollup
 KEPT_RUNS = 20
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """SET4."""
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
@@ -24,7 +25,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """AGG17 / SET4: one labelled count per table."""
-    return _union(
+    return union_all(
         [
             df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
             for name, df in tables.items()
@@ -41,7 +42,7 @@ def reconcile(steps: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
         for step, (source, target) in steps.items()
     ]
     diff = F.col("source_count") - F.col("target_count")
-    return _union(rows).withColumns({"diff": diff, "ok": diff == 0})
+    return union_all(rows).withColumns({"diff": diff, "ok": diff == 0})
 
 
 def count_rows(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,23 @@ def typed_rows(
     return df.select(*keep, F.inline(F.array(*entries)))
 
 
+def process_columns(
+    df: DataFrame,
+    transforms: Mapping[str, Callable[[Column], Column]],
+    lookups: Mapping[str, tuple[str, DataFrame]],
+) -> DataFrame:
+    """PRJ3: rewrite columns in place and add looked-up ones.
+
+    ``lookups`` maps a new column to the column it is looked up by and a (legacy_id, id) table;
+    rows without a match get null.
+    """
+    done = df.withColumns({name: rule(F.col(name)) for name, rule in transforms.items()})
+    for target, (by, keys_of) in lookups.items():
+        table = keys_of.select(F.col("legacy_id").alias(by), F.col("id").alias(target))
+        done = match.left_lookup(done, table, [by])
+    return done
+
+
 def contact_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """RSH1: e-mail, phone and cellphone columns to (type, value); empty values dropped."""
     rows = [

@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import load, match, quality, rollup, scope
+from ledgerloom.functions import text
+from ledgerloom.operators import load, match, quality, reshape, rollup, scope
 from ledgerloom.operators.scope import ScopeParams, in_scope
 from ledgerloom.plans import billing, contracts, customers, legacy_clients, stores, users
 from ledgerloom.sources import reports, sheet as sheets
@@ -443,35 +444,157 @@ def measures(run: Run) -> dict[str, int]:
     return {r["table"]: r["rows"] for r in quality.table_counts(loaded).collect()}
 
 
-def reconcile_run(run: Run) -> DataFrame:
-    """VAL1 + VAL2: source and target counts of the main steps of a finished run."""
-    lines = run.scoped_lines()
-    count = quality.count_rows
-    contract_ids = rollup.count_ids(lines, "contract_id")
-    charged = rollup.count_charges(
-        match.within(
-            run.scoped("contract_master"),
-            run.contract_keys().select(F.col("legacy_id").alias("contract_id")),
-            ["contract_id"],
-        )
+def _owner_rows(run: Run, table: str, column: str, owner: str) -> DataFrame:
+    return quality.count_rows(run.target(table).filter(F.col(column) == owner))
+
+
+def _filled_addresses(records: DataFrame, key_rows: DataFrame, groups: dict[str, str]) -> DataFrame:
+    """Owners and address types with a street, counted once each."""
+    owned = match.map_key(
+        records.withColumnRenamed("id", "legacy_id"), key_rows, "legacy_id", "owner_id"
+    )
+    streets = [
+        {"type": F.lit(kind), "street": F.col(f"{prefix}street")} for prefix, kind in groups.items()
+    ]
+    filled = reshape.typed_rows(owned, ["owner_id"], streets).filter(
+        text.not_blank(F.col("street"))
     )
-    return quality.reconcile(
-        {
-            "customer_segments": (
-                count(run.source.table("segments")), count(run.target("customer_segments")),
-            ),
-            "customers": (
-                rollup.count_ids(lines, "customer_id"),
-                rollup.count_ids(run.target("customer_legacy_ids"), "legacy_id"),
-            ),
-            "stores": (rollup.count_ids(lines, "store_id"), count(run.target("stores"))),
-            "users": (count(run.source.table("source_users")), count(run.target("users"))),
-            "contracts": (contract_ids, count(run.target("contracts"))),
-            "contract_scenario_stores": (
-                count(lines), count(run.target("contract_scenario_stores")),
-            ),
-            "contract_additional_charges": (
-                charged, count(run.target("contract_additional_charges")),
-            ),
-        }
+    return rollup.count_groups(filled, ["owner_id", "type"], "rows")
+
+
+def _filled_contacts(records: DataFrame, key_rows: DataFrame) -> DataFrame:
+    kept = match.within(records, key_rows.select(F.col("legacy_id").alias("id")), ["id"])
+    return quality.count_rows(reshape.contact_rows(kept, ["id"]))
+
+
+def _reconcile_customers(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
+    parties, key_rows = run.source.table("parties"), run.target("customer_legacy_ids")
+    names = run.scoped_lines().filter(text.not_blank(F.col("customer_name")))
+    return {
+        "customer_segments": (
+            quality.count_rows(run.source.table("segments")),
+            quality.count_rows(run.target("customer_segments")),
+        ),
+        "customers": (
+            rollup.count_ids(run.scoped_lines(), "customer_id"),
+            rollup.count_ids(key_rows, "legacy_id"),
+        ),
+        "customer_addresses": (
+            _filled_addresses(parties, key_rows, customers.ADDRESS_GROUPS),
+            _owner_rows(run, "addresses", "addressable_type", customers.OWNER),
+        ),
+        "customer_contacts": (
+            _filled_contacts(parties, key_rows),
+            _owner_rows(run, "contacts", "contactable_type", customers.OWNER),
+        ),
+        "customer_brands": (
+            rollup.count_groups(names, [text.strip(F.col("customer_name"))], "rows"),
+            quality.count_rows(run.target("customer_brands")),
+        ),
+    }
+
+
+def _reconcile_stores(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
+    lines, count = run.scoped_lines(), quality.count_rows
+    records, key_rows = run.source.table("store_records"), match.key_map(run.target("stores"))
+    loaded = match.within(records, key_rows.select(F.col("legacy_id").alias("id")), ["id"])
+    in_lines = match.within(records, run.wanted("store_id"), ["id"])
+    return {
+        "store_segments": (
+            rollup.count_ids(in_lines, "channel_id"), count(run.target("store_segments")),
+        ),
+        "retail_chains": (rollup.count_ids(lines, "chain_id"), count(run.target("retail_chains"))),
+        "store_brands": (rollup.count_ids(lines, "brand_id"), count(run.target("store_brands"))),
+        "stores": (rollup.count_ids(lines, "store_id"), count(run.target("stores"))),
+        "store_cnpjs": (
+            count(loaded.filter(text.not_blank(F.col("tax_id")))), count(run.target("store_cnpjs")),
+        ),
+        "store_addresses": (
+            _filled_addresses(records, key_rows, {"main_": "main"}),
+            _owner_rows(run, "addresses", "addressable_type", stores.OWNER),
+        ),
+        "store_contacts": (
+            _filled_contacts(records, key_rows),
+            _owner_rows(run, "contacts", "contactable_type", stores.OWNER),
+        ),
+    }
+
+
+def _reconcile_contracts(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
+    lines, count = run.scoped_lines(), quality.count_rows
+    loaded = run.contract_keys().select(F.col("legacy_id").alias("contract_id"))
+    own = match.within(lines, loaded, ["contract_id"])
+    master = match.within(run.scoped("contract_master"), loaded, ["contract_id"])
+    keys = ["contract_id", "frequency", "hours", F.coalesce("price", F.lit(0)).alias("price")]
+    dates_of = ["contract_id", "contract_created_at", "contract_updated_at"]
+    clients = own.filter("store_client_id IS NOT NULL AND store_client_name IS NOT NULL")
+    sold = match.within(
+        own, master.filter(F.col("seller_id").isNotNull()).select("contract_id"), ["contract_id"]
     )
+    steps = {
+        "contracts": (rollup.count_ids(lines, "contract_id"), count(run.target("contracts"))),
+        "contract_scenarios": (
+            rollup.count_groups(own.filter(F.col("customer_id").isNotNull()), keys, "rows"),
+            count(run.target("contract_scenarios")),
+        ),
+        "contract_scenario_stores": (
+            count(own.filter(F.col("customer_id").isNotNull())),
+            count(run.target("contract_scenario_stores")),
+        ),
+        "contract_team_members": (
+            rollup.count_groups(sold, dates_of, "rows"), count(run.target("contract_team_members")),
+        ),
+        "contract_partners": (
+            rollup.count_groups(clients, [*dates_of, "store_client_id", "store_client_name"], "rows"),
+            count(run.target("contract_partners")),
+        ),
+        "contract_additional_charges": (
+            rollup.count_charges(master), count(run.target("contract_additional_charges")),
+        ),
+    }
+    if run.terms is not None:
+        listed = match.within(loaded, run.terms, ["contract_id"])
+        steps["contract_sellers"] = (
+            listed.agg((F.count("*") * 2).alias("rows")), count(run.target("contract_sellers")),
+        )
+    return steps
+
+
+def reconcile_run(run: Run) -> DataFrame:
+    """VAL1 + VAL2: source and target counts of every step of a finished run.
+
+    Like is compared with like: customers by the ids they stand for, shared child tables by owner
+    type, sellers by the two rows each contract gets.
+    """
+    accounts = {
+        "users": (
+            quality.count_rows(run.source.table("source_users")),
+            quality.count_rows(run.target("users")),
+        ),
+        "user_roles": (
+            quality.count_rows(run.target("users")), quality.count_rows(run.target("user_roles")),
+        ),
+    }
+    steps = {**_reconcile_customers(run), **_reconcile_stores(run), **accounts}
+    return quality.reconcile({**steps, **_reconcile_contracts(run)})
+
+
+def reject_list(run: Run) -> DataFrame:
+    """VAL9: the legacy keys a finished run left out, with the reason."""
+    lines = run.scoped_lines()
+    brands = match.within(run.source.table("brands"), run.wanted("brand_id"), ["id"])
+    records = match.within(run.source.table("store_records"), run.wanted("store_id"), ["id"])
+    sold = match.within(run.scoped("contract_master"), lines, ["contract_id"])
+    parts = [
+        match.unmapped(lines, run.contract_keys(), "contract_id", "contract not loaded"),
+        match.unmapped(lines, run.target("customer_legacy_ids"), "customer_id", "customer not loaded"),
+        match.unmapped(lines, match.key_map(run.target("stores")), "store_id", "store not loaded"),
+        match.unmapped(
+            records, match.key_map(run.target("store_brands")), "brand_id", "brand not loaded"
+        ),
+        match.unmapped(
+            brands, match.key_map(run.target("retail_chains")), "chain_id", "chain not loaded"
+        ),
+        match.unmapped(sold, match.key_map(run.target("users")), "seller_id", "user not loaded"),
+    ]
+    return quality.union_all(parts)

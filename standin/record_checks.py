@@ -370,6 +370,29 @@ def synthetic_ids(t):
 # Reshapes.
 
 
+@check(
+    "processed_stores",
+    f"""SELECT s.id, {r.clean('s.name')} AS name, {r.tax_id('s.tax_id')} AS tax_id, s.brand_id,
+      {r.key('brand', 'b.id')} AS brand_key FROM (
+        SELECT id, name, tax_id, CAST(brand_id AS DOUBLE) AS brand_id FROM {{store_records}}) s
+    JOIN {{brands}} b ON b.id = s.brand_id
+    UNION ALL SELECT id, {r.clean('name')}, {r.tax_id('tax_id')}, CAST(brand_id AS DOUBLE), NULL
+    FROM {{store_records}} WHERE brand_id IS NULL OR brand_id NOT IN (SELECT id FROM {{brands}})""",
+)
+def processed_stores(t):
+    """PRJ3."""
+    brands = t["brands"].select(
+        F.col("id").alias("legacy_id"), keys.surrogate_key("brand", F.col("id")).alias("id")
+    )
+    done = reshape.process_columns(
+        t["store_records"].select("id", "name", "tax_id", "brand_id"),
+        {"name": text.clean_text, "tax_id": text.tax_id},
+        {"brand_key": ("brand_id", brands)},
+    )
+    return done.withColumn("brand_id", F.col("brand_id").cast("double"))
+
+
+
 @check(
     "contacts_unpivot",
     f"""SELECT id, 'email' AS type, lower({r.strip('email')}) AS value FROM {{parties}}
