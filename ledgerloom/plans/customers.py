@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes, dates, keys, text
@@ -98,7 +98,6 @@ def addresses(parties: DataFrame, customer_key_rows: DataFrame, places: DataFram
     owned = match.map_key(
         parties.withColumnRenamed("id", "legacy_id"), customer_key_rows, "legacy_id", "owner_id"
     )
-    # Only the main group has coordinates.
     keep = ["owner_id", "legacy_id", "created_at", "updated_at"]
     rows = reshape.address_rows(owned, keep, ADDRESS_GROUPS)
     placed = reshape.placed_addresses(rows, places, "owner_id", ["legacy_id"])
@@ -137,7 +136,7 @@ def contacts(records: DataFrame, key_rows: DataFrame, owner_type: str = OWNER) -
     return conform(rows, "contacts")
 
 
-def _brand_key(name) -> F.Column:
+def _brand_key(name: Column) -> Column:
     return keys.surrogate_key("customer_brand", name)
 
 

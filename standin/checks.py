@@ -1,5 +1,8 @@
-"""Imports every module that registers checks."""
+"""Every checked query and its expected result; importing the modules registers them."""
 
 from standin import load_checks, plan_checks, record_checks, scope_checks
+from standin.registry import ORACLES, QUERIES
 
-MODULES = (scope_checks, record_checks, load_checks, plan_checks)
+__all__ = [
+    "ORACLES", "QUERIES", "load_checks", "plan_checks", "record_checks", "scope_checks",
+]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import text
-from ledgerloom.operators import load, quality, rollup
+from ledgerloom.functions import keys, text
+from ledgerloom.operators import golden, load, match, quality, rollup
 from ledgerloom.plans import billing, customers, users
 from standin import record_checks as records
 from standin import rules as r
@@ -86,9 +86,9 @@ _GOLDEN = f"WITH {records.ALL_PARTIES}, {records.GOLDEN}"
 )
 def replace_by_array_key(t):
     """LOD3 and ARR1: golden records that hold any of the ids go, whatever other ids they hold."""
-    golden = customers.customers(t["parties"]).select("id", "legacy_ids")
+    records_now = customers.customers(t["parties"]).select("id", "legacy_ids")
     ids = t["customer"].filter("c_custkey % 7 = 0").select("c_custkey")
-    return load.replace_by_array_key(golden, golden.limit(0), ids, "id", "legacy_ids")
+    return load.replace_by_array_key(records_now, records_now.limit(0), ids, "id", "legacy_ids")
 
 
 @check(
@@ -149,8 +149,6 @@ def load_policy(t):
 )
 def first_contract(t):
     """WIN3."""
-    from ledgerloom.operators import match
-
     orders = t["orders"].select(
         F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("contract_id")
     )
@@ -161,8 +159,6 @@ _BILLED = """SELECT 'c' || c_custkey AS customer_id FROM {customer} WHERE c_acct
 
 
 def _billing_frames(t):
-    from ledgerloom.functions import keys
-
     contracts = t["orders"].select(
         F.col("o_orderkey").alias("legacy_id"),
         keys.surrogate_key("contract", F.col("o_orderkey")).alias("id"),
@@ -355,8 +351,10 @@ def run_history(t):
 )
 def run_snapshot(t):
     """VAL10."""
-    golden, keys = customers.golden_customers(t["parties"]), customers.customer_keys(t["parties"])
-    return quality.snapshot(golden, keys, _billing_frames(t)[1])
+    parties = t["parties"]
+    return quality.snapshot(
+        customers.golden_customers(parties), customers.customer_keys(parties), _billing_frames(t)[1]
+    )
 
 
 @check(
@@ -368,11 +366,11 @@ def run_snapshot(t):
 )
 def reconcile_arrays(t):
     """VAL2: golden customers reconcile on summed array sizes."""
-    golden = customers.customers(t["parties"])
+    merged = customers.customers(t["parties"])
     return quality.reconcile(
         {
             "customers": (
-                quality.count_rows(t["parties"]), quality.count_array_ids(golden, "legacy_ids"),
+                quality.count_rows(t["parties"]), quality.count_array_ids(merged, "legacy_ids"),
             )
         }
     )
@@ -385,10 +383,8 @@ def reconcile_arrays(t):
 )
 def empty_groups(t):
     """ARR4: golden records none of whose ids is in a reduced key map."""
-    from ledgerloom.operators import golden
-
-    keys = customers.customer_keys(t["parties"]).filter("legacy_id % 3 <> 0")
-    return golden.broken_groups(customers.golden_customers(t["parties"]).select("id"), keys)
+    reduced = customers.customer_keys(t["parties"]).filter("legacy_id % 3 <> 0")
+    return golden.broken_groups(customers.golden_customers(t["parties"]).select("id"), reduced)
 
 
 @check(

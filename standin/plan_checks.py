@@ -334,7 +334,7 @@ contract_rows AS (
     {r.snake('s.sheet_thirteenth_type', 'monthly')} AS contract_parameters_thirteenth_salary_type,
     'shared' AS operation_type, 'shared' AS trade_type,
     coalesce(c.start_at, c.made, {r.NOW}) AS start_date, 'active' AS status,
-    0.0 AS expected_amount, coalesce(c.made, {r.NOW}) AS created_at,
+    CAST(0 AS DOUBLE) AS expected_amount, coalesce(c.made, {r.NOW}) AS created_at,
     coalesce(c.changed, {r.NOW}) AS updated_at, {r.clean('c.customer_name', 255)} AS title,
     c.lc AS legacy_customer_id
   FROM crolled c JOIN ckeys k ON k.legacy_id = c.lc LEFT JOIN terms s ON s.contract_id = c.contract_id)"""
@@ -432,7 +432,7 @@ SCENARIOS = f"""{CONTRACTS}, {scopes.KEYED_SCENARIOS}, scenario_rows AS (
 
 @check(
     "contract_scenarios",
-    f"""{SCENARIOS} SELECT scenario_id AS id, 0 AS legacy_id, cid AS contract_id,
+    f"""{SCENARIOS} SELECT scenario_id AS id, CAST(0 AS BIGINT) AS legacy_id, cid AS contract_id,
       {r.key('promoter_task', r.task_name('task_name'))} AS promoter_task_id, label AS frequency,
       {r.comma_number('hours')} AS hours, CAST(rate_key AS DOUBLE) AS hour_value,
       CAST(CAST(coalesce(start_day, line_created_at, {r.NOW}) AS DATE) AS VARCHAR) AS start_date,

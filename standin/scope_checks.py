@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes, keys, text
 from ledgerloom.operators import match, quality, rollup, scope
-from ledgerloom.plans import contracts, scope_refresh
+from ledgerloom.plans import contracts, scope_refresh, users
 from ledgerloom.sources import sheet as sheets
 from standin import rules as r
 from standin.registry import PARAMS, check, scoped
@@ -652,8 +652,6 @@ LOOKUPS = f"us AS ({USERS}), logins AS ({LOGINS}), nationals AS ({NATIONAL_IDS})
 )
 def person_lookup(t):
     """JOI9, WIN2 and STR4."""
-    from ledgerloom.plans import users
-
     loaded = users.users(t["source_users"])
     return match.add_user_by_login(
         t["sheet"].select("id_orcamento", "sheet_row", "farmer_login_user"),

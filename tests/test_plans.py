@@ -96,3 +96,59 @@ def test_child_rows_need_no_shuffle(tables, written):
         contracts.with_line_numbers(written).withColumns(contracts.scenario_key_columns()),
     ):
         assert "Exchange hash" not in plan_of(df)
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds at which a hot key of a test table counts as skewed."""
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW:
+        spark.conf.unset(key)
+
+
+def test_a_hot_join_key_is_split(spark, small_skew):
+    """One key with most rows: adaptive execution splits its partition in every kind of join."""
+    rows = spark.range(0, 120_000, 1, 8)
+    hot = F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id"))
+    # A payload that does not compress, so that the hot partition is large in bytes as well.
+    left = rows.select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    right = rows.select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")).filter("k % 2 = 0")
+    keys = right.select(F.col("k").alias("legacy_id"), F.col("w").cast("string").alias("id"))
+    found = match.left_lookup(left, right, ["k"])
+    joins = {
+        "lookup": found,
+        "inner": match.map_key(left, keys, "k", "new"),
+        "semi": match.within(left, right, ["k"]),
+        "anti": match.without(left, right.filter("k <> 0"), ["k"]),
+        "then grouped": found.groupBy("k").agg(F.count("w").alias("n")),
+    }
+    for name, df in joins.items():
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        assert "skew=true" in execution.executedPlan().toString(), name
+
+
+def test_hot_null_keys_are_spread(spark, small_skew):
+    nulls = spark.range(0, 50_000, 1, 8).select(
+        F.lit(None).cast("bigint").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload")
+    )
+    right = spark.range(100).select(F.col("id").alias("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [
+            r["n"] for r in match.without(nulls, right, ["k"])
+            .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 2 * 50_000 / 8
