@@ -49,14 +49,17 @@ def _any_null(on: Sequence[str]) -> Column:
     return missing
 
 
-def _spread_nulls(df: DataFrame, on: Sequence[str]) -> DataFrame:
+def _spread_nulls(df: DataFrame, on: Sequence[str], by: str | None) -> DataFrame:
     """A second join column that sends rows with a null key to many partitions.
 
     Rows with a null key never match, yet an outer or anti join has to keep them; without this
-    they would all hash to one partition.
+    they would all hash to one partition. They are spread by one column that tells rows apart,
+    by default the first that is no join column, so that all others can still be pruned.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_NULL_SPREAD)) + 1
-    return df.withColumn("_spread", F.when(_any_null(on), spread).otherwise(F.lit(0).cast("bigint")))
+    by = by or next((c for c in df.columns if c not in on), on[0])
+    spread = F.pmod(F.xxhash64(F.col(by)), F.lit(_NULL_SPREAD)) + 1
+    zero = F.lit(0).cast("bigint")
+    return df.withColumn("_spread", F.when(_any_null(on), spread).otherwise(zero))
 
 
 def _unspread(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -67,25 +70,29 @@ def _unspread(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.withColumn("_spread", F.when(_any_null(on), F.lit(-1).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
 
 
-def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def left_lookup(
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: str | None = None
+) -> DataFrame:
     """JOI2: left join on columns of the same name, safe for many null keys on the left.
 
     ``right`` must hold at most one row per key. No broadcast hint: Spark broadcasts ``right``
     only when its measured size is under the configured threshold, and otherwise shuffles both
     sides with skewed partitions split at run time.
     """
-    joined = _spread_nulls(left, on).join(_unspread(right, on), [*on, "_spread"], "left")
+    joined = _spread_nulls(left, on, by).join(_unspread(right, on), [*on, "_spread"], "left")
     return joined.drop("_spread")
 
 
-def without(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def without(
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: str | None = None
+) -> DataFrame:
     """JOI12 / VAL9: rows of ``left`` with no match; rows with a null key are kept.
 
     The right side is made distinct on the join columns. That shares its shuffle with the join and
     merges repeated keys before it, so a key ``right`` repeats many times fills no partition.
     """
     keyed = _unspread(right.select(*on), on).distinct()
-    joined = _spread_nulls(left, on).join(keyed, [*on, "_spread"], "left_anti")
+    joined = _spread_nulls(left, on, by).join(keyed, [*on, "_spread"], "left_anti")
     return joined.select(*left.columns)
 
 

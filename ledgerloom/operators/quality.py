@@ -102,11 +102,13 @@ def line_rejects(lines: DataFrame, scenarios: DataFrame, stores: DataFrame) -> D
     """
     key = ["contract_id", "frequency_key", "hours_key", "rate_key"]
     found = match.left_lookup(
-        lines, scenarios.select(*key, "scenario_id", F.col("frequency").alias("label")), key
-    )
-    found = match.left_lookup(
-        found, stores.select("store_id", F.lit(True).alias("_known_store")), ["store_id"]
+        lines,
+        scenarios.select(*key, "scenario_id", F.col("frequency").alias("label")),
+        key,
+        by="line_id",
     )
+    known = stores.select("store_id", F.lit(True).alias("_known_store"))
+    found = match.left_lookup(found, known, ["store_id"], by="line_id")
     fits = F.array_contains(codes.frequency_texts(F.col("label")), F.col("frequency_key"))
     reason = (
         F.when(F.col("scenario_id").isNull(), "missing scenario")
