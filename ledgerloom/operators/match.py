@@ -245,7 +245,9 @@ def junction(left: DataFrame, right: DataFrame, on: str, pair: Sequence[str]) ->
 def segments_by_name(lines: DataFrame, segments: DataFrame) -> DataFrame:
     """JOI7: segment ids whose name equals the line text once spaces are removed."""
     wanted = (
-        lines.filter(text.not_blank(F.col("segment_names")))
+        lines.select("segment_names")
+        .distinct()
+        .filter(text.not_blank(F.col("segment_names")))
         .select(text.join_text(F.col("segment_names")).alias("_name"))
         .distinct()
     )

@@ -98,19 +98,20 @@ def promoter_tasks(lines: DataFrame, params: ScopeParams, run_ts: str) -> DataFr
     """PIP18: distinct cleaned task names with their type.
 
     The type is looked up with the name before its inner blanks are squeezed; of several
-    spellings of one name the smallest decides.
+    spellings of one name the smallest decides. Names are made distinct before they are cleaned,
+    so the text rules run once per spelling and not once per line.
     """
-    spelled = (
-        in_scope(lines, params)
-        .filter(text.not_blank(F.col("task_name")))
-        .select(
-            text.task_name(F.col("task_name")).alias("name"),
-            F.upper(text.clean_text(F.col("task_name"))).alias("spelling"),
-        )
-        .filter(F.col("name").isNotNull())
+    spelled = in_scope(lines, params).select("task_name").distinct().select(
+        text.task_name(F.col("task_name")).alias("name"),
+        F.upper(text.clean_text(F.col("task_name"))).alias("spelling"),
+    )
+    # Blank names are dropped by their aggregated spelling: a test of the name itself would be
+    # pushed below the distinct and clean every line again.
+    named = spelled.groupBy("name").agg(F.min("spelling").alias("spelling")).filter(
+        F.col("spelling").isNotNull()
     )
     now = dates.run_timestamp(run_ts)
-    rows = spelled.groupBy("name").agg(F.min("spelling").alias("spelling")).select(
+    rows = named.select(
         keys.surrogate_key("promoter_task", F.col("name")).alias("id"),
         "name",
         text.task_type(F.col("spelling")).alias("task_type"),
@@ -176,7 +177,8 @@ def distinct_scenarios(lines: DataFrame, strict: bool = False) -> DataFrame:
 
 def unknown_tasks(scenarios: DataFrame, task_rows: DataFrame) -> DataFrame:
     """VAL3: task names of scenarios without a task row; a missing name counts as unknown."""
-    names = scenarios.select(text.task_name(F.col("task_name")).alias("name")).distinct()
+    spelled = scenarios.select("task_name").distinct()
+    names = spelled.select(text.task_name(F.col("task_name")).alias("name")).distinct()
     return match.without(names, task_rows, ["name"])
 
 

@@ -146,6 +146,8 @@ def customer_brands(
     """PIP5: distinct customer names in scope, all in the segment with the smallest legacy id."""
     names = (
         in_scope(lines, params)
+        .select("customer_name")
+        .distinct()
         .filter(text.not_blank(F.col("customer_name")))
         .select(F.substring(text.strip(F.col("customer_name")), 1, 255).alias("name"))
         .distinct()
@@ -169,6 +171,8 @@ def customer_customer_brand(
     """PIP6: distinct (golden customer, brand) pairs of the lines in scope."""
     pairs = (
         in_scope(lines, params)
+        .select("customer_id", "customer_name")
+        .distinct()
         .filter(F.col("customer_id").isNotNull() & text.not_blank(F.col("customer_name")))
         .select("customer_id", text.strip(F.col("customer_name")).alias("name"))
         .distinct()
