@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file, which every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def split_at_spaces(text: Column) -> Column:
     """Parts between single white-space characters; empty parts stay. Null text: one empty part."""
     return F.split(F.coalesce(text, F.lit("")), SPACE)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import chat_format, quality_rules
-from ledgerloom.llm.common import table
+from ledgerloom.llm import bpe_trie, chat_format, language_id, packing, quality_rules, toxicity
+from ledgerloom.llm.common import table, tokenizer_file
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +26,29 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(added)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_chat_format": op3_chat_format,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
+    "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
