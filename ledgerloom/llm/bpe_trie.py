@@ -58,7 +58,13 @@ class TrieEncoder:
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         self.ids: dict[str, int] = file["model"]["vocab"]
-        self.rank = {tuple(pair): i for i, pair in enumerate(file["model"]["merges"])}
+        self.pairs = [tuple(pair) for pair in file["model"]["merges"]]
+        self.rank = {pair: i for i, pair in enumerate(self.pairs)}
+        #: The lowest merge that makes a token.
+        self.made: dict[str, int] = {}
+        for i, (a, b) in enumerate(self.pairs):
+            self.made.setdefault(a + b, i)
+        self.whole: dict[str, bool] = {}
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.added.items()]}
         self.file = Tokenizer.from_file(path)
@@ -87,21 +93,45 @@ class TrieEncoder:
             return [*token[:-1], token[-1] + END]
         return list(token)
 
+    def is_token(self, text: str) -> bool:
+        """Whether the text is a token that encodes itself."""
+        if text not in self.ids:
+            return False
+        known = self.whole[text] = self.merged(self.split(text)) == [text]
+        return known
+
     def stay_apart(self, left: str, right: str) -> bool:
-        """Whether the two tokens, side by side, are the encoding of their text."""
+        """Whether two tokens, side by side, are the encoding of their text.
+
+        Undoes merges, the latest first: the symbols at the boundary merge if they could do so
+        before one of them merged into its own token. Of equal ranks the left merge comes first.
+        """
+        a, b, limit, apart = left, right, len(self.rank), True
+        while True:
+            if self.rank.get((a, b), len(self.rank)) < limit:
+                apart = False
+                break
+            of_a, of_b = self.made.get(a, -1), self.made.get(b, -1)
+            if of_a < 0 and of_b < 0:
+                break
+            if of_a > of_b:
+                a, limit = self.pairs[of_a][1], of_a
+            else:
+                b, limit = self.pairs[of_b][0], of_b + 1
         if len(self.apart) >= MAX_PAIRS:
             self.apart.clear()
-        symbols = (list(left) if left else []) + self.split(right)
-        known = self.merged(symbols) == ([left, right] if left else [right])
-        self.apart[left, right] = known
-        return known
+        self.apart[left, right] = apart
+        return apart
 
     def last_token(self, word: str, end: int, suffix: str, last: list[str]) -> str:
         """The last token of the encoding of word[:end]; `last` has those of all shorter prefixes."""
-        ids, apart = self.ids, self.apart
+        whole, apart = self.whole, self.apart
         for start in range(end - 1, -1, -1):
             token = word[start:end] + suffix
-            if token in ids:
+            known = whole.get(token)
+            if known or (known is None and self.is_token(token)):
+                if not start:
+                    return token
                 known = apart.get((last[start], token))
                 if known or (known is None and self.stay_apart(last[start], token)):
                     return token

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe_trie, chat_format, language_id, packing, quality_rules, toxicity
+from ledgerloom.llm import (
+    bpe_trie,
+    chat_format,
+    language_id,
+    packing,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+)
 from ledgerloom.llm.common import table, tokenizer_file
 
 
@@ -34,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -47,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": op3_chat_format,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
 }
