@@ -39,15 +39,18 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and cut its lineage there.
-
-    The folder is the one the cluster names; only where none is set (tests) one is made.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it; only where unset one is made."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_DIR, None)
+        folder = spark.conf.get(CHECKPOINT_DIR, None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared checkpoint folder and cut its lineage there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

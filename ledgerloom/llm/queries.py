@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm import (
     bpe_trie,
     chat_format,
+    embedding_dedup,
+    jaccard_join,
     language_id,
     packing,
     quality_rules,
@@ -22,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: The conversation that the query adds: both texts hold marks and an escape character.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -34,6 +40,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(added)))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,7 +66,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_chat_format": op3_chat_format,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_substring_dedup": op7_substring_dedup,
