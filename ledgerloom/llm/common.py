@@ -48,10 +48,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and cut its lineage there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame to the shared checkpoint folder and cut its lineage there.
+
+    The shuffle files of this one run go with its end, as the rows are read from the folder.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(FILE_CLEANUP)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -11,8 +11,9 @@ another misses at most d = floor(s * (1 - threshold)) of its shingles there, so
 
 The boundary is chosen by cost from the histogram of sizes. Lists are light or heavy:
 
-- sets in a heavy list (a passage that many texts share) are listed anew, among themselves, under the
-  shingles that are rarest there by exact counts; a set with enough shingles of its own needs no list;
+- shingles with heavy lists (of a passage that many texts share) are put last in the order, and the
+  sets that have them are listed anew, among themselves, under their next shingles; where a set's
+  stored shingles do not reach, all of its shingles are read again;
 - in every list all sets are verified against the smallest node first; lists whose sets are then in
   one component need nothing more;
 - what is left of light lists is verified pair by pair;
@@ -53,6 +54,7 @@ WORD_BUCKETS = 65_536
 SIZE_BINS = 4_096
 LIST_COST = 4  # cost of an entry of a shingle's list, in entries of a pair's list
 LIGHT = 16
+SPARE = 16
 BLOCK = 1_024
 EMPTY = 0  # the node of empty sets
 
@@ -90,18 +92,13 @@ class Shingler:
         return int(mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def keys_of(tokens: np.ndarray, percent: int, boundary: int) -> np.ndarray:
-    """The lists that a set enters."""
-    size = len(tokens)
-    d = lost(size, percent)
-    keys = []
-    if 2 <= size <= boundary:
-        some = mixed(tokens[: d + 2].view(np.uint64))
-        a, b = np.triu_indices(len(some), 1)
-        keys.append(mixed(some[a] * np.uint64(3) + some[b]).view(np.int64))
-    if size >= 2 and 100 * size >= percent * (boundary + 1):
-        keys.append(tokens[: d + 1])
-    return np.concatenate(keys) if keys else np.zeros(0, np.int64)
+def pair_keys(tokens: np.ndarray, percent: int, boundary: int) -> np.ndarray:
+    """The lists that a small set enters: one for every pair of its first shingles."""
+    if not 2 <= len(tokens) <= boundary:
+        return np.zeros(0, np.int64)
+    some = mixed(tokens[: lost(len(tokens), percent) + 2].view(np.uint64))
+    a, b = np.triu_indices(len(some), 1)
+    return mixed(some[a] * np.uint64(3) + some[b]).view(np.int64)
 
 
 def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -143,31 +140,46 @@ def choose_boundary(sizes: np.ndarray, percent: int) -> int:
     return int(np.argmin(pairs + listed[np.minimum(first, len(sizes))]))
 
 
-def signatures(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, text_key, node, size and keys of every row, written once; and the words' commonness."""
+def signatures(
+    docs: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, np.ndarray, int]:
+    """Signed rows, written once, the words' commonness and the boundary of small sets.
+
+    A row holds doc_id, text_key, node, size, `pairs` (keys of a small set), `head` (the first
+    shingles, one more than may be missing) and `more` (the next ones).
+    """
     counts, sizes = corpus_counts(docs)
     level, boundary = commonness(counts), choose_boundary(sizes, percent)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["node", "size", "pairs", "head", "more"]
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words, level)
         for batch in batches:
-            node, size, keys = [], [], []
+            rows = []
             for text in batch["text"]:
                 tokens = shingler.tokens(text)
-                node.append(shingler.node(tokens))
-                size.append(len(tokens))
-                keys.append(keys_of(tokens, percent, boundary))
+                first = lost(len(tokens), percent) + 1
+                rows.append(
+                    (
+                        shingler.node(tokens), len(tokens), pair_keys(tokens, percent, boundary),
+                        tokens[:first], tokens[first : 2 * first + SPARE],
+                    )
+                )
             out = batch[["row", "text_key"]].copy()
-            out["node"], out["size"], out["keys"] = node, size, keys
+            for name, values in zip(names, zip(*rows, strict=True), strict=True):
+                out[name] = list(values)
             yield out
 
     keyed = docs.select(
         F.struct("doc_id").alias("row"), "text", F.xxhash64("text").alias("text_key")
     )
-    schema = f"row struct<doc_id: {kind}>, text_key long, node long, size long, keys array<long>"
+    schema = (
+        f"row struct<doc_id: {kind}>, text_key long, node long, size long, "
+        "pairs array<long>, head array<long>, more array<long>"
+    )
     signed = keyed.mapInPandas(sign, schema)
-    return saved(signed.select("row.doc_id", "text_key", "node", "size", "keys")), level
+    return saved(signed.select("row.doc_id", "text_key", *names)), level, boundary
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, words: int, level: np.ndarray) -> DataFrame:
@@ -208,23 +220,58 @@ def shared_lists(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "key")
 
 
-def relisted(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """New lists of the sets in heavy lists, under the shingles that are rarest among these sets."""
-    nodes = lists.filter(F.col("n") > LIGHT).select("node").distinct()
-    rows = sets.join(nodes, "node", "left_semi").select(
-        "node", F.size("tokens").cast("long").alias("size"), F.explode("tokens").alias("key")
-    )
-    shared = shared_lists(rows).groupBy("node", "size").agg(
-        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("shared")
+def missing(percent: int) -> Column:
+    """Most shingles of a set of this size that a similar set lacks."""
+    return F.floor(F.col("size") * (100 - percent) / F.lit(100)).cast("int")
+
+
+def first_lists(signed: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """Shared lists of pairs of shingles (small sets) and of single shingles; written once."""
+    nothing = F.array().cast("array<long>")
+    listed = 100 * F.col("size") >= percent * (boundary + 1)
+    keys = F.concat("pairs", F.when(listed, F.col("head")).otherwise(nothing))
+    rows = signed.filter("size > 1").select(F.explode(keys).alias("key"), "node", "size")
+    # Copies of a set meet in all its lists; they are one row once unshared keys are gone.
+    return saved(shared_lists(shared_lists(rows).select("key", "node", "size").distinct()))
+
+
+def relisted(signed: DataFrame, lists: DataFrame, docs: DataFrame, words: int, level, percent: int,
+             boundary: int) -> DataFrame:
+    """Rows (key, node, size) that list the sets of heavy lists anew, heavy shingles put last."""
+    heavy = lists.filter(F.col("n") > LIGHT)
+    last = heavy.select("key").distinct()
+    moved = heavy.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("gone"))
+    sets = signed.select("node", "size", "head", "more").join(moved, "node").dropDuplicates(["node"])
+    listed = 100 * F.col("size") >= percent * (boundary + 1)
+    reach = F.when(listed, 2 * F.col("gone") + SPARE // 2).otherwise(F.size("more"))
+    tokens = F.concat("head", F.slice("more", F.lit(1), reach))
+    rows = sets.select("node", "size", F.posexplode(tokens).alias("at", "key"))
+    light = rows.join(last, "key", "left_anti").groupBy("node", "size").agg(
+        F.sort_array(F.collect_list(F.struct("at", "key"))).alias("tokens")
     )
-    # Shingles that no other set has come first; they need no list.
-    own = F.col("size") - F.size("shared")
-    needed = F.floor(F.col("size") * (100 - percent) / F.lit(100))
-    listed = F.greatest(needed + 1 - own, F.lit(0)).cast("int")
-    return (
-        shared.select("node", "size", F.explode(F.slice("shared", F.lit(1), listed)).alias("s"))
-        .select(F.col("s.key").alias("key"), "node", "size")
+    needed = missing(percent) + 1
+    enough = saved(light.filter(F.size("tokens") >= needed).select(
+        "node", "size", F.slice("tokens", F.lit(1), needed).alias("tokens")
+    ))
+    new = enough.select(F.explode("tokens").alias("t"), "node", "size").select("t.key", "node", "size")
+    short = saved(moved.select("node").join(enough, "node", "left_anti"))
+    if short.isEmpty():
+        return new
+    wanted = signed.join(short, "node", "left_semi").groupBy("node").agg(
+        F.min("text_key").alias("text_key")
     )
+    every = token_sets(docs, wanted, words, level)
+    rows = every.select(
+        "node", F.size("tokens").cast("long").alias("size"),
+        F.posexplode("tokens").alias("at", "key"),
+    )
+    ordered = rows.join(last.select("key", F.lit(1).alias("late")), "key", "left").groupBy(
+        "node", "size"
+    ).agg(F.sort_array(F.collect_list(
+        F.struct(F.coalesce("late", F.lit(0)).alias("late"), "at", "key")
+    )).alias("tokens"))
+    full = ordered.select("node", "size", F.explode(F.slice("tokens", F.lit(1), needed)).alias("t"))
+    return new.unionByName(full.select("t.key", "node", "size"))
 
 
 def against_smallest(lists: DataFrame, percent: int) -> DataFrame:
@@ -320,16 +367,16 @@ def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id of every row."""
-    signed, level = signatures(docs.select("doc_id", "text"), words, percent)
-    nodes = signed.filter(F.size("keys") > 0).groupBy("node", "size").agg(
-        F.min("text_key").alias("text_key"), F.first("keys").alias("keys")
-    )
-    rows = nodes.select(F.explode("keys").alias("key"), "node", "size", "text_key")
-    lists = saved(shared_lists(rows))
-    sets = token_sets(docs, lists.select("text_key").distinct(), words, level)
-    lists = lists.drop("text_key")
+    signed, level, boundary = signatures(docs.select("doc_id", "text"), words, percent)
+    lists = first_lists(signed, percent, boundary)
     light = lists.filter(F.col("n") <= LIGHT)
-    every = saved(light.unionByName(shared_lists(relisted(lists, sets, percent))))
+    anew = relisted(signed, lists, docs, words, level, percent, boundary)
+    every = saved(light.unionByName(shared_lists(anew)))
+    signed = signed.drop("pairs", "head", "more")
+    wanted = signed.join(every.select("node").distinct(), "node", "left_semi")
+    sets = token_sets(
+        docs, wanted.groupBy("node").agg(F.min("text_key").alias("text_key")), words, level
+    )
     links = saved(verified(against_smallest(every, percent), sets, percent))
     left = saved(divided(every, connected_components(links)))
     links = links.unionByName(verified(light_pairs(left, percent), sets, percent)).unionByName(
@@ -337,7 +384,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     )
     roots = connected_components(links)
     found = (
-        signed.drop("keys").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        signed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     )
     lowest = (
         found.filter(F.col("node") != EMPTY).groupBy("root").agg(F.min("doc_id").alias("lowest"))
