@@ -6,8 +6,12 @@ one subtraction. Words are runs of bytes, and runs of words are runs of word has
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 
+CHUNK_BYTES = 1 << 20
+
 # Odd multipliers of the polynomial hashes (arbitrary 64-bit numbers) and their inverses.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1B54A32D192ED03
@@ -48,13 +52,34 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def text_word_hashes(text: str | None, powers: Powers, lower: bool = False) -> np.ndarray:
-    """64-bit hash of every word of a text; `lower` reads A-Z as a-z."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def word_hashes_of(
+    texts: Iterable[str | None], powers: Powers, lower: bool = False
+) -> Iterator[np.ndarray]:
+    """64-bit hashes of the words of every text, in order; `lower` reads A-Z as a-z.
+
+    Texts are hashed together, about `CHUNK_BYTES` at a time.
+    """
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append((text or "").encode("utf-8", "surrogatepass"))
+        size += len(held[-1])
+        if size >= CHUNK_BYTES:
+            yield from _hashed(held, powers, lower)
+            held, size = [], 0
+    yield from _hashed(held, powers, lower)
+
+
+def _hashed(texts: list[bytes], powers: Powers, lower: bool) -> list[np.ndarray]:
+    if not texts:
+        return []
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-    inside = np.concatenate([[False], ~is_space(data), [False]])
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~is_space(data)
     change = np.flatnonzero(inside[1:] != inside[:-1])
-    if not len(change):
-        return np.zeros(0, np.uint64)
-    return run_hashes(data.astype(np.uint64) + np.uint64(1), change[::2], change[1::2], powers)
+    hashes = run_hashes(data.astype(np.uint64) + np.uint64(1), change[::2], change[1::2], powers)
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    cuts = np.searchsorted(change[::2], starts)
+    return [hashes[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -16,6 +16,7 @@ The boundary is chosen by cost from the histogram of sizes. Lists are light or h
   stored shingles do not reach, all of its shingles are read again;
 - in every list all sets are verified against the smallest node first; lists whose sets are then in
   one component need nothing more;
+- before sets are fetched, pairs are ruled out whose stored shingles alone differ too much;
 - what is left of light lists is verified pair by pair;
 - what is left of heavy lists is dealt over pairs of blocks, where the sets outside the largest
   component scan the inverted lists of the block.
@@ -47,7 +48,7 @@ from ledgerloom.llm.hashing import (
     Powers,
     mixed,
     run_hashes,
-    text_word_hashes,
+    word_hashes_of,
 )
 
 WORD_BUCKETS = 65_536
@@ -71,9 +72,12 @@ class Shingler:
         self.words, self.commonness = words, commonness
         self.of_bytes, self.of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
 
-    def tokens(self, text: str | None) -> np.ndarray:
-        """The sorted distinct values of a text: commonness above, hash below."""
-        hashes = text_word_hashes(text, self.of_bytes, lower=True)
+    def sets(self, texts: pd.Series) -> Iterator[np.ndarray]:
+        """The set of every text."""
+        return map(self.tokens, word_hashes_of(texts, self.of_bytes, lower=True))
+
+    def tokens(self, hashes: np.ndarray) -> np.ndarray:
+        """The sorted distinct values of a text's words: commonness above, hash below."""
         n = len(hashes)
         if not n:
             return np.zeros(0, np.int64)
@@ -107,12 +111,17 @@ def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers(BYTE_BASE)
         total = np.zeros(WORD_BUCKETS + SIZE_BINS, np.int64)
+        held: list[np.ndarray] = []
         for batch in batches:
-            for text in batch["text"]:
-                hashes = text_word_hashes(text, powers, lower=True)
+            for hashes in word_hashes_of(batch["text"], powers, lower=True):
                 at = (hashes % np.uint64(WORD_BUCKETS)).astype(np.int64)
-                total[:WORD_BUCKETS] += np.bincount(at, minlength=WORD_BUCKETS)
+                held.append(at)
+                if sum(map(len, held)) > WORD_BUCKETS:
+                    total[:WORD_BUCKETS] += np.bincount(np.concatenate(held), minlength=WORD_BUCKETS)
+                    held = []
                 total[WORD_BUCKETS + min(len(hashes), SIZE_BINS - 1)] += 1
+        if held:
+            total[:WORD_BUCKETS] += np.bincount(np.concatenate(held), minlength=WORD_BUCKETS)
         found = np.flatnonzero(total)
         yield pd.DataFrame({"place": found, "n": total[found]})
 
@@ -157,8 +166,7 @@ def signatures(
         shingler = Shingler(words, level)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                tokens = shingler.tokens(text)
+            for tokens in shingler.sets(batch["text"]):
                 first = lost(len(tokens), percent) + 1
                 rows.append(
                     (
@@ -188,7 +196,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, words: int, level: np.ndarray
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words, level)
         for batch in batches:
-            tokens = [shingler.tokens(text) for text in batch["text"]]
+            tokens = list(shingler.sets(batch["text"]))
             yield pd.DataFrame({"node": [shingler.node(t) for t in tokens], "tokens": tokens})
 
     texts = docs.select("text", F.xxhash64("text").alias("text_key"))
@@ -202,16 +210,38 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def likely(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their stored shingles do not rule out.
+
+    Up to the smaller of two prefixes' ends all shingles of both sets are known, so those that only
+    one of them has are missing from the other.
+    """
+    left = prefixes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("prefix").alias("pa"))
+    right = prefixes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("prefix").alias("pb"))
+
+    def end(prefix: str, size: str) -> Column:
+        whole = F.size(prefix) >= F.col(size)
+        return F.when(whole, F.lit((1 << 63) - 1)).otherwise(F.element_at(prefix, -1))
+
+    known = F.least(end("pa", "sa"), end("pb", "sb"))
+    both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").withColumn("known", known)
+
+    def only(one: str, other: str) -> Column:
+        return F.size(F.array_except(F.filter(one, lambda t: t <= F.col("known")), F.col(other)))
+
+    apart = only("pa", "pb") + only("pb", "pa")
+    fit = apart * (100 + percent) <= (F.col("sa") + F.col("sb")) * (100 - percent)
+    return saved(both.filter(fit).select("a", "b"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b) whose sets are similar; written once."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - both
-    return (
-        pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
-        .filter(100 * both >= percent * union).select("a", "b")
-    )
+    joined = pairs.join(left, "a").join(right, "b")
+    return saved(joined.filter(100 * both >= percent * union).select("a", "b"))
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
@@ -306,7 +336,7 @@ UNIT = ["key", "low", "high"]
 def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components in heavy lists, block by block."""
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
-    dealt = rows.filter(F.col("n") > LIGHT).withColumn("blocks", blocks)
+    dealt = rows.withColumn("blocks", blocks)
     dealt = dealt.withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -362,7 +392,7 @@ def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield out
 
     parts = units.repartition(shuffle_width(units.sparkSession), *UNIT)
-    return parts.sortWithinPartitions(*UNIT).mapInPandas(run, "a long, b long")
+    return saved(parts.sortWithinPartitions(*UNIT).mapInPandas(run, "a long, b long"))
 
 
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -372,15 +402,28 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     light = lists.filter(F.col("n") <= LIGHT)
     anew = relisted(signed, lists, docs, words, level, percent, boundary)
     every = saved(light.unionByName(shared_lists(anew)))
-    signed = signed.drop("pairs", "head", "more")
-    wanted = signed.join(every.select("node").distinct(), "node", "left_semi")
-    sets = token_sets(
-        docs, wanted.groupBy("node").agg(F.min("text_key").alias("text_key")), words, level
+    prefixes = saved(
+        signed.select("node", "size", F.concat("head", "more").alias("prefix"))
+        .join(every.select("node").distinct(), "node", "left_semi")
+        .dropDuplicates(["node"])
     )
-    links = saved(verified(against_smallest(every, percent), sets, percent))
+    signed = signed.drop("pairs", "head", "more")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        rows = signed.join(nodes.distinct(), "node", "left_semi").groupBy("node")
+        return token_sets(docs, rows.agg(F.min("text_key").alias("text_key")), words, level)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+    star = likely(against_smallest(every, percent), prefixes, percent)
+    links = verified(star, sets_of(ends(star)), percent)
     left = saved(divided(every, connected_components(links)))
-    links = links.unionByName(verified(light_pairs(left, percent), sets, percent)).unionByName(
-        block_links(left, sets, percent)
+    pairs = likely(light_pairs(left, percent), prefixes, percent)
+    crowded = left.filter(F.col("n") > LIGHT)
+    sets = sets_of(ends(pairs).unionByName(crowded.select("node")))
+    links = links.unionByName(verified(pairs, sets, percent)).unionByName(
+        block_links(crowded, sets, percent)
     )
     roots = connected_components(links)
     found = (

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, run_hashes, text_word_hashes
+from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, run_hashes, word_hashes_of
 
 WINDOW = 50
 GRAM = 8
@@ -72,10 +72,8 @@ def anchor_stretches(keyed: DataFrame, window: int, gram: int) -> DataFrame:
         of_bytes, of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
         for batch in batches:
             out = []
-            for doc_id, text, key in zip(
-                batch["doc_id"], batch["text"], batch["text_key"], strict=True
-            ):
-                hashes = text_word_hashes(text, of_bytes)
+            every = word_hashes_of(batch["text"], of_bytes)
+            for doc_id, key, hashes in zip(batch["doc_id"], batch["text_key"], every, strict=True):
                 anchor, first, end = anchors(hashes, window, gram, of_words)
                 if not len(anchor):
                     continue
@@ -110,9 +108,9 @@ def window_rows(texts: DataFrame, window: int) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of_bytes, of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
         for batch in batches:
-            rows = zip(batch["doc_id"], batch["text"], batch["text_key"], batch["stretches"], strict=True)
-            for doc_id, text, key, stretches in rows:
-                hashes = text_word_hashes(text, of_bytes)
+            every = word_hashes_of(batch["text"], of_bytes)
+            rows = zip(batch["doc_id"], batch["text_key"], batch["stretches"], every, strict=True)
+            for doc_id, key, stretches, hashes in rows:
                 starts = np.unique(np.concatenate([np.arange(s["first"], s["end"]) for s in stretches]))
                 yield pd.DataFrame(
                     {
