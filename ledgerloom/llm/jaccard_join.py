@@ -19,7 +19,7 @@ The boundary is chosen by cost from the histogram of sizes. Lists are light or h
 - before sets are fetched, pairs are ruled out whose stored shingles alone differ too much;
 - what is left of light lists is verified pair by pair;
 - what is left of heavy lists is dealt over pairs of blocks, where the sets outside the largest
-  component scan the inverted lists of the block.
+  component scan the inverted lists of the block, first with stored shingles, then with whole sets.
 
 Links that join no two components yet are all that is looked for, so large groups are not expanded
 into all pairs; every link between components is found. Sets are compared by 63-bit values of their
@@ -333,8 +333,56 @@ def light_pairs(rows: DataFrame, percent: int) -> DataFrame:
 UNIT = ["key", "low", "high"]
 
 
-def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components in heavy lists, block by block."""
+class Block:
+    """The sets of one pair of blocks, with inverted lists."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.root, self.node, self.own = (rows[c].to_numpy() for c in ("root", "node", "own"))
+        self.size = rows["size"].to_numpy()
+        self.sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
+        self.count = np.array([len(t) for t in self.sets])
+        self.starts = np.concatenate([[0], np.cumsum(self.count)[:-1]])
+        self.flat = np.concatenate(self.sets)
+        order = np.argsort(self.flat, kind="stable")
+        self.sorted = self.flat[order]
+        self.holders = np.repeat(np.arange(len(self.sets)), self.count)[order]
+        whole = self.count >= self.size
+        self.end = np.where(whole, np.iinfo(np.int64).max, [t[-1] for t in self.sets])
+        self.crossing = rows["low"].iloc[0] != rows["high"].iloc[0]
+
+    def overlaps(self, i: int) -> np.ndarray:
+        """Shingles that every set shares with set i, by a scan of its inverted lists."""
+        start = np.searchsorted(self.sorted, self.sets[i], "left")
+        length = np.searchsorted(self.sorted, self.sets[i], "right") - start
+        place = np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
+        found = self.holders[place + np.arange(length.sum())]
+        return np.bincount(found, minlength=len(self.sets))
+
+    def apart(self, i: int) -> np.ndarray:
+        """Least number of shingles in which every set differs from set i, as far as known."""
+        mine = np.searchsorted(self.sets[i], self.end, "right")
+        theirs = np.add.reduceat(self.flat <= self.end[i], self.starts)
+        return mine + theirs - 2 * self.overlaps(i)
+
+    def near(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Sets outside the largest component, and the sets of other components near to them."""
+        names, counts = np.unique(self.root, return_counts=True)
+        for i in np.flatnonzero(self.root != names[counts.argmax()]):
+            total = self.size + self.size[i]
+            near = self.apart(i) * (100 + percent) <= total * (100 - percent)
+            near &= self.root != self.root[i]
+            if self.crossing:
+                near &= self.own != self.own[i]
+            if near.any():
+                yield i, np.flatnonzero(near)
+
+
+def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Sets near to each other in heavy lists, block by block; `sets` has node and tokens.
+
+    With whole sets: links (a, b) between components, one for each component near to a set. With
+    prefixes: rows (a, b) of list and node that have a set near to them.
+    """
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     dealt = rows.withColumn("blocks", blocks)
     dealt = dealt.withColumn(
@@ -342,37 +390,23 @@ def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = dealt.select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "node", "root",
+        "own", "node", "root", "size",
     ).join(sets, "node")
 
     def check(rows: pd.DataFrame) -> pd.DataFrame | None:
-        root, node, own = (rows[c].to_numpy() for c in ("root", "node", "own"))
-        names, counts = np.unique(root, return_counts=True)
-        if len(names) == 1:
-            return None
-        sizes = np.array([len(t) for t in rows["tokens"]])
-        tokens = np.concatenate([np.asarray(t, np.int64) for t in rows["tokens"]])
-        holders = np.repeat(np.arange(len(rows)), sizes)
-        order = np.argsort(tokens, kind="stable")
-        tokens, holders = tokens[order], holders[order]
-        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
+        block = Block(rows)
         found = []
-        for i in np.flatnonzero(root != names[counts.argmax()]):
-            mine = np.asarray(rows["tokens"].iloc[i], np.int64)
-            start, end = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
-            length = end - start
-            place = np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
-            both = np.bincount(holders[place + np.arange(length.sum())], minlength=len(rows))
-            near = 100 * both >= percent * (sizes + sizes[i] - both)
-            near &= (root != root[i]) & ((own != own[i]) if low != high else True)
-            near = np.flatnonzero(near)
-            if len(near):
-                near = near[np.unique(root[near], return_index=True)[1]]
-                found.append((np.full(len(near), node[i]), node[near]))
+        for i, near in block.near(percent):
+            if whole:
+                near = near[np.unique(block.root[near], return_index=True)[1]]
+                found.append((np.full(len(near), block.node[i]), block.node[near]))
+            else:
+                nodes = np.append(block.node[near], block.node[i])
+                found.append((np.full(len(nodes), rows["key"].iloc[0]), nodes))
         if not found:
             return None
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pd.DataFrame({"a": a, "b": b})
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -421,9 +455,15 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     left = saved(divided(every, connected_components(links)))
     pairs = likely(light_pairs(left, percent), prefixes, percent)
     crowded = left.filter(F.col("n") > LIGHT)
+    alive = over_blocks(
+        crowded, prefixes.select("node", F.col("prefix").alias("tokens")), percent, whole=False
+    ).distinct()
+    crowded = crowded.join(
+        alive.select(F.col("a").alias("key"), F.col("b").alias("node")), ["key", "node"], "left_semi"
+    )
     sets = sets_of(ends(pairs).unionByName(crowded.select("node")))
     links = links.unionByName(verified(pairs, sets, percent)).unionByName(
-        block_links(crowded, sets, percent)
+        over_blocks(crowded, sets, percent, whole=True)
     )
     roots = connected_components(links)
     found = (
