@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,17 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         now = saved(_small_star(_large_star(now)))
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def spanning(left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
+    """For each row the smallest row it reaches by the pairs."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[left], label[right])
+        new = label.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import saved, shuffle_width
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, spanning
 
 THRESHOLD = 0.9
 MISS = 1e-5
@@ -186,20 +186,6 @@ def first_meetings(hasher: Hasher, x, left, right, table: int, bucket: int) -> n
     return fresh & (lowest == bucket)
 
 
-def spanning(left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
-    """For each row the smallest row it reaches by the pairs."""
-    label = np.arange(count)
-    while True:
-        low = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 UNIT = ["dim", "tab", "bucket", "low", "high"]
 
 

@@ -19,7 +19,8 @@ The boundary is chosen by cost from the histogram of sizes. Lists are light or h
 - before sets are fetched, pairs are ruled out whose stored shingles alone differ too much;
 - what is left of light lists is verified pair by pair;
 - what is left of heavy lists is dealt over pairs of blocks, where the sets outside the largest
-  component scan the inverted lists of the block, first with stored shingles, then with whole sets.
+  component scan the inverted lists of the block: first with stored shingles, which ties sets that
+  may be similar into clusters, then with whole sets, once for each cluster.
 
 Links that join no two components yet are all that is looked for, so large groups are not expanded
 into all pairs; every link between components is found. Sets are compared by 63-bit values of their
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import saved, shuffle_width
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, spanning
 from ledgerloom.llm.hashing import (
     BYTE_BASE,
     WORD_BASE,
@@ -381,7 +382,7 @@ def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
     """Sets near to each other in heavy lists, block by block; `sets` has node and tokens.
 
     With whole sets: links (a, b) between components, one for each component near to a set. With
-    prefixes: rows (a, b) of list and node that have a set near to them.
+    prefixes: pairs (a, b) that tie together all sets that are near to each other.
     """
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     dealt = rows.withColumn("blocks", blocks)
@@ -399,14 +400,15 @@ def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
         for i, near in block.near(percent):
             if whole:
                 near = near[np.unique(block.root[near], return_index=True)[1]]
-                found.append((np.full(len(near), block.node[i]), block.node[near]))
-            else:
-                nodes = np.append(block.node[near], block.node[i])
-                found.append((np.full(len(nodes), rows["key"].iloc[0]), nodes))
+            found.append((np.full(len(near), i), near))
         if not found:
             return None
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+        if not whole:
+            label = spanning(a, b, len(rows))
+            a = np.flatnonzero(label != np.arange(len(rows)))
+            b = label[a]
+        return pd.DataFrame({"a": block.node[a], "b": block.node[b]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -455,15 +457,13 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     left = saved(divided(every, connected_components(links)))
     pairs = likely(light_pairs(left, percent), prefixes, percent)
     crowded = left.filter(F.col("n") > LIGHT)
-    alive = over_blocks(
-        crowded, prefixes.select("node", F.col("prefix").alias("tokens")), percent, whole=False
-    ).distinct()
-    crowded = crowded.join(
-        alive.select(F.col("a").alias("key"), F.col("b").alias("node")), ["key", "node"], "left_semi"
-    )
-    sets = sets_of(ends(pairs).unionByName(crowded.select("node")))
+    stored = prefixes.select("node", F.col("prefix").alias("tokens"))
+    near = connected_components(over_blocks(crowded, stored, percent, whole=False))
+    sets = sets_of(ends(pairs).unionByName(near.select("node")))
+    once = crowded.select("node", "size", "root").distinct()
+    clusters = once.join(near.select("node", F.col("root").alias("key")), "node")
     links = links.unionByName(verified(pairs, sets, percent)).unionByName(
-        over_blocks(crowded, sets, percent, whole=True)
+        over_blocks(shared_lists(clusters), sets, percent, whole=True)
     )
     roots = connected_components(links)
     found = (
