@@ -57,6 +57,7 @@ SIZE_BINS = 4_096
 LIST_COST = 4  # cost of an entry of a shingle's list, in entries of a pair's list
 LIGHT = 16
 SPARE = 16
+MAX_SENT = 200_000
 BLOCK = 1_024
 EMPTY = 0  # the node of empty sets
 
@@ -378,11 +379,11 @@ class Block:
                 yield i, np.flatnonzero(near)
 
 
-def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
+def over_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Sets near to each other in heavy lists, block by block; `sets` has node and tokens.
 
-    With whole sets: links (a, b) between components, one for each component near to a set. With
-    prefixes: pairs (a, b) that tie together all sets that are near to each other.
+    The pairs (a, b) tie together all sets that are near to each other: for whole sets those that
+    links join, for prefixes those that links may join.
     """
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     dealt = rows.withColumn("blocks", blocks)
@@ -391,26 +392,23 @@ def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = dealt.select(
         "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "node", "root", "size",
+        "own", "node", "root", "size", "smallest",
     ).join(sets, "node")
 
     def check(rows: pd.DataFrame) -> pd.DataFrame | None:
+        rows = rows.sort_values("node")
         block = Block(rows)
         found = []
         for i, near in block.near(percent):
-            if whole:
-                near = near[np.unique(block.root[near], return_index=True)[1]]
             found.append((np.full(len(near), i), near))
         if not found:
             return None
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        if not whole:
-            label = spanning(a, b, len(rows))
-            a = np.flatnonzero(label != np.arange(len(rows)))
-            b = label[a]
-        return pd.DataFrame({"a": block.node[a], "b": block.node[b]})
+        label = spanning(a, b, len(rows))
+        tied = np.flatnonzero(label != np.arange(len(rows)))
+        return pd.DataFrame({"a": block.node[tied], "b": block.node[label[tied]]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def units_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -419,15 +417,26 @@ def over_blocks(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
             keys = batch[UNIT].to_numpy(np.int64)
             starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
             for start, end in zip(starts[:-1], starts[1:], strict=True):
-                out = check(batch.iloc[start:end])
-                if out is not None:
-                    yield out
+                yield batch.iloc[start:end]
             held = batch.iloc[starts[-1] :]
-        out = None if held is None else check(held)
-        if out is not None:
-            yield out
+        if held is not None:
+            yield held
 
-    parts = units.repartition(shuffle_width(units.sparkSession), *UNIT)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent: set[tuple[int, int]] = set()
+        for rows in units_of(batches):
+            out = check(rows)
+            if out is None:
+                continue
+            if len(sent) > MAX_SENT:
+                sent.clear()
+            new = [pair for pair in zip(out["a"], out["b"], strict=True) if pair not in sent]
+            sent.update(new)
+            if new:
+                yield pd.DataFrame(new, columns=["a", "b"])
+
+    # Lists of one group mostly have one smallest node; together they repeat fewer pairs.
+    parts = units.repartition(shuffle_width(units.sparkSession), "smallest", "low", "high")
     return saved(parts.sortWithinPartitions(*UNIT).mapInPandas(run, "a long, b long"))
 
 
@@ -458,12 +467,13 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     pairs = likely(light_pairs(left, percent), prefixes, percent)
     crowded = left.filter(F.col("n") > LIGHT)
     stored = prefixes.select("node", F.col("prefix").alias("tokens"))
-    near = connected_components(over_blocks(crowded, stored, percent, whole=False))
+    near = connected_components(over_blocks(crowded, stored, percent))
     sets = sets_of(ends(pairs).unionByName(near.select("node")))
     once = crowded.select("node", "size", "root").distinct()
     clusters = once.join(near.select("node", F.col("root").alias("key")), "node")
+    clusters = clusters.withColumn("smallest", F.col("key"))
     links = links.unionByName(verified(pairs, sets, percent)).unionByName(
-        over_blocks(shared_lists(clusters), sets, percent, whole=True)
+        over_blocks(shared_lists(clusters), sets, percent)
     )
     roots = connected_components(links)
     found = (
