@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,18 +53,20 @@ FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and cut its lineage there.
+    """Write a frame as a table in the shared checkpoint folder and read it back from there.
 
-    The shuffle files of this one run go with its end, as the rows are read from the folder.
+    That ends its lineage, so a lost executor costs no earlier step. The shuffle files of this one
+    run go with its end; the table stays until the folder is cleared.
     """
     spark = df.sparkSession
-    shared_folder(spark)
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     before = spark.conf.get(FILE_CLEANUP)
     spark.conf.set(FILE_CLEANUP, "true")
     try:
-        return df.select("*").checkpoint(eager=True)
+        df.write.parquet(path)
     finally:
         spark.conf.set(FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
