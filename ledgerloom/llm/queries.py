@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     bpe_trie,
@@ -16,6 +17,7 @@ from ledgerloom.llm import (
     quality_rules,
     substring_dedup,
     toxicity,
+    url_filters,
 )
 from ledgerloom.llm.common import table, tokenizer_file
 
@@ -56,6 +58,33 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, fetched on days made from their ids, against entries made from their hosts.
+
+    The tables hold no list: every host is listed for 90 days, every parent domain for 30.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("day", F.col("page_id") * 37 % 365)
+    hosts = (
+        pages.select(url_filters.host_of(F.col("url")).alias("host"), "page_id")
+        .groupBy("host").agg(F.min("page_id").alias("first"))
+    )
+    parents = (
+        hosts.select(F.regexp_replace("host", r"^[^.]*\.", "").alias("host"), "first")
+        .groupBy("host").agg(F.min("first").alias("first"))
+    )
+
+    def entries(of: DataFrame, start, days: int) -> DataFrame:
+        listed = of.select("host", start.alias("day"), F.lit(True).alias("listed"))
+        left = of.select("host", (start + days).alias("day"), F.lit(False).alias("listed"))
+        return listed.unionByName(left)
+
+    every = entries(hosts, F.col("first") * 7 % 200, 90).unionByName(
+        entries(parents, F.col("first") % 50 + 300, 30)
+    )
+    return url_filters.judged(captures, every)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -72,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
 }
@@ -109,4 +139,32 @@ ORACLES: dict[str, str] = {
                 AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op8_url_filters": r"""
+        WITH captures AS (
+            SELECT page_id, page_id * 37 % 365 AS day, nullif(regexp_extract(lower(trim(url)),
+                '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '') AS host
+            FROM pages
+        ),
+        hosts AS (SELECT host, min(page_id) AS first FROM captures GROUP BY host),
+        parents AS (
+            SELECT regexp_replace(host, '^[^.]*\.', '') AS host, min(first) AS first
+            FROM hosts GROUP BY 1
+        ),
+        entries AS (
+            SELECT host, first * 7 % 200 AS day, true AS listed FROM hosts
+            UNION ALL SELECT host, first * 7 % 200 + 90, false FROM hosts
+            UNION ALL SELECT host, first % 50 + 300, true FROM parents
+            UNION ALL SELECT host, first % 50 + 330, false FROM parents
+        ),
+        days AS (
+            SELECT host, day, bool_or(listed) AS listed,
+                lead(day) OVER (PARTITION BY host ORDER BY day) AS next_day
+            FROM entries WHERE host IS NOT NULL AND day IS NOT NULL GROUP BY host, day
+        )
+        SELECT c.page_id, c.host, c.day, count(e.host) AS n_listed, count(e.host) > 0 AS blocked
+        FROM captures c LEFT JOIN days e
+            ON e.listed AND e.day <= c.day AND (c.host = e.host OR c.host LIKE '%.' || e.host)
+            AND (e.next_day IS NULL OR c.day < e.next_day)
+        GROUP BY c.page_id, c.host, c.day
+    """,
 }

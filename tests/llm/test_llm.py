@@ -23,6 +23,7 @@ from ledgerloom.llm import (
     quality_rules,
     substring_dedup,
     toxicity,
+    url_filters,
 )
 from ledgerloom.llm.common import table, tokenizer_file
 from ledgerloom.llm.components import connected_components
@@ -306,6 +307,23 @@ def test_substrings(docs, empty):
     assert whole.columns == docs.columns and whole.count() == docs.count()
 
 
+def test_urls(spark):
+    entries = spark.createDataFrame(
+        [("bad.com", 5, True), ("bad.com", 9, False), ("bad.com", 5, False), ("bad.com", 20, True),
+         ("bad.com", 20, True), (None, 1, True), ("www.bad.com", 7, True), ("x.org", None, True)],
+        "host string, day long, listed boolean",
+    )
+    urls = [
+        (1, "http://Bad.com/a", 4, 0), (2, "http://bad.com:80/", 5, 1), (3, "https://www.bad.com?q", 8, 2),
+        (4, "http://bad.com", 9, 0), (5, "http://u@bad.com", 25, 1), (6, "http://notbad.com", 6, 0),
+        (7, None, 6, 0), (8, "x", 6, 0), (9, "http://bad.com", None, 0), (2, "http://bad.com:80/", 5, 1),
+    ]
+    captures = spark.createDataFrame([(*u[:3], "c") for u in urls], "page_id long, url string, day long, host string")
+    found = url_filters.judged(captures, entries).collect()
+    assert sorted((r.page_id, r.n_listed, r.blocked) for r in found) == sorted((u[0], u[3], u[3] > 0) for u in urls)
+    assert url_filters.judged(captures.limit(0), entries).count() == 0
+
+
 def test_bpe(docs, empty):
     path = tokenizer_file("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
