@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes, text
 
-_NULL_SPREAD = 256
-
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
@@ -56,8 +54,9 @@ def _spread_nulls(df: DataFrame, on: Sequence[str], by: str | None) -> DataFrame
     they would all hash to one partition. They are spread by one column that tells rows apart,
     by default the first that is no join column, so that all others can still be pruned.
     """
-    by = by or next((c for c in df.columns if c not in on), on[0])
-    spread = F.pmod(F.xxhash64(F.col(by)), F.lit(_NULL_SPREAD)) + 1
+    by = by or next((c for c in df.columns if c not in on), None)
+    # Without another column, rows with equal keys are told apart by their place.
+    spread = F.xxhash64(F.col(by)) if by else F.xxhash64(*on, F.monotonically_increasing_id())
     zero = F.lit(0).cast("bigint")
     return df.withColumn("_spread", F.when(_any_null(on), spread).otherwise(zero))
 

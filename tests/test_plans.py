@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from conftest import SF
+from standin.checks import QUERIES
 from ledgerloom.operators import match, rollup, scope
 from ledgerloom.plans import contracts, customers
 from standin.registry import PARAMS
@@ -18,7 +19,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_product_join_and_no_python(spark, name):
     plan = plan_of(spark_entry.queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
