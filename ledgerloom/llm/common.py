@@ -63,7 +63,7 @@ def saved(df: DataFrame) -> DataFrame:
     before = spark.conf.get(FILE_CLEANUP)
     spark.conf.set(FILE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(FILE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

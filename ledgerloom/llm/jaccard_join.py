@@ -98,11 +98,11 @@ class Shingler:
         return int(mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def pair_keys(tokens: np.ndarray, percent: int, boundary: int) -> np.ndarray:
+def pair_keys(prefix: np.ndarray, size: int, percent: int, boundary: int) -> np.ndarray:
     """The lists that a small set enters: one for every pair of its first shingles."""
-    if not 2 <= len(tokens) <= boundary:
+    if not 2 <= size <= boundary:
         return np.zeros(0, np.int64)
-    some = mixed(tokens[: lost(len(tokens), percent) + 2].view(np.uint64))
+    some = mixed(prefix[: lost(size, percent) + 2].view(np.uint64))
     a, b = np.triu_indices(len(some), 1)
     return mixed(some[a] * np.uint64(3) + some[b]).view(np.int64)
 
@@ -156,13 +156,13 @@ def signatures(
 ) -> tuple[DataFrame, np.ndarray, int]:
     """Signed rows, written once, the words' commonness and the boundary of small sets.
 
-    A row holds doc_id, text_key, node, size, `pairs` (keys of a small set), `head` (the first
-    shingles, one more than may be missing) and `more` (the next ones).
+    A row holds doc_id, text_key, node, size, `head` (the first shingles, one more than may be
+    missing) and `more` (the next ones).
     """
     counts, sizes = corpus_counts(docs)
     level, boundary = commonness(counts), choose_boundary(sizes, percent)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["node", "size", "pairs", "head", "more"]
+    names = ["node", "size", "head", "more"]
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words, level)
@@ -172,8 +172,8 @@ def signatures(
                 first = lost(len(tokens), percent) + 1
                 rows.append(
                     (
-                        shingler.node(tokens), len(tokens), pair_keys(tokens, percent, boundary),
-                        tokens[:first], tokens[first : 2 * first + SPARE],
+                        shingler.node(tokens), len(tokens), tokens[:first],
+                        tokens[first : 2 * first + SPARE],
                     )
                 )
             out = batch[["row", "text_key"]].copy()
@@ -186,7 +186,7 @@ def signatures(
     )
     schema = (
         f"row struct<doc_id: {kind}>, text_key long, node long, size long, "
-        "pairs array<long>, head array<long>, more array<long>"
+        "head array<long>, more array<long>"
     )
     signed = keyed.mapInPandas(sign, schema)
     return saved(signed.select("row.doc_id", "text_key", *names)), level, boundary
@@ -258,11 +258,28 @@ def missing(percent: int) -> Column:
 
 
 def first_lists(signed: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """Shared lists of pairs of shingles (small sets) and of single shingles; written once."""
-    nothing = F.array().cast("array<long>")
-    listed = 100 * F.col("size") >= percent * (boundary + 1)
-    keys = F.concat("pairs", F.when(listed, F.col("head")).otherwise(nothing))
-    rows = signed.filter("size > 1").select(F.explode(keys).alias("key"), "node", "size")
+    """Shared lists of pairs of shingles (small sets) and of single shingles; written once.
+
+    The keys of pairs follow from the stored shingles, so they are made here and never stored.
+    """
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch[["node", "size"]].copy()
+            out["keys"] = [
+                np.concatenate([
+                    pair_keys(np.concatenate([head, more]), size, percent, boundary),
+                    head[: len(head) if 100 * size >= percent * (boundary + 1) else 0],
+                ])
+                for size, head, more in zip(
+                    batch["size"], batch["head"], batch["more"], strict=True
+                )
+            ]
+            yield out
+
+    stored = signed.filter("size > 1").select("node", "size", "head", "more")
+    keys = stored.mapInPandas(keyed, "node long, size long, keys array<long>")
+    rows = keys.select(F.explode("keys").alias("key"), "node", "size")
     # Copies of a set meet in all its lists; they are one row once unshared keys are gone.
     return saved(shared_lists(shared_lists(rows).select("key", "node", "size").distinct()))
 
@@ -452,7 +469,7 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .join(every.select("node").distinct(), "node", "left_semi")
         .dropDuplicates(["node"])
     )
-    signed = signed.drop("pairs", "head", "more")
+    signed = signed.drop("head", "more")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         rows = signed.join(nodes.distinct(), "node", "left_semi").groupBy("node")
