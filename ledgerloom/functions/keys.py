@@ -16,10 +16,14 @@ def surrogate_key(entity: str, *parts: Column) -> Column:
     """Deterministic 36-character id of an entity from its natural key.
 
     The same input gives the same id in every run and on every executor, so lost tasks can be
-    recomputed and no key has to be read back from the target.
+    recomputed and no key has to be read back from the target. Every part is written behind its
+    length and a null part as a dash, so different keys never give the same text.
     """
-    text = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    key = F.md5(F.concat_ws("|", F.lit(entity), *text))
+    texts = [p.cast("string") for p in parts]
+    cells = [
+        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts
+    ]
+    key = F.md5(F.concat(F.lit(f"{entity}|"), *cells))
     for dash in (9, 14, 19, 24):
         key = F.overlay(key, F.lit("-"), dash, 0)
     return key

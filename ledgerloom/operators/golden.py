@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import arrays, keys, text
 from ledgerloom.operators import match
 
-# Largest group whose ids are held in one array; the key map holds the ids of every group.
-MAX_ARRAY_IDS = 100_000
-
 # Ids per array of ``chunked_ids``.
 CHUNK_IDS = 1000
 
@@ -76,25 +73,8 @@ def merged_ids(records: DataFrame) -> DataFrame:
     )
 
 
-def with_id_arrays(
-    golden: DataFrame, key_rows: DataFrame, max_ids: int = MAX_ARRAY_IDS
-) -> DataFrame:
-    """ARR3: the sorted legacy ids of each golden record as an array.
-
-    Only groups of at most ``max_ids`` get an array, so no task ever holds an unbounded group. A
-    larger group has a null array and its ids in the key map, which is complete for every group.
-    """
-    large = golden.filter(F.col("id_count") > max_ids).select("id")
-    lists = (
-        key_rows.join(large, "id", "left_anti")
-        .groupBy("id")
-        .agg(F.array_sort(F.collect_list("legacy_id")).alias("legacy_ids"))
-    )
-    return golden.join(lists, "id", "left")
-
-
 def chunked_ids(key_rows: DataFrame, width: int = CHUNK_IDS) -> DataFrame:
-    """ARR3 for groups of any size: arrays of ids by id range, at most ``width`` ids each."""
+    """ARR3: sorted arrays of ids by id range, at most ``width`` ids each, for groups of any size."""
     return (
         key_rows.withColumn("chunk", F.floor(F.col("legacy_id") / F.lit(width)).cast("bigint"))
         .groupBy("id", "chunk")
@@ -105,7 +85,7 @@ def chunked_ids(key_rows: DataFrame, width: int = CHUNK_IDS) -> DataFrame:
 def totals(golden: DataFrame, key_rows: DataFrame) -> DataFrame:
     """AGG12 / VAL2 for groups of any size: golden records, the ids they stand for, ids merged away.
 
-    Counted over the key map, so a group too large for an array counts like any other.
+    Counted over the key map, so no group is ever gathered in one place.
     """
     ids = key_rows.agg(F.count("*").alias("ids"))
     rows = golden.agg(F.count("*")).scalar()

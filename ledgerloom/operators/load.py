@@ -20,7 +20,8 @@ def replace_all(incoming: DataFrame) -> DataFrame:
     return incoming
 
 
-def _keep_and_add(kept: DataFrame, incoming: DataFrame) -> DataFrame:
+def append_all(kept: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The kept rows and all incoming ones."""
     return kept.unionByName(incoming.select(*kept.columns))
 
 
@@ -28,28 +29,30 @@ def replace_by_key(
     existing: DataFrame, incoming: DataFrame, removed: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """LOD2 / LOD5: drop the rows whose (legacy or parent) key is in ``removed``, add incoming."""
-    return _keep_and_add(match.without(existing, removed.select(*keys), keys), incoming)
+    return append_all(match.without(existing, removed.select(*keys), keys), incoming)
 
 
-def with_any_element(existing: DataFrame, ids: DataFrame, key: str, array: str) -> DataFrame:
-    """ARR1 for long lists: keys of the rows that hold any of the ids in their array."""
-    id_column = ids.columns[0]
-    elements = existing.select(key, F.explode(array).alias(id_column))
-    return match.within(elements, ids, [id_column]).select(key).distinct()
+def with_any_element(key_rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """ARR1 for long lists: the records that stand for any of the legacy ids.
+
+    ``key_rows`` holds one row per (legacy_id, id), so groups of any size are read alike.
+    """
+    wanted = ids.select(F.col(ids.columns[0]).alias("legacy_id"))
+    return match.within(key_rows, wanted, ["legacy_id"]).select("id").distinct()
 
 
 def replace_by_array_key(
-    existing: DataFrame, incoming: DataFrame, ids: DataFrame, key: str, array: str
+    existing: DataFrame, incoming: DataFrame, key_rows: DataFrame, ids: DataFrame
 ) -> DataFrame:
-    """LOD3: drop the rows that hold any of the ids in their array, add incoming."""
-    return replace_by_key(existing, incoming, with_any_element(existing, ids, key, array), [key])
+    """LOD3: drop the records that stand for any of the legacy ids, add incoming."""
+    return replace_by_key(existing, incoming, with_any_element(key_rows, ids), ["id"])
 
 
 def replace_by_type(
     existing: DataFrame, incoming: DataFrame, type_column: str, owner_type: str
 ) -> DataFrame:
     """LOD4: replace the rows of one owner type of a shared child table."""
-    return _keep_and_add(existing.filter(~F.col(type_column).eqNullSafe(owner_type)), incoming)
+    return append_all(existing.filter(~F.col(type_column).eqNullSafe(owner_type)), incoming)
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,7 +62,7 @@ def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
 
 def append_new(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """LOD6 / LOD9: existing rows stay, rows with a new key are added."""
-    return _keep_and_add(existing, new_rows(existing, incoming, keys))
+    return append_all(existing, new_rows(existing, incoming, keys))
 
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame, pair: Sequence[str]) -> DataFrame:
@@ -98,7 +101,7 @@ def apply_policy(
         return replace_all(incoming)
     if mode == "replace_by_key":
         return replace_by_key(existing, incoming, removed, keys)
-    return _keep_and_add(existing, incoming)
+    return append_all(existing, incoming)
 
 
 def placeholders(

@@ -49,9 +49,9 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
-def count_array_ids(golden_rows: DataFrame, ids: str) -> DataFrame:
+def count_array_ids(chunks: DataFrame, ids: str) -> DataFrame:
     """VAL2: customers reconcile on the ids they stand for, not on rows."""
-    return rollup.array_totals(golden_rows, ids).select("ids")
+    return rollup.array_ids(chunks, ids)
 
 
 def reconcile_billing(contracts: DataFrame, billings: DataFrame) -> DataFrame:

@@ -131,12 +131,17 @@ def key_range(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def array_totals(golden: DataFrame, ids: str) -> DataFrame:
-    """AGG12 / ARR2: rows, summed array lengths and the ids merged away."""
-    return golden.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(arrays.length(F.col(ids))), F.lit(0)).alias("ids"),
-    ).withColumn("merged", F.greatest(F.lit(0), F.col("ids") - F.col("rows")))
+def array_ids(chunks: DataFrame, ids: str) -> DataFrame:
+    """ARR2: summed lengths of the id arrays."""
+    return chunks.agg(F.coalesce(F.sum(arrays.length(F.col(ids))), F.lit(0)).alias("ids"))
+
+
+def array_totals(golden: DataFrame, chunks: DataFrame, ids: str) -> DataFrame:
+    """AGG12: records, the ids in their arrays (any number of arrays each) and the ids merged away."""
+    rows = golden.agg(F.count("*")).scalar()
+    return array_ids(chunks, ids).select(rows.alias("rows"), "ids").withColumn(
+        "merged", F.greatest(F.lit(0), F.col("ids") - F.col("rows"))
+    )
 
 
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -77,17 +77,15 @@ def customer_keys(parties: DataFrame, wanted: DataFrame | None = None) -> DataFr
 
 
 def golden_customers(parties: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """Golden records with unique tax ids, without their id arrays."""
+    """Golden records with unique tax ids."""
     merged = golden.merge_records(_wanted_parties(parties, wanted), MERGED_COLUMNS)
     unique = golden.with_unique_tax_id(merged)
     return unique.withColumn("id", golden.golden_id(F.col("merge_key")))
 
 
 def customers(parties: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """PIP2."""
-    rows = golden.with_id_arrays(
-        golden_customers(parties, wanted), customer_keys(parties, wanted)
-    )
+    """PIP2. The legacy ids behind a record are the rows of ``customer_keys``."""
+    rows = golden_customers(parties, wanted)
     return conform(
         rows.withColumnsRenamed({"tax_id": "cnpj", "tax_id_status": "cnpj_status"}), "customers"
     )

@@ -78,14 +78,25 @@ class Run:
 
     def __post_init__(self) -> None:
         self.terms = sheets.sheet_terms(self.sheet) if self.sheet is not None else None
+        self._effective = self.params if self.terms is None else None
 
     def effective(self) -> ScopeParams:
-        """SET1: the requested contracts, cut to those the sheet lists when there is a sheet."""
-        if self.terms is None:
-            return self.params
-        return self.params.with_ids(
-            scope.intersect_sheet(self.params.contract_ids, self.terms.select("contract_id"))
-        )
+        """SET1: the requested contracts, cut to those the sheet lists when there is a sheet.
+
+        A run whose request and sheet have no contract in common stops here.
+        """
+        if self._effective is None:
+            ids = scope.intersect_sheet(
+                self.params.contract_ids, self.terms.select("contract_id")
+            )
+            scope.require_rows(ids, "the sheet lists none of the requested contracts")
+            self._effective = self.params.with_ids(ids)
+        return self._effective
+
+    @property
+    def is_restricted(self) -> bool:
+        """Whether the run covers a part of the source only, by request or by its sheet."""
+        return self.effective().is_restricted
 
     def lines(self) -> DataFrame:
         return self.source.table("contract_lines")
@@ -100,8 +111,10 @@ class Run:
         return table if ids is None else match.within(table, ids, ["contract_id"])
 
     def wanted(self, column: str) -> DataFrame:
+        """The ids of one dimension in scope; with a limit (SRT1) the first of them."""
         found = self.scoped_lines().filter(F.col(column).isNotNull())
-        return found.select(F.col(column).alias("id")).distinct()
+        ids = found.select(F.col(column).alias("id")).distinct()
+        return scope.sample(ids, self.effective(), "id")
 
     def target(self, name: str) -> DataFrame:
         table = self.store.read(name)
@@ -121,7 +134,7 @@ def _load_by_policy(run: Run, table: str, incoming: DataFrame, keys: Sequence[st
     removed = incoming.select(*keys).distinct()
     run.store.write(
         table,
-        load.apply_policy(run.policy, run.params.is_restricted, existing, incoming, removed, keys),
+        load.apply_policy(run.policy, run.is_restricted, existing, incoming, removed, keys),
     )
 
 
@@ -133,18 +146,21 @@ def _load_by_type(run: Run, table: str, incoming: DataFrame, column: str, owner:
     run.store.write(table, content)
 
 
-def _children_of_contracts(run: Run, table: str, incoming: DataFrame) -> None:
-    """LOD5: replace the children of the contracts in scope."""
+def _keys_of(run: Run, found: DataFrame) -> DataFrame:
+    """The loaded contracts a step found, by their new key."""
+    wanted = found.select(F.col("contract_id").alias("legacy_id"))
+    return match.within(run.contract_keys(), wanted, ["legacy_id"]).select(
+        F.col("id").alias("contract_id")
+    )
+
+
+def _children_of_contracts(run: Run, table: str, incoming: DataFrame, found: DataFrame) -> None:
+    """LOD5: replace the children of the contracts the step found; all others stay."""
     existing = run.store.read(table)
-    if existing is None or run.policy.clear or not run.effective().is_restricted:
+    if existing is None or run.policy.clear or not run.is_restricted:
         run.store.write(table, incoming)
         return
-    parents = run.contract_keys()
-    ids = run.effective().contract_ids
-    if ids is not None:
-        wanted = ids.select(F.col("contract_id").alias("legacy_id"))
-        parents = match.within(parents, wanted, ["legacy_id"])
-    removed = parents.select(F.col("id").alias("contract_id"))
+    removed = _keys_of(run, found)
     run.store.write(table, load.replace_by_key(existing, incoming, removed, ["contract_id"]))
 
 
@@ -160,13 +176,14 @@ def _customers(run: Run) -> None:
     rows = customers.customers(parties, wanted)
     old, old_keys = run.store.read("customers"), run.store.read("customer_legacy_ids")
     if old is not None and old_keys is not None and not run.policy.clear:
-        if run.effective().is_restricted:
-            touched = match.within(old_keys, key_rows, ["legacy_id"]).select("id")
+        if run.is_restricted:
+            touched = load.with_any_element(old_keys, key_rows)
             removed = touched.unionByName(key_rows.select("id")).distinct()
             rows = load.replace_by_key(old, rows, removed, ["id"])
             key_rows = load.replace_by_key(old_keys, key_rows, removed, ["id"])
-    run.store.write("customer_legacy_ids", key_rows)
+    # Records first: a run lost in between leaves records without keys, never keys without records.
     run.store.write("customers", rows)
+    run.store.write("customer_legacy_ids", key_rows)
 
 
 def _customer_addresses(run: Run) -> None:
@@ -182,10 +199,15 @@ def _customer_contacts(run: Run) -> None:
 
 
 def _customer_brands(run: Run) -> None:
+    """PIP5 with LOD1: links to brands that are gone go with them."""
     rows = customers.customer_brands(
         run.lines(), run.target("customer_segments"), run.effective(), run.run_ts
     )
-    run.store.write("customer_brands", rows)
+    brands = run.store.write("customer_brands", rows).select(F.col("id").alias("customer_brand_id"))
+    for child in ("customer_customer_brand", "contract_scenarios_brands"):
+        linked = run.store.read(child)
+        if linked is not None:
+            run.store.write(child, match.within(linked, brands, ["customer_brand_id"]))
 
 
 def _customer_customer_brand(run: Run) -> None:
@@ -248,7 +270,8 @@ def _store_contacts(run: Run) -> None:
 
 def _users(run: Run) -> None:
     existing = run.store.read("users")
-    content = users.load_users(existing, run.source.table("source_users"), run.policy.clear)
+    found = scope.sample(run.source.table("source_users"), run.params, "id")
+    content = users.load_users(existing, found, run.policy.clear)
     run.store.write("users", content)
 
 
@@ -280,9 +303,8 @@ def _billings(run: Run) -> None:
             run.lines(), wanted, run.target("customer_legacy_ids")
         )
         incoming = billing.billings(billed, run.terms, run.target("customers"), run.run_ts)
-        restricted = run.params.is_restricted
         existing = run.store.write(
-            "billings", billing.load_billings(existing, incoming, run.policy, restricted)
+            "billings", billing.load_billings(existing, incoming, run.policy, run.is_restricted)
         )
     elif existing is None:
         existing = run.store.write(
@@ -308,18 +330,27 @@ def _contract_scenarios(run: Run) -> None:
         run.lines(), run.contract_billings(), tasks, run.effective(), run.run_ts
     )
     run.store.write("scenario_keys", contracts.scenario_key_map(keyed))
-    _children_of_contracts(run, "contract_scenarios", contracts.contract_scenarios(keyed))
+    _children_of_contracts(
+        run, "contract_scenarios", contracts.contract_scenarios(keyed), run.scoped_lines()
+    )
 
 
 def _contract_scenario_stores(run: Run) -> None:
+    """PIP20: a restricted run replaces the stores of the contracts it found.
+
+    Only stores of scenarios that other contracts still have are kept, so none outlives its scenario.
+    """
     rows = contracts.contract_scenario_stores(
         run.lines(), run.source.table("line_flags"), run.target("scenario_keys"),
         run.target("stores"), run.effective(), run.run_ts,
     )
     existing = run.store.read("contract_scenario_stores")
-    if existing is not None and run.effective().is_restricted and not run.policy.clear:
-        replaced = run.target("scenario_keys").select("scenario_id")
-        rows = load.replace_by_key(existing, rows, replaced, ["scenario_id"])
+    if existing is not None and run.is_restricted and not run.policy.clear:
+        held = run.target("contract_scenarios").select(
+            F.col("id").alias("scenario_id"), "contract_id"
+        )
+        others = match.without(held, _keys_of(run, run.scoped_lines()), ["contract_id"])
+        rows = load.append_all(match.within(existing, others, ["scenario_id"]), rows)
     run.store.write("contract_scenario_stores", rows)
 
 
@@ -341,12 +372,12 @@ def _contract_team_members(run: Run) -> None:
         run.scoped_lines(), run.scoped("contract_master"), run.contract_keys(),
         match.key_map(run.target("users")), run.run_ts,
     )
-    _children_of_contracts(run, "contract_team_members", rows)
+    _children_of_contracts(run, "contract_team_members", rows, run.scoped_lines())
 
 
 def _contract_contacts(run: Run) -> None:
     rows = contracts.contract_contacts(run.scoped_lines(), run.contract_keys(), run.run_ts)
-    _children_of_contracts(run, "contract_contacts", rows)
+    _children_of_contracts(run, "contract_contacts", rows, run.scoped_lines())
 
 
 def _contract_partners(run: Run) -> None:
@@ -355,14 +386,16 @@ def _contract_partners(run: Run) -> None:
     rows = contracts.contract_partners(
         run.scoped_lines(), run.contract_keys(), run.people, run.run_ts
     )
-    _children_of_contracts(run, "contract_partners", rows)
+    _children_of_contracts(run, "contract_partners", rows, run.scoped_lines())
 
 
 def _contract_additional_charges(run: Run) -> None:
     rows = contracts.contract_additional_charges(
         run.scoped("contract_master"), run.contract_billings(), run.run_ts
     )
-    _children_of_contracts(run, "contract_additional_charges", rows)
+    _children_of_contracts(
+        run, "contract_additional_charges", rows, run.scoped("contract_master")
+    )
 
 
 def _contract_scenarios_brands(run: Run) -> None:

@@ -199,7 +199,7 @@ _TERMS = (
 TARGETS: dict[str, str] = {
     "customer_segments": "id string, name string, is_active boolean, "
     f"{_CREATED_UPDATED}, legacy_id bigint",
-    "customers": "id string, legacy_ids array<bigint>, cnpj string, cnpj_status string, "
+    "customers": "id string, cnpj string, cnpj_status string, "
     "state_registration string, municipal_registration string, legal_name string, "
     f"trade_name string, simple_opt boolean, status string, {_CREATED_UPDATED}, code bigint",
     "customer_legacy_ids": "legacy_id bigint, id string",

@@ -82,13 +82,14 @@ _GOLDEN = f"WITH {records.ALL_PARTIES}, {records.GOLDEN}"
     "replace_by_array_key",
     f"""{_GOLDEN}, touched AS (SELECT DISTINCT {r.key('customer', 'merge_key')} AS id
       FROM keyed_parties WHERE record_id % 7 = 0)
-    SELECT id, legacy_ids FROM golden_customers WHERE id NOT IN (SELECT id FROM touched)""",
+    SELECT id, id_count FROM golden_customers WHERE id NOT IN (SELECT id FROM touched)""",
 )
 def replace_by_array_key(t):
     """LOD3 and ARR1: golden records that hold any of the ids go, whatever other ids they hold."""
-    records_now = customers.customers(t["parties"]).select("id", "legacy_ids")
+    records_now = customers.golden_customers(t["parties"]).select("id", "id_count")
+    key_rows = customers.customer_keys(t["parties"])
     ids = t["customer"].filter("c_custkey % 7 = 0").select("c_custkey")
-    return load.replace_by_array_key(records_now, records_now.limit(0), ids, "id", "legacy_ids")
+    return load.replace_by_array_key(records_now, records_now.limit(0), key_rows, ids)
 
 
 @check(
@@ -366,11 +367,11 @@ def run_snapshot(t):
 )
 def reconcile_arrays(t):
     """VAL2: golden customers reconcile on summed array sizes."""
-    merged = customers.customers(t["parties"])
+    chunks = golden.chunked_ids(customers.customer_keys(t["parties"]))
     return quality.reconcile(
         {
             "customers": (
-                quality.count_rows(t["parties"]), quality.count_array_ids(merged, "legacy_ids"),
+                quality.count_rows(t["parties"]), quality.count_array_ids(chunks, "legacy_ids"),
             )
         }
     )

@@ -49,7 +49,7 @@ def customer_segments(t):
 
 @check(
     "customers",
-    f"""{WANTED} SELECT id, legacy_ids, tax_id AS cnpj, tax_id_status AS cnpj_status,
+    f"""{WANTED} SELECT id, tax_id AS cnpj, tax_id_status AS cnpj_status,
       state_registration, municipal_registration, legal_name, trade_name, FALSE AS simple_opt,
       status, created_at, updated_at, code FROM golden_customers""",
 )

@@ -324,7 +324,8 @@ def golden_id_chunks(t):
 )
 def golden_totals(t):
     """AGG12 and ARR2."""
-    return rollup.array_totals(customers.customers(t["parties"]), "legacy_ids")
+    chunks = golden.chunked_ids(customers.customer_keys(t["parties"]))
+    return rollup.array_totals(customers.golden_customers(t["parties"]), chunks, "legacy_ids")
 
 
 @check(

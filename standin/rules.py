@@ -100,10 +100,13 @@ def whole(x: str) -> str:
 
 
 def key(entity: str, *parts: str) -> str:
-    cells = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
+    cells = ", ".join(
+        f"coalesce(CAST(length(CAST({p} AS VARCHAR)) AS VARCHAR) || ':' || CAST({p} AS VARCHAR), '-')"
+        for p in parts
+    )
     layout = "'^(.{8})(.{4})(.{4})(.{4})(.{12})$'"
     return (
-        f"regexp_replace(md5(concat_ws('|', '{entity}', {cells})), {layout}, "
+        f"regexp_replace(md5(concat('{entity}|', {cells})), {layout}, "
         r"'\1-\2-\3-\4-\5')"
     )
 

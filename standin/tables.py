@@ -32,10 +32,13 @@ SELECT l.l_orderkey AS contract_id,
        CASE o.o_custkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '   '
          WHEN 2 THEN '  Group ' || CAST(o.o_custkey % 50 AS STRING) || ' '
          ELSE 'Group ' || CAST(o.o_custkey % 50 AS STRING) END AS customer_name,
-       CASE o.o_custkey % 3 WHEN 0 THEN 'Group ' || CAST(o.o_custkey % 50 AS STRING)
-         WHEN 1 THEN 'System ' || c.c_mktsegment ELSE NULL END AS system_name,
+       CASE WHEN o.o_orderkey % 17 = 3 THEN
+         CASE l.l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'A|' END ELSE
+         CASE o.o_custkey % 3 WHEN 0 THEN 'Group ' || CAST(o.o_custkey % 50 AS STRING)
+         WHEN 1 THEN 'System ' || c.c_mktsegment ELSE NULL END END AS system_name,
        CASE WHEN l.l_partkey % 5 = 0 THEN NULL ELSE l.l_partkey END AS store_client_id,
-       CASE WHEN l.l_partkey % 7 = 0 THEN NULL ELSE p.p_name END AS store_client_name,
+       CASE l.l_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '|' || p.p_name ELSE p.p_name END
+         AS store_client_name,
        CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE CAST(o.o_orderkey % 28 + 1 AS INT) END
          AS billing_day,
        CASE WHEN o.o_orderkey % 8 = 0 THEN NULL ELSE CAST(o.o_orderkey % 27 + 2 AS INT) END
@@ -52,10 +55,12 @@ SELECT l.l_orderkey AS contract_id,
        CASE WHEN o.o_custkey % 13 = 0 THEN ' ' ELSE
          ' ' || substr(c.c_mktsegment, 1, 4) || ' ' || substr(c.c_mktsegment, 5) END
          AS segment_names,
-       CASE l.l_linenumber WHEN 1 THEN '0.25' WHEN 2 THEN '0.5' WHEN 3 THEN '1' WHEN 4 THEN '1.5'
+       CASE WHEN o.o_orderkey % 23 = 4 THEN
+         CASE l.l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE '1|' END ELSE
+         CASE l.l_linenumber WHEN 1 THEN '0.25' WHEN 2 THEN '0.5' WHEN 3 THEN '1' WHEN 4 THEN '1.5'
          WHEN 5 THEN '2.5' WHEN 6 THEN '3' ELSE
          CASE l.l_suppkey % 5 WHEN 0 THEN '15' WHEN 1 THEN '30' WHEN 2 THEN '3.4' WHEN 3 THEN 'x'
-           ELSE '99' END END AS frequency,
+           ELSE '99' END END END AS frequency,
        CASE WHEN l.l_partkey % 53 = 0 THEN NULL WHEN l.l_partkey % 59 = 0 THEN 'n/d' ELSE
          CAST(CAST(l.l_quantity AS INT) AS STRING) ||
          CASE l.l_partkey % 5 WHEN 0 THEN ',5' WHEN 1 THEN '.5' ELSE '' END END AS hours,

@@ -102,9 +102,13 @@ def test_dates(evaluate):
 
 
 def test_keys(evaluate):
-    h = hashlib.md5(b"customer|7").hexdigest()
+    h = hashlib.md5(b"customer|1:7").hexdigest()
     want = f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
     assert evaluate(lambda c: keys.surrogate_key("customer", c), [7], "bigint") == [want]
+    values = [None, "", "|", "-", "1:", "a|b"]
+    pairs = [(a, b) for a in values for b in values]
+    ids = evaluate(lambda c: keys.surrogate_key("x", c["a"], c["b"]), pairs, "struct<a:string,b:string>")
+    assert len(set(ids)) == len(pairs)
     merged = evaluate(lambda c: keys.merge_key(c, F.lit(5)), ["12345678000195", "0" * 14, "12345678901", None])
     assert merged == ["12345678000195", "__id_5", "__id_5", "__id_5"]
     assert evaluate(keys.tax_id_status, ["0" * 14, "12345678901"]) == ["invalid", "valid"]

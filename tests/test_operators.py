@@ -182,17 +182,25 @@ def test_golden_merge(spark):
     keys = golden.merged_ids(records)
     assert keys.count() == 7 and keys.select("id").distinct().count() == 5
     with_id = merged.withColumn("id", golden.golden_id(F.col("merge_key")))
-    arrays = {r["record_id"]: r["legacy_ids"] for r in golden.with_id_arrays(with_id, keys).collect()}
-    assert arrays == {3: [3, 5, 9], 1: [1], 2: [2], 4: [4], 6: [6]}
-    # A group above the bound keeps its ids in the key map only.
-    capped = {r["record_id"]: r["legacy_ids"] for r in golden.with_id_arrays(with_id, keys, 2).collect()}
-    assert capped[3] is None and capped[1] == [1]
     assert rows(golden.totals(with_id, keys)) == [(5, 7, 2)]
     assert golden.broken_groups(with_id, keys).count() == 0
     with pytest.raises(ValueError):
         golden.require_ids(with_id, keys.filter("legacy_id <> 1"))
 
 
+def test_large_group_is_read_like_any_other(spark):
+    """A group of 150 000 ids keeps them all, in arrays of bounded size."""
+    ids = spark.range(150_001).select(F.col("id").alias("legacy_id"))
+    keys = ids.withColumn("id", F.when(F.col("legacy_id") < 150_000, "big").otherwise("small"))
+    golden_rows = keys.select("id").distinct()
+    chunks = golden.chunked_ids(keys)
+    assert chunks.agg(F.max(F.size("legacy_ids"))).first()[0] == golden.CHUNK_IDS
+    assert rows(rollup.array_totals(golden_rows, chunks, "legacy_ids")) == [(2, 150_001, 149_999)]
+    assert match.array_key_map(chunks).distinct().count() == 150_001
+    one = spark.createDataFrame([(77_777,)], "i bigint")
+    assert rows(load.replace_by_array_key(golden_rows, golden_rows.limit(0), keys, one)) == [("small",)]
+
+
 def test_golden_merge_against_brute_force(spark):
     random.seed(11)
     names = [None, "", " ", "A", "B", "C"]
@@ -293,11 +301,11 @@ def test_load_modes(spark, old_new):
         (2, 7, "new"), (3, 9, "new"), (None, 8, "old")]
     assert rows(load.replace_by_type(old, new, "parent", 7)) == [
         (2, 7, "new"), (3, 9, "new"), (None, 8, "old")]
-    groups = spark.createDataFrame([("a", [1, 2]), ("b", [3]), ("c", [])], "id string, ids array<int>")
+    groups = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    key_rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "legacy_id int, id string")
     ids = spark.createDataFrame([(2,), (9,)], "i int")
-    fresh = spark.createDataFrame([("z", [2])], "id string, ids array<int>")
-    assert rows(load.replace_by_array_key(groups, fresh, ids, "id", "ids")) == [
-        ("b", [3]), ("c", []), ("z", [2])]
+    fresh = spark.createDataFrame([("z",)], "id string")
+    assert rows(load.replace_by_array_key(groups, fresh, key_rows, ids)) == [("b",), ("c",), ("z",)]
     pairs = spark.createDataFrame([(1, 1), (1, 2), (1, 2)], "a int, b int")
     assert rows(load.insert_ignore(pairs.limit(1), pairs, ["a", "b"])) == [(1, 1), (1, 2)]
 
