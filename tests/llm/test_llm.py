@@ -127,6 +127,36 @@ def test_quality_empty(docs, empty, labels):
     assert kept.columns == docs.columns and kept.filter("doc_id = 8").count() == 1
 
 
+def test_quality_junk_of_each_kind(spark):
+    folder = SF.replace("0.001", "0.01")
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    kinds = {"stuck": 0, "barred": 0}
+    clean = clean_kept = 0
+    for r in quality_rules.assess(docs, labels).filter("NOT base_failed").collect():
+        text = texts[r.doc_id]
+        if quality.get(r.doc_id) == 0:
+            assert not r.kept, text[:80]
+            kinds["stuck"] += len(re.findall(r"\w\W?[#*$%&]{3}", text)) > 10
+            kinds["barred"] += text.count(" | ") > 10
+        elif quality.get(r.doc_id) == 1:
+            assert r.kept, text[:80]
+        elif r.n_symbols * 10 < r.n_words:
+            # Without a label, and so no part of the target.
+            clean, clean_kept = clean + 1, clean_kept + r.kept
+    assert min(kinds.values()) > 0 and clean_kept >= 0.99 * clean > 100
+
+
+def test_quality_threshold():
+    good = np.array([False] * 6 + [True] * 6)
+    apart = np.array([-9, -8, -7, -6, -5, -4, -2, -1, 0, 1, 2, 3], float) * 1000
+    assert quality_rules.best_threshold(apart, good) == -3000
+    few = quality_rules.best_threshold(apart[2:], good[2:])
+    assert few == quality_rules.THRESHOLD_MILLIONTHS
+    assert quality_rules.best_threshold(-apart, good) == quality_rules.THRESHOLD_MILLIONTHS
+
+
 def jaccard_by_hand(rows, words, percent):
     sets = []
     for _, text in rows:
