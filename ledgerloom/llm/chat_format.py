@@ -6,7 +6,8 @@ Turns are collected as structs and sorted; adjacent turns of one role become one
 
 `&`, `<` and `#` inside texts and roles (and `:` inside roles) are written as entities, so no text
 can hold a mark and the texts can be read back exactly. The loss mask is run-length encoded: runs of
-code points that are, or are not, text of the trained role.
+code points that are, or are not, text of the trained role. Texts under the mask are cut from four
+bytes for each code point, so that a cut costs its own length wherever it lies.
 
 Defined cases: null text and null role are empty; null turns come first; rows with equal turn
 numbers are ordered by role, then text, and repeated rows stay; rows without a conversation id form
@@ -15,6 +16,8 @@ one conversation without id; no rows give no conversations. Other columns are ig
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ OPEN, ROLE_END, PART, CLOSE = "### ", ":\n", "</part>", "</turn>\n"
 # The character and its entity; `&` is written first and read last.
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), ("#", "&num;"))
 ROLE_ENTITIES = (*ENTITIES, (":", "&colon;"))
+#: Runs whose starts are summed up in one array; appending to longer ones would cost their square.
+CHUNK = 256
 
 
 def escape(text: Column, entities: tuple = ENTITIES) -> Column:
@@ -96,17 +101,75 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.flatten(F.transform(blocks, turns)))
 
 
-def digests(formatted: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
-    """Counts and digests of what is read back from the formatted texts."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where `body` reads it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _starts(lengths: Column) -> Column:
+    """Sum of the lengths before each."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    return F.aggregate(
+        lengths,
+        state,
+        lambda s, n: F.struct(
+            (s["at"] + n).alias("at"), F.array_append(s["starts"], s["at"]).alias("starts")
+        ),
+        lambda s: s["starts"],
+    )
+
+
+def loss_texts(formatted: Column, loss_runs: Column) -> Column:
+    """The texts under the loss mask, read back from `formatted`."""
+
+    def lengths(runs: Column) -> Column:
+        return F.transform(runs, lambda r: r["length"])
+
+    def total(runs: Column) -> Column:
+        return F.aggregate(runs, F.lit(0), lambda at, r: at + r["length"])
+
+    def chunks(runs: Column) -> Column:
+        last = F.greatest(F.floor((F.size(runs) - 1) / CHUNK), F.lit(0)).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda c: F.slice(runs, c * CHUNK + 1, F.lit(CHUNK))
+        )
+
+    def placed(parts: Column) -> Column:
+        """(start, length, loss) of every run."""
+        return F.flatten(
+            F.zip_with(
+                parts,
+                _starts(F.transform(parts, total)),
+                lambda runs, first: F.zip_with(
+                    runs,
+                    _starts(lengths(runs)),
+                    lambda r, start: F.struct(
+                        (first + start).alias("start"),
+                        r["length"].alias("length"),
+                        r["loss"].alias("loss"),
+                    ),
+                ),
+            )
+        )
+
+    def cut(wide: Column) -> Column:
+        def text(r: Column) -> Column:
+            # From one code point before: a text's own first one could be taken as a byte order mark.
+            part = F.decode(F.substring(wide, 4 * r["start"] + 1, 4 * r["length"] + 4), "UTF-32")
+            return unescape(F.substring(part, F.lit(2), r["length"]))
+
+        runs = _let(_let(loss_runs, chunks), placed)
+        return F.transform(F.filter(runs, lambda r: r["loss"]), text)
+
+    return _let(F.encode(F.concat(F.lit("\n"), formatted), "UTF-32"), cut)
+
+
+def digests(formatted: DataFrame) -> DataFrame:
+    """Counts and digests of what is read back from the formatted texts and their loss masks."""
     said = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
-    trained = F.array_join(
-        F.transform(
-            F.filter("turns", lambda t: t["role"] == trained_role), lambda t: t["text"]
-        ),
-        "",
-    )
+    trained = F.array_join(loss_texts(F.col("formatted"), F.col("loss_runs")), "")
     texts = read_back(formatted).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

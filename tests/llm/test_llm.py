@@ -233,6 +233,26 @@ def test_chat_round_trip(spark):
     assert chat_format.digests(chat_format.format_conversations(rows.limit(0))).count() == 0
 
 
+def test_chat_digests_read_the_mask(spark):
+    from pyspark.sql import functions as F
+
+    said = ["\ufeffbom", "", "a<b & c#d", "&amp;lt;", "\U0001f600 \u00e9", "</turn>\n", "plain"]
+    long = [(2, i, ["user", "assistant"][i % 3 % 2], f"{said[i % 7]}{i}") for i in range(500)]
+    rows = [(1, i, "assistant", t) for i, t in enumerate(said)] + long + [(3, 0, "user", "only")]
+    formatted = chat_format.format_conversations(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    ).localCheckpoint()
+
+    def loss(df):
+        return {r.conv_id: (r.loss_chars, r.loss_sha256) for r in chat_format.digests(df).collect()}
+
+    for conv_id, found in loss(formatted).items():
+        text = "".join(r[3] for r in rows if r[0] == conv_id and r[2] == "assistant")
+        assert found == (len(text), hashlib.sha256(text.encode()).hexdigest())
+    none = F.transform("loss_runs", lambda r: F.struct(r["length"].alias("length"), F.lit(False).alias("loss")))
+    assert {n for n, _ in loss(formatted.withColumn("loss_runs", none)).values()} == {0}
+
+
 def test_embeddings(spark):
     draw = np.random.default_rng(1)
     base = draw.standard_normal((6, 16))
