@@ -8,8 +8,13 @@ The network learns from a bounded sample of labelled texts (`SAMPLE` texts, abou
 language, up to `SAMPLE_WINDOWS` evenly spaced windows of each); the parameters are of fixed size and
 go to the tasks with the function.
 
+Documents are kept from a least score on, half way between chance (1 / number of languages) and the
+`LOW_QUANTILE` of the scores of rightly identified texts in a bounded sample of the held-out fold.
+
 Defined cases: null text and text without a letter are `und` with score 0; without any labelled text
-everything is `und`; rows with null or repeated ids are scored each; no rows give no rows. Other
+everything is `und` and nothing is kept; if only the held-out fold has labelled texts, documents to
+keep are told by a network that learned from these; with fewer than `MIN_CALIBRATION` held-out texts
+the least score is a quarter of the way from chance to 1; rows with null or repeated ids are scored each; no rows give no rows. Other
 columns are ignored.
 """
 
@@ -33,7 +38,9 @@ MAX_LANGUAGES = 200
 WIDTHS, FILTERS, DIM = (2, 3, 4), 12, 8
 STEPS, BATCH, RATE, SEED = 1_000, 64, 0.01, 10
 CHUNK = 256
-MIN_SCORE = 0.3
+CALIBRATION = 2_000
+MIN_CALIBRATION = 20
+LOW_QUANTILE = 0.001
 
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -197,12 +204,36 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows, with all their columns, whose language is known with at least this score."""
+def least_score(right: np.ndarray, languages: int) -> float:
+    """The least score to keep, from the scores of rightly identified held-out texts."""
+    chance = 1 / languages
+    if len(right) < MIN_CALIBRATION:
+        return chance + (1 - chance) / 4
+    return (chance + float(np.quantile(right, LOW_QUANTILE))) / 2
+
+
+def calibrated_score(held_out: DataFrame, model: Model) -> float:
+    """The least score by a sample of held-out rows (text, lang) of bounded size."""
+    labelled = held_out.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
+    draw = F.pmod(F.xxhash64("text", F.lit(SEED + 1)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    share = CALIBRATION / max(1, labelled.count())
+    sample = labelled.filter(draw < share).limit(2 * CALIBRATION)
+    right = F.col("identified.lang_pred") == F.col("lang")
+    rows = predict(sample, model).filter(right).select("identified.score").collect()
+    return least_score(np.array([r["score"] for r in rows], float), len(model.languages))
+
+
+def kept_documents(docs: DataFrame, min_score: float | None = None) -> DataFrame:
+    """The rows, with all their columns, whose language is known with at least this score.
+
+    Without a score the calibrated one is used.
+    """
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
-    model = fit(docs.filter(~held_out))
-    if model is None:
-        return docs
+    model = fit(docs.filter(~held_out)) or fit(docs)
+    if model is not None and min_score is None:
+        min_score = calibrated_score(docs.filter(held_out), model)
     names = docs.columns
-    known = (F.col("identified.lang_pred") != UNKNOWN) & (F.col("identified.score") >= min_score)
+    known = F.col("identified.lang_pred") != UNKNOWN
+    if model is not None:
+        known = known & (F.col("identified.score") >= min_score)
     return predict(docs, model).filter(known).select(*(F.col(f"`{c}`") for c in names))

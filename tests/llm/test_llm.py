@@ -300,6 +300,20 @@ def test_language(spark, docs, empty):
     assert language_id.kept_documents(docs).columns == docs.columns
 
 
+def test_language_kept(spark, docs):
+    from pyspark.sql import functions as F
+
+    texts = table(spark, SF.replace("0.001", "0.01"), "documents")
+    # Clean texts stay; without a labelled text all is `und`, which is not kept.
+    assert language_id.kept_documents(texts).count() >= 0.995 * texts.count()
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.kept_documents(unlabelled).count() == 0
+    # Lies clear of chance, under the scores of clean texts.
+    scores = np.concatenate([np.linspace(0.9, 1, 1_000), [0.7, 0.8]])
+    assert 0.25 + 0.1 < language_id.least_score(scores, 4) < 0.7
+    assert 0.35 < language_id.least_score(scores[:3], 4) < 0.5
+
+
 def test_packing(docs, empty):
     path = tokenizer_file("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
