@@ -5,8 +5,8 @@ widths run over the windows of a batch, their maxima feed a softmax, and a text'
 of its windows' probabilities, weighted by their bytes. All windows of a text are read.
 
 The network learns from a bounded sample of labelled texts (`SAMPLE` texts, about as many of each
-language, up to `SAMPLE_WINDOWS` evenly spaced windows of each); the parameters are of fixed size and
-go to the tasks with the function.
+language and at least one of every language, up to `SAMPLE_WINDOWS` evenly spaced windows of each);
+the parameters grow with the number of languages only and go to the tasks with the function.
 
 Documents are kept from a least score on, half way between chance (1 / number of languages) and the
 `LOW_QUANTILE` of the scores of rightly identified texts in a bounded sample of the held-out fold.
@@ -14,7 +14,8 @@ Documents are kept from a least score on, half way between chance (1 / number of
 Defined cases: null text and text without a letter are `und` with score 0; without any labelled text
 everything is `und` and nothing is kept; if only the held-out fold has labelled texts, documents to
 keep are told by a network that learned from these; with fewer than `MIN_CALIBRATION` held-out texts
-the least score is a quarter of the way from chance to 1; rows with null or repeated ids are scored each; no rows give no rows. Other
+the least score is a quarter of the way from chance to 1; more than `SAMPLE` languages stop the run with
+an error; empty texts teach no language; rows with null or repeated ids are scored each; no rows give no rows. Other
 columns are ignored.
 """
 
@@ -34,7 +35,6 @@ UNKNOWN = "und"
 WINDOW = 192
 SAMPLE = 4_000
 SAMPLE_WINDOWS = 4
-MAX_LANGUAGES = 200
 WIDTHS, FILTERS, DIM = (2, 3, 4), 12, 8
 STEPS, BATCH, RATE, SEED = 1_000, 64, 0.01, 10
 CHUNK = 256
@@ -55,23 +55,34 @@ def text_windows(text: str | None, window: int) -> np.ndarray:
     return out.reshape(count, window)
 
 
-def sample_windows(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
-    """Windows and languages of a bounded sample, chosen by a hash of the text."""
-    counts = {
-        r["lang"]: r["n"]
-        for r in labelled.groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    }
+def sample_texts(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame | None:
+    """Rows (text, lang): about `sample` texts chosen by a hash of the text, some of every language."""
+    draw = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    texts = labelled.filter(F.length("text") > 0).select("text", "lang", draw.alias("draw"))
+    counts = (
+        texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("low"))
+        .limit(sample + 1).collect()
+    )
+    if len(counts) > sample:
+        raise ValueError(f"more than {sample} languages")
     if not counts:
-        return np.zeros((0, WINDOW), np.int64), []
+        return None
     each = sample / len(counts)
-    draw = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    chosen = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (draw < each / n))
+    # The lowest draw of a language is always in; a row for each language, so at most `sample` rows.
+    wanted = texts.sparkSession.createDataFrame(
+        [(r["lang"], max(each / r["n"], r["low"] + 1e-9)) for r in counts],
+        "wanted_lang string, below double",
+    )
+    chosen = (F.col("lang") == F.col("wanted_lang")) & (F.col("draw") < F.col("below"))
+    # Copies draw alike, so they count once.
+    return texts.join(F.broadcast(wanted), chosen).select("text", "lang").distinct()
+
+
+def sample_windows(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
+    """Windows and languages of a bounded sample."""
+    texts = sample_texts(labelled, sample)
+    if texts is None:
+        return np.zeros((0, WINDOW), np.int64), []
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -82,13 +93,7 @@ def sample_windows(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarra
                 rows += [(lang, windows[i].astype(np.uint16).tobytes()) for i in at]
             yield pd.DataFrame(rows, columns=["lang", "window"])
 
-    rows = (
-        labelled.filter(chosen & (F.length("text") > 0))
-        .select("text", "lang")
-        .limit(2 * sample)
-        .mapInPandas(cut, "lang string, window binary")
-        .collect()
-    )
+    rows = texts.mapInPandas(cut, "lang string, window binary").collect()
     rows = sorted((r["lang"], bytes(r["window"])) for r in rows)
     windows = np.array([np.frombuffer(w, np.uint16) for _, w in rows], np.int64)
     return windows.reshape(len(rows), WINDOW), [lang for lang, _ in rows]

@@ -314,6 +314,28 @@ def test_language_kept(spark, docs):
     assert 0.35 < language_id.least_score(scores[:3], 4) < 0.5
 
 
+def test_many_languages(spark):
+    rows = [(f"text {i} of {i % 250}", f"l{i % 250}") for i in range(10_000)] + [("", "none")]
+    rows += [("a rare text", "rare")] * 3 + [("one", "once")]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    _, langs = language_id.sample_windows(labelled)
+    assert {"rare", "once"} <= set(langs) and len(set(langs)) == 252
+    assert len(langs) < 1.2 * language_id.SAMPLE and langs.count("rare") == 1
+    with pytest.raises(ValueError, match="languages"):
+        language_id.sample_windows(labelled, 200)
+
+
+def test_many_thresholds(monkeypatch, spark):
+    count = 240
+    rows = [(i, f"{'bad' if i % 2 else 'good'} word", f"l{i // 2 % count:03}") for i in range(10 * count)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic")
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    monkeypatch.setattr(toxicity, "best_threshold", lambda score, toxic: 0.25)
+    _, thresholds = toxicity.fit(docs, labels)
+    assert len(thresholds) > 200 and "l239" in thresholds
+
+
 def test_packing(docs, empty):
     path = tokenizer_file("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
