@@ -13,11 +13,14 @@ from ledgerloom.llm import (
     embedding_dedup,
     jaccard_join,
     language_id,
+    lexical_search,
     packing,
+    phrase_mining,
     quality_rules,
     substring_dedup,
     toxicity,
     url_filters,
+    vector_search,
 )
 from ledgerloom.llm.common import table, tokenizer_file
 
@@ -93,6 +96,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -104,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_vector_search": op12_vector_search,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -167,4 +185,87 @@ ORACLES: dict[str, str] = {
             AND (e.next_day IS NULL OR c.day < e.next_day)
         GROUP BY c.page_id, c.host, c.day
     """,
+    "op11_phrase_mining": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, words FROM (
+                SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+                FROM (
+                    SELECT lang, unnest(string_split_regex(translate(text,
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[.,;:!?\x0A-\x0D]')) AS piece
+                    FROM documents
+                )
+            ) WHERE len(words) > 0
+        ),
+        totals AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+        starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS p FROM pieces),
+        grams AS (
+            SELECT lang, list_slice(words, p, p + size - 1) AS words, count(*) AS f
+            FROM starts, range(1, 6) s(size)
+            WHERE p + size - 1 <= len(words)
+            GROUP BY ALL HAVING count(*) >= 100
+        ),
+        cuts AS (
+            SELECT g.lang, g.words, g.f AS a, unnest(range(1, len(g.words))) AS k
+            FROM grams g WHERE len(g.words) > 1
+        ),
+        scores AS (
+            SELECT c.lang, c.words, c.a, c.k, x.f AS l, y.f AS r, t.n,
+                1000 * CAST(c.a AS HUGEINT) * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+            FROM cuts c JOIN totals t USING (lang)
+            JOIN grams x ON x.lang = c.lang AND x.words = list_slice(c.words, 1, c.k)
+            JOIN grams y ON y.lang = c.lang AND y.words = list_slice(c.words, c.k + 1, len(c.words))
+        ),
+        lowest AS (
+            SELECT * FROM scores
+            QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+        ),
+        inside AS (
+            SELECT lang, list_slice(words, p, p + size - 1) AS words, max(a) AS most
+            FROM (SELECT lang, words, a, unnest(range(1, len(words))) AS p FROM lowest),
+                range(2, 5) s(size)
+            WHERE size < len(words) AND p + size - 1 <= len(words)
+            GROUP BY ALL
+        ),
+        kept AS (
+            SELECT l.* FROM lowest l LEFT JOIN inside i ON i.lang = l.lang AND i.words = l.words
+            WHERE i.most IS NULL OR 100 * i.most < 100 * l.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM (SELECT *, array_to_string(words, ' ') AS phrase FROM kept)
+        QUALIFY rank <= 2000
+    """,
+    "op13_lexical_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        found AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(tf) AS n FROM found GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM found, total GROUP BY term, docs
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        sums AS (
+            SELECT a.item_id, f.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) //
+                (1000 * f.tf + 8 * (100 - 90 + CAST(90 * s.n * t.docs AS BIGINT) // t.all_terms))))
+                AS BIGINT) AS score
+            FROM asked a JOIN found f USING (term) JOIN weights w USING (term)
+            JOIN sizes s USING (doc_id), total t
+            GROUP BY a.item_id, f.doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT)
+            AS rank, doc_id, score
+        FROM sums WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
