@@ -17,8 +17,8 @@ sample of vectors, `SEED_VALUES` numbers in all.
 Vectors are dealt into blocks of about `BLOCK` rows and queries into groups of about `GROUP`; each
 pair of both is one unit of work, so a unit's memory does not grow with the input. The work does grow
 as queries times blocks, as the contract's queries grow with the vectors. Of equal vectors only the
-first `limit` + 1 ids can be among a query's nearest, so the others are left out by a rank before the
-shuffle, and a hot vector costs no more than others.
+first `limit` + 1 ids can be among a query's nearest, so the others are left out by a rank that starts
+before the shuffle, and a hot vector costs no more than others.
 
 Defined cases: null, empty and zero vectors, and those with a null or non-finite component, take no
 part; vectors of another length than the query's are no candidates; rows that repeat an id are
@@ -163,14 +163,20 @@ class Block:
 
 
 def usable_vectors(vectors: DataFrame, limit: int) -> DataFrame:
-    """(vec_id, embedding, dim): usable rows, of equal vectors the first `limit` + 1; written once."""
+    """(vec_id, embedding, dim): usable rows, of equal vectors those of the first `limit` + 1 ids.
+
+    Of rows that repeat an id and its vector the first `limit` stay. Written once.
+    """
     rows = vectors.filter(F.col("vec_id").isNotNull() & usable("embedding")).select(
         F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")
     )
     among_equals = Window.partitionBy("embedding").orderBy("vec_id")
-    ranked = rows.withColumn("place", F.row_number().over(among_equals))
+    ranked = rows.select(
+        "*", F.dense_rank().over(among_equals).alias("number"), F.rank().over(among_equals).alias("first"),
+        F.row_number().over(among_equals).alias("place"),
+    )
     return saved(
-        ranked.filter(F.col("place") <= limit + 1)
+        ranked.filter((F.col("number") <= limit + 1) & (F.col("place") - F.col("first") < limit))
         .select("vec_id", "embedding", F.size("embedding").alias("dim"))
     )
 
