@@ -5,9 +5,10 @@ each chunk with the spellings of its own numbers, so no dictionary of the whole
 
 1. Candidates. A phrase that occurs `min_count` times has no rarer part (Apriori). Level by level,
    every task counts the phrases of that length whose two shorter parts passed the level before, in a
-   table of `buckets` counters by hash. The tasks' tables are cut into shards, shards are added up, and
-   buckets that reach `min_count` pass. Counters hold several phrases, so they overestimate and lose
-   none; tables and passed buckets have one size at any input. Phrases whose parts all passed are
+   table of counters by hash. The tasks' tables are cut into shards, shards are added up, and buckets
+   that reach `min_count` pass. Counters hold several phrases, so they overestimate and lose none.
+   Tables have a counter for every `WORDS_A_BUCKET` words of the corpus, `MOST_BUCKETS` at most: a
+   larger corpus has more false candidates, never fewer true ones. Phrases whose parts all passed are
    candidates.
 2. Counting. Candidates become tries of at most about `trie_phrases` phrases, stored as double arrays:
    state t = base[s] + word follows state s if check[t] = s. A trie is broadcast; in every task all
@@ -42,9 +43,11 @@ LONGEST = 5
 TOP = 2_000
 ABSORBED_PERCENT = 100
 UNKNOWN = "und"
-BUCKETS = 1 << 22
+WORDS_A_BUCKET = 8
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 26
 SHARDS = 64
 HELD_BYTES = 32 * CHUNK_BYTES
+HELD_POSITIONS = 1 << 20
 TRIE_PHRASES = 250_000
 MAX_SEEN = 500_000
 
@@ -116,20 +119,31 @@ def chunks_of(batches: Iterator[pd.DataFrame]) -> Iterator[Chunk]:
                 yield Chunk(*row)
 
 
-def levels(chunk: Chunk, passed: list[np.ndarray], powers: Powers):
-    """For each length, from 1 on, the positions whose shorter parts passed, and their phrases' buckets.
+def buckets_for(words: int, min_count: int) -> int:
+    """Counters of a table, a power of two; those of four bytes take no more memory."""
+    most = MOST_BUCKETS if min_count <= 255 else MOST_BUCKETS // 4
+    return min(most, max(LEAST_BUCKETS, 1 << (words // WORDS_A_BUCKET).bit_length()))
 
-    One length more than there are tables comes out; what a table of passed buckets rejects goes.
+
+def marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places are set."""
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def levels(chunk: Chunk, passed: list[np.ndarray], buckets: int, powers: Powers):
+    """For each length, from 1 on, the positions whose parts passed, and their phrases' buckets.
+
+    `passed` has the bits of passed buckets by length; one length more comes out, still unfiltered.
     """
     own = chunk.hashes(powers)[chunk.numbers]
     at = np.flatnonzero(chunk.numbers)
     key = own[at]
     for k in range(len(passed) + 1):
-        bucket = (key & np.uint64(BUCKETS - 1)).astype(np.int64)
+        bucket = (key & np.uint64(buckets - 1)).astype(np.int64)
         if k == len(passed):
             yield at, bucket
             return
-        ok = passed[k][bucket]
+        ok = marked(passed[k], bucket)
         at, key = at[ok], key[ok]
         yield at, bucket[ok]
         # Longer by a word: where the phrase that starts one word later passed, too.
@@ -138,55 +152,65 @@ def levels(chunk: Chunk, passed: list[np.ndarray], powers: Powers):
         key = mixed(key[pair] * np.uint64(3) + own[at + k + 1])
 
 
-def passed_buckets(corpus: DataFrame, passed: list[np.ndarray], min_count: int) -> np.ndarray:
-    """Buckets of the next length that reach `min_count`, as marks."""
-    most = min(min_count, 255)  # counts from here on are alike
+def passed_buckets(corpus: DataFrame, passed: list[np.ndarray], buckets: int, min_count: int) -> np.ndarray:
+    """Bits of the buckets of the next length that reach `min_count`."""
+    # Counts from `min_count` on are alike, so counters stop there.
+    kind = np.uint8 if min_count <= 255 else np.int32
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers(BYTE_BASE)
-        total = np.zeros(BUCKETS, np.int32)
+        total = np.zeros(buckets, kind)
+
+        def add(held: list[np.ndarray]) -> None:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            total[found] = np.minimum(total[found] + n, min_count)
+
+        held, size = [], 0
         for chunk in chunks_of(batches):
-            *_, (_, bucket) = levels(chunk, passed, powers)
-            np.add.at(total, bucket, np.int32(1))
-        if total.any():
-            cut = total.reshape(SHARDS, -1)
-            kept = cut if min_count > 255 else np.minimum(cut, most).astype(np.uint8)
-            shards = np.flatnonzero(cut.any(axis=1))
-            yield pd.DataFrame({"shard": shards, "counts": [kept[s].tobytes() for s in shards]})
+            *_, (_, bucket) = levels(chunk, passed, buckets, powers)
+            held.append(bucket)
+            size += len(bucket)
+            if size >= HELD_POSITIONS:
+                add(held)
+                held, size = [], 0
+        if held:
+            add(held)
+        cut = total.reshape(SHARDS, -1)
+        for shard in np.flatnonzero(cut.any(axis=1)):
+            yield pd.DataFrame({"shard": [shard], "counts": [cut[shard].tobytes()]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
-        kind = np.int32 if min_count > 255 else np.uint8
         for batch in batches:
             for shard, counts in zip(batch["shard"], batch["counts"], strict=True):
                 part = np.frombuffer(counts, kind).astype(np.int64)
-                sums[shard] = sums[shard] + part if shard in sums else part
-        bits = [np.packbits(s >= min_count).tobytes() for s in sums.values()]
-        yield pd.DataFrame({"shard": list(sums), "bits": bits})
+                sums[shard] = np.minimum(sums[shard] + part, min_count) if shard in sums else part
+        for shard, total in sums.items():
+            yield pd.DataFrame({"shard": [shard], "bits": [np.packbits(total >= min_count).tobytes()]})
 
     shards = corpus.mapInPandas(count, "shard int, counts binary").repartition(
         shuffle_width(corpus.sparkSession), "shard"
     )
-    out = np.zeros((SHARDS, BUCKETS // SHARDS), bool)
+    out = np.zeros((SHARDS, buckets // SHARDS // 8), np.uint8)
     for row in shards.mapInPandas(add, "shard int, bits binary").collect():
-        out[row["shard"]] = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
+        out[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
 def candidates(corpus: DataFrame, longest: int, min_count: int) -> DataFrame:
     """(lang, phrase): phrases of up to `longest` words that no count rules out; written once."""
+    buckets = buckets_for(corpus.agg(F.sum("n")).first()[0] or 0, min_count)
     passed: list[np.ndarray] = []
     for _ in range(longest):
-        passed.append(passed_buckets(corpus, passed, min_count))
-    spark = corpus.sparkSession
-    shared = spark.sparkContext.broadcast([np.packbits(p) for p in passed])
+        passed.append(passed_buckets(corpus, passed, buckets, min_count))
+    shared = corpus.sparkSession.sparkContext.broadcast(passed)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers(BYTE_BASE)
-        tables = [np.unpackbits(p).astype(bool) for p in shared.value]
         seen: set[bytes] = set()
         for chunk in chunks_of(batches):
-            new = [p for p in distinct_phrases(chunk, tables, powers) if chunk.lang + b"\n" + p not in seen]
+            every = distinct_phrases(chunk, shared.value, buckets, powers)
+            new = [p for p in every if chunk.lang + b"\n" + p not in seen]
             if len(seen) + len(new) > MAX_SEEN:
                 seen.clear()
             seen.update(chunk.lang + b"\n" + p for p in new)
@@ -199,12 +223,12 @@ def candidates(corpus: DataFrame, longest: int, min_count: int) -> DataFrame:
     return out
 
 
-def distinct_phrases(chunk: Chunk, tables: list[np.ndarray], powers: Powers) -> Iterator[bytes]:
+def distinct_phrases(chunk: Chunk, passed: list[np.ndarray], buckets: int, powers: Powers) -> Iterator[bytes]:
     """Every candidate of a chunk once, words joined by spaces."""
     label = np.zeros(len(chunk.numbers), np.int64)  # of the phrase one word shorter, by position
     spelt: list[bytes] = [b""]
-    for k, (at, _) in enumerate(levels(chunk, tables, powers)):
-        if k == len(tables) or not len(at):
+    for k, (at, _) in enumerate(levels(chunk, passed, buckets, powers)):
+        if k == len(passed) or not len(at):
             return
         # A phrase is its first words, by label, and its last word: exact, without a hash.
         last = chunk.numbers[at + k].astype(np.int64)
