@@ -4,20 +4,24 @@ Texts, lower-cased in A-Z, are cut into pieces and words, and written once as ch
 each chunk with the spellings of its own numbers, so no dictionary of the whole corpus is needed.
 
 1. Candidates. A phrase that occurs `min_count` times has no rarer part (Apriori). Level by level,
-   every task counts the phrases of that length whose two shorter parts passed the level before, in a
-   table of counters by hash. The tasks' tables are cut into shards, shards are added up, and buckets
-   that reach `min_count` pass. Counters hold several phrases, so they overestimate and lose none.
-   Tables have a counter for every `WORDS_A_BUCKET` words of the corpus, `MOST_BUCKETS` at most: a
-   larger corpus has more false candidates, never fewer true ones. Phrases whose parts all passed are
+   tasks count hashes of the phrases of that length whose two shorter parts passed the level before,
+   and name one chunk that holds each. Their counts are cut into shards, ranges of hashes that grow in
+   number with the corpus; shards are added up, and hashes that reach `min_count` pass. What passed
+   becomes a bitmap of `FILTER_BITS` bits, of one size at any input, for the next level. A second bitmap
+   marks pairs of hash and named chunk; a last pass spells out the marked phrases of every chunk, so
+   each candidate is written about once. Bitmaps hold some more than was put in, so there are some false
    candidates.
 2. Counting. Candidates become tries of at most about `trie_phrases` phrases, stored as double arrays:
    state t = base[s] + word follows state s if check[t] = s. A trie is broadcast; in every task all
    positions of a chunk take their next word at once, level by level, and positions without a
-   transition drop out. Accepting states are counted by bincount, and the tasks' counts are added up.
+   transition drop out. Accepting states are counted by bincount; the tasks' counts are cut into shards,
+   and shards are added up.
 3. Scores follow from the counts by joins, in exact decimals.
 
-Words are told apart by their bytes, never by a hash alone. With more candidates there are more tries
-and as many passes over the chunks; what a task holds and what is broadcast stays bounded.
+Counts are of spelt words and phrases. Hashes only choose candidates: they have 96 bits where counts
+of tasks meet and 64 bits within a task, and a phrase is lost only if another one shares them. With
+more candidates there are more tries and as many passes over the chunks; what a task holds and what is
+broadcast stays bounded.
 
 Defined cases: null, empty and blank texts have no words; a null language is `und`; rows that repeat
 an id, and rows without id, are documents of their own, as ids play no part; equal rows count each; no
@@ -30,12 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import saved, shuffle_width
-from ledgerloom.llm.hashing import BYTE_BASE, Powers, mixed, run_hashes
+from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, mixed, run_hashes
 from ledgerloom.llm.tokens import CHUNK_BYTES, binary, lower_bytes, numbered, places, runs
 
 MIN_COUNT = 100
@@ -43,19 +46,18 @@ LONGEST = 5
 TOP = 2_000
 ABSORBED_PERCENT = 100
 UNKNOWN = "und"
-WORDS_A_BUCKET = 8
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 26
-SHARDS = 64
+FILTER_BITS = 1 << 26
 HELD_BYTES = 32 * CHUNK_BYTES
-HELD_POSITIONS = 1 << 20
+HELD_ENTRIES = 1 << 19
+SHARD_WORDS = 1 << 20
 TRIE_PHRASES = 250_000
-MAX_SEEN = 500_000
+SHARD_PHRASES = 4_096
 
 BREAK = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 WORD = ~(BREAK | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8)))
 
 
-def word_numbers(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+def word_numbers(texts: list[bytes]) :
     """Spellings, and 1 + the number of every word in order, with 0 between pieces."""
     data = lower_bytes(texts, b"\n")
     firsts, ends = runs(data, WORD)
@@ -69,7 +71,7 @@ def word_numbers(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(lang, n, words, numbers): texts of one language, about `CHUNK_BYTES` in a row; written once."""
+    """(chunk, lang, n, words, numbers): texts of one language, about `CHUNK_BYTES` in a row; written once."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list[bytes]] = {}
@@ -94,12 +96,13 @@ def chunks(docs: DataFrame) -> DataFrame:
         yield from map(row, list(held))
 
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    return saved(rows.mapInPandas(cut, "lang string, n long, words binary, numbers binary"))
+    found = rows.mapInPandas(cut, "lang string, n long, words binary, numbers binary")
+    return saved(found.withColumn("chunk", F.monotonically_increasing_id()))
 
 
 class Chunk:
-    def __init__(self, lang: str, words: bytes, numbers: bytes):
-        self.lang = lang.encode()
+    def __init__(self, chunk: int, lang: str, words: bytes, numbers: bytes):
+        self.chunk, self.lang = np.array([chunk], np.uint64), lang.encode()
         self.words = words.split(b"\n")
         self.numbers = np.frombuffer(numbers, np.int32)
 
@@ -114,133 +117,219 @@ class Chunk:
 
 def chunks_of(batches: Iterator[pd.DataFrame]) -> Iterator[Chunk]:
     for batch in batches:
-        for row in zip(batch["lang"], batch["words"], batch["numbers"], strict=True):
-            if len(row[2]):
+        for row in zip(batch["chunk"], batch["lang"], batch["words"], batch["numbers"], strict=True):
+            if len(row[3]):
                 yield Chunk(*row)
 
 
-def buckets_for(words: int, min_count: int) -> int:
-    """Counters of a table, a power of two; those of four bytes take no more memory."""
-    most = MOST_BUCKETS if min_count <= 255 else MOST_BUCKETS // 4
-    return min(most, max(LEAST_BUCKETS, 1 << (words // WORDS_A_BUCKET).bit_length()))
+def longer(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a phrase and one more word."""
+    return mixed(key * np.uint64(3) + word)
 
 
-def marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether the bits at these places are set."""
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+def bit_place(key: np.ndarray) -> np.ndarray:
+    return (key & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def levels(chunk: Chunk, passed: list[np.ndarray], buckets: int, powers: Powers):
-    """For each length, from 1 on, the positions whose parts passed, and their phrases' buckets.
+def in_chunk(key: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+    """Hash of a phrase's hash and a chunk."""
+    return mixed(key ^ mixed(chunk + np.uint64(1)))
 
-    `passed` has the bits of passed buckets by length; one length more comes out, still unfiltered.
+
+def marked(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places are set, in words of 64 bits."""
+    return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def levels(chunk: Chunk, own: np.ndarray, passed: list[np.ndarray]):
+    """For each length, from 1 on, positions and hashes of the phrases that passed.
+
+    `own` has the hash of the word at every position. One length more than there are bitmaps comes
+    out: the phrases whose two shorter parts passed.
     """
-    own = chunk.hashes(powers)[chunk.numbers]
     at = np.flatnonzero(chunk.numbers)
     key = own[at]
-    for k in range(len(passed) + 1):
-        bucket = (key & np.uint64(buckets - 1)).astype(np.int64)
-        if k == len(passed):
-            yield at, bucket
-            return
-        ok = marked(passed[k], bucket)
+    for k, bits in enumerate(passed):
+        ok = marked(bits, bit_place(key))
         at, key = at[ok], key[ok]
-        yield at, bucket[ok]
+        yield at, key
         # Longer by a word: where the phrase that starts one word later passed, too.
         pair = np.flatnonzero(at[1:] == at[:-1] + 1)
         at = at[pair]
-        key = mixed(key[pair] * np.uint64(3) + own[at + k + 1])
+        key = longer(key[pair], own[at + k + 1])
+    yield at, key
+
+
+#: What is known of a phrase hash: a second hash, a count, and the chunk's place after its file's first.
+ENTRY = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "<u4"), ("chunk", "<u4")])
+FILE_SHIFT = np.uint64(33)  # monotonically increasing ids count within a partition below this bit
+
+
+class HashCounts:
+    """Entries for the phrase hashes in the chunks of one task, given out whenever many are held."""
+
+    def __init__(self, length: int, shards: int):
+        self.length, self.shards, self.size = length, shards, 0
+        self.held: list[np.ndarray] = []
+        self.base = 0
+
+    def add(self, chunk: Chunk, at: np.ndarray, key: np.ndarray, other: np.ndarray) -> None:
+        """`other` has the second hash of the word at every position."""
+        found, first, n = np.unique(key, return_index=True, return_counts=True)
+        at = at[first]
+        second = other[at]
+        for k in range(1, self.length):
+            second = longer(second, other[at + k])
+        entries = np.zeros(len(found), ENTRY)
+        entries["hash"], entries["other"], entries["n"] = found, second >> np.uint64(32), n
+        file = chunk.chunk >> FILE_SHIFT << FILE_SHIFT
+        entries["chunk"], self.base = chunk.chunk - file, int(file[0])
+        self.held.append(entries)
+        self.size += len(entries)
+
+    def rows(self) -> pd.DataFrame:
+        """(shard, base, entries) of all that is held; shards are ranges of hashes."""
+        entries = added(np.concatenate(self.held), ["hash"])
+        edges = np.arange(1, self.shards, dtype=np.uint64) * np.uint64((1 << 64) // self.shards)
+        cuts = np.concatenate([[0], np.searchsorted(entries["hash"], edges), [len(entries)]])
+        self.held, self.size = [], 0
+        shard = np.flatnonzero(np.diff(cuts))
+        parts = [packed(entries[cuts[s] : cuts[s + 1]]) for s in shard]
+        return pd.DataFrame({"shard": shard, "base": self.base, "entries": parts})
+
+
+def packed(entries: np.ndarray) -> bytes:
+    """One field after the other, as small numbers side by side compress well."""
+    return b"".join(np.ascontiguousarray(entries[c]).tobytes() for c in ENTRY.names)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros(len(data) // ENTRY.itemsize, ENTRY)
+    at = 0
+    for name in ENTRY.names:
+        kind = ENTRY[name]
+        out[name] = np.frombuffer(data, kind, len(out), at)
+        at += len(out) * kind.itemsize
+    return out
 
 
-def passed_buckets(corpus: DataFrame, passed: list[np.ndarray], buckets: int, min_count: int) -> np.ndarray:
-    """Bits of the buckets of the next length that reach `min_count`."""
-    # Counts from `min_count` on are alike, so counters stop there.
-    kind = np.uint8 if min_count <= 255 else np.int32
+def added(entries: np.ndarray, by: list[str]) -> np.ndarray:
+    """Entries of equal hashes as one, with the sum of their counts, in the order of hashes."""
+    entries = entries[np.lexsort([entries[c] for c in reversed(by)])]
+    new = np.any([entries[c][1:] != entries[c][:-1] for c in by], axis=0)
+    first = np.flatnonzero(np.concatenate([[True], new]))
+    out = entries[first]
+    out["n"] = np.minimum(np.add.reduceat(entries["n"].astype(np.uint64), first), (1 << 32) - 1)
+    return out
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        powers = Powers(BYTE_BASE)
-        total = np.zeros(buckets, kind)
 
-        def add(held: list[np.ndarray]) -> None:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            total[found] = np.minimum(total[found] + n, min_count)
+def frequent_hashes(corpus: DataFrame, passed: list[np.ndarray], shards: int, min_count: int) -> DataFrame:
+    """(hash, chunk) of the phrases of the next length that reach `min_count`; written once."""
 
-        held, size = [], 0
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        one, two = Powers(BYTE_BASE), Powers(WORD_BASE)
+        counts = HashCounts(len(passed) + 1, shards)
         for chunk in chunks_of(batches):
-            *_, (_, bucket) = levels(chunk, passed, buckets, powers)
-            held.append(bucket)
-            size += len(bucket)
-            if size >= HELD_POSITIONS:
-                add(held)
-                held, size = [], 0
-        if held:
-            add(held)
-        cut = total.reshape(SHARDS, -1)
-        for shard in np.flatnonzero(cut.any(axis=1)):
-            yield pd.DataFrame({"shard": [shard], "counts": [cut[shard].tobytes()]})
+            *_, (at, key) = levels(chunk, chunk.hashes(one)[chunk.numbers], passed)
+            if counts.size and int((chunk.chunk >> FILE_SHIFT << FILE_SHIFT)[0]) != counts.base:
+                yield counts.rows()
+            if len(at):
+                counts.add(chunk, at, key, chunk.hashes(two)[chunk.numbers])
+            if counts.size >= HELD_ENTRIES:
+                yield counts.rows()
+        if counts.size:
+            yield counts.rows()
+
+    def frequent(held: list[tuple[int, bytes]]) -> pd.DataFrame:
+        entries = np.concatenate([unpacked(e) for _, e in held])
+        bases = np.repeat([b for b, _ in held], [len(e) // ENTRY.itemsize for _, e in held])
+        order = np.lexsort((entries["other"], entries["hash"]))
+        entries, bases = entries[order], bases[order]
+        new = (entries["hash"][1:] != entries["hash"][:-1]) | (entries["other"][1:] != entries["other"][:-1])
+        first = np.flatnonzero(np.concatenate([[True], new]))
+        first = first[np.add.reduceat(entries["n"].astype(np.uint64), first) >= min_count]
+        return pd.DataFrame({
+            "hash": entries["hash"][first].view(np.int64),
+            "chunk": bases[first].astype(np.int64) + entries["chunk"][first].astype(np.int64),
+        })
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
+        held: list[tuple[int, bytes]] = []
+        now = None
         for batch in batches:
-            for shard, counts in zip(batch["shard"], batch["counts"], strict=True):
-                part = np.frombuffer(counts, kind).astype(np.int64)
-                sums[shard] = np.minimum(sums[shard] + part, min_count) if shard in sums else part
-        for shard, total in sums.items():
-            yield pd.DataFrame({"shard": [shard], "bits": [np.packbits(total >= min_count).tobytes()]})
+            for shard, base, entries in zip(batch["shard"], batch["base"], batch["entries"], strict=True):
+                if shard != now and held:
+                    yield frequent(held)
+                    held = []
+                now = shard
+                held.append((base, entries))
+        if held:
+            yield frequent(held)
 
-    shards = corpus.mapInPandas(count, "shard int, counts binary").repartition(
-        shuffle_width(corpus.sparkSession), "shard"
-    )
-    out = np.zeros((SHARDS, buckets // SHARDS // 8), np.uint8)
-    for row in shards.mapInPandas(add, "shard int, bits binary").collect():
-        out[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.reshape(-1)
+    rows = corpus.mapInPandas(count, "shard int, base long, entries binary")
+    dealt = rows.repartition(shuffle_width(corpus.sparkSession), "shard").sortWithinPartitions("shard")
+    return saved(dealt.mapInPandas(add, "hash long, chunk long"))
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits of the (unsigned) numbers `hash`, in words of 64: of one size at any input."""
+
+    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros(FILTER_BITS // 64, np.uint64)
+        for batch in batches:
+            place = bit_place(batch["hash"].to_numpy(np.int64).view(np.uint64))
+            np.bitwise_or.at(out, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
+        found = np.flatnonzero(out)
+        yield pd.DataFrame({"word": found, "bits": out[found].view(np.int64)})
+
+    words = hashes.select("hash").mapInPandas(bits, "word int, bits long")
+    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def candidates(corpus: DataFrame, longest: int, min_count: int) -> DataFrame:
     """(lang, phrase): phrases of up to `longest` words that no count rules out; written once."""
-    buckets = buckets_for(corpus.agg(F.sum("n")).first()[0] or 0, min_count)
+    words = corpus.agg(F.sum("n")).first()[0] or 0
+    shards = min(1 << 20, 2 << (words // SHARD_WORDS).bit_length())
     passed: list[np.ndarray] = []
+    named = None
     for _ in range(longest):
-        passed.append(passed_buckets(corpus, passed, buckets, min_count))
-    shared = corpus.sparkSession.sparkContext.broadcast(passed)
+        found = frequent_hashes(corpus, passed, shards, min_count)
+        passed.append(bitmap(found))
+        named = found if named is None else named.unionByName(found)
+
+    def paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            key, chunk = (batch[c].to_numpy(np.int64).view(np.uint64) for c in ("hash", "chunk"))
+            yield pd.DataFrame({"hash": in_chunk(key, chunk).view(np.int64)})
+
+    wanted = bitmap(named.mapInPandas(paired, "hash long"))
+    shared = corpus.sparkSession.sparkContext.broadcast((passed, wanted))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers(BYTE_BASE)
-        seen: set[bytes] = set()
         for chunk in chunks_of(batches):
-            every = distinct_phrases(chunk, shared.value, buckets, powers)
-            new = [p for p in every if chunk.lang + b"\n" + p not in seen]
-            if len(seen) + len(new) > MAX_SEEN:
-                seen.clear()
-            seen.update(chunk.lang + b"\n" + p for p in new)
-            if new:
-                yield pd.DataFrame({"lang": chunk.lang.decode(), "phrase": [p.decode() for p in new]})
-
-    found = corpus.mapInPandas(find, "lang string, phrase string").distinct()
-    out = saved(found)
+            phrases = list(marked_phrases(chunk, *shared.value, powers))
+            if phrases:
+                yield pd.DataFrame({"lang": chunk.lang.decode(), "phrase": [p.decode() for p in phrases]})
+
+    out = saved(corpus.mapInPandas(find, "lang string, phrase string").distinct())
     shared.unpersist()
     return out
 
 
-def distinct_phrases(chunk: Chunk, passed: list[np.ndarray], buckets: int, powers: Powers) -> Iterator[bytes]:
-    """Every candidate of a chunk once, words joined by spaces."""
-    label = np.zeros(len(chunk.numbers), np.int64)  # of the phrase one word shorter, by position
-    spelt: list[bytes] = [b""]
-    for k, (at, _) in enumerate(levels(chunk, passed, buckets, powers)):
-        if k == len(passed) or not len(at):
+def marked_phrases(chunk: Chunk, passed: list[np.ndarray], wanted: np.ndarray, powers: Powers) -> Iterator[bytes]:
+    """The phrases that name this chunk, words joined by spaces."""
+    own = chunk.hashes(powers)[chunk.numbers]
+    for k, (at, key) in enumerate(levels(chunk, own, passed)):
+        if k == len(passed):
             return
-        # A phrase is its first words, by label, and its last word: exact, without a hash.
-        last = chunk.numbers[at + k].astype(np.int64)
-        width = len(chunk.words) + 1
-        found = pa.array(label[at] * width + last).dictionary_encode()
-        pairs = found.dictionary.to_numpy(zero_copy_only=False)
-        label = np.zeros(len(chunk.numbers), np.int64)
-        label[at] = found.indices.to_numpy(zero_copy_only=False)
-        first, word = (pairs // width).tolist(), (pairs % width - 1).tolist()
-        space = b" " if k else b""
-        spelt = [spelt[a] + space + chunk.words[w] for a, w in zip(first, word, strict=True)]
-        yield from spelt
+        at = at[marked(wanted, bit_place(in_chunk(key, chunk.chunk)))]
+        numbers = chunk.numbers[at[:, None] + np.arange(k + 1)] - 1
+        for phrase in np.unique(numbers, axis=0).tolist():
+            yield b" ".join(map(chunk.words.__getitem__, phrase))
 
 
 def place_children(parent: np.ndarray, code: np.ndarray, nodes: int, codes: int):
@@ -379,20 +468,29 @@ def counted(corpus: DataFrame, shared) -> DataFrame:
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         f = total[trie.accept]
-        found = np.flatnonzero(f)
-        yield pd.DataFrame({"place": found, "f": f[found]})
-
-    sums = corpus.mapInPandas(count, "place int, f long").groupBy("place").agg(F.sum("f").alias("f"))
+        for shard, at in enumerate(range(0, len(f), SHARD_PHRASES)):
+            counts = f[at : at + SHARD_PHRASES]
+            if counts.any():
+                yield pd.DataFrame({"shard": [shard], "counts": [counts.tobytes()]})
 
-    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         phrases = shared.value.phrases
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            named = [phrases[i] for i in batch["place"]]
+            for shard, counts in zip(batch["shard"], batch["counts"], strict=True):
+                part = np.frombuffer(counts, np.int64)
+                sums[shard] = sums[shard] + part if shard in sums else part
+        for shard, f in sums.items():
+            found = np.flatnonzero(f)
+            named = [phrases[shard * SHARD_PHRASES + i] for i in found]
             yield pd.DataFrame(
-                {"lang": [x[0] for x in named], "phrase": [x[1] for x in named], "f": batch["f"].to_numpy()}
+                {"lang": [x[0] for x in named], "phrase": [x[1] for x in named], "f": f[found]}
             )
 
-    return sums.mapInPandas(name, "lang string, phrase string, f long")
+    shards = corpus.mapInPandas(count, "shard int, counts binary").repartition(
+        shuffle_width(corpus.sparkSession), "shard"
+    )
+    return shards.mapInPandas(add, "lang string, phrase string, f long")
 
 
 def part(words: str, first: Column | int, count: Column | int) -> Column:
