@@ -33,16 +33,39 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def reconcile(steps: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """VAL1: source and target counts of every step; each side is a one-row, one-column table."""
+def _known_count(target: DataFrame | int) -> Column:
+    return F.lit(target).cast("bigint") if isinstance(target, int) else target.scalar()
+
+
+def _with_difference(counts: DataFrame) -> DataFrame:
+    diff = F.col("source_count") - F.col("target_count")
+    return counts.withColumns({"diff": diff, "ok": diff == 0})
+
+
+def reconcile(steps: Mapping[str, tuple[DataFrame, DataFrame | int]]) -> DataFrame:
+    """VAL1: source and target counts of every step; a side is a one-row, one-column table.
+
+    A target may be a number, as the store knows the rows of what it wrote.
+    """
     rows = [
         source.toDF("source_count").select(
-            F.lit(step).alias("step"), "source_count", target.scalar().alias("target_count")
+            F.lit(step).alias("step"), "source_count", _known_count(target).alias("target_count")
         )
         for step, (source, target) in steps.items()
     ]
-    diff = F.col("source_count") - F.col("target_count")
-    return union_all(rows).withColumns({"diff": diff, "ok": diff == 0})
+    return _with_difference(union_all(rows))
+
+
+def reconcile_row(source: DataFrame, targets: Mapping[str, DataFrame | int]) -> DataFrame:
+    """VAL1 for steps whose source counts are the columns of one row, so one pass gives them all."""
+    entries = [
+        F.struct(
+            F.lit(step).alias("step"), F.col(step).alias("source_count"),
+            _known_count(target).alias("target_count"),
+        )
+        for step, target in targets.items()
+    ]
+    return _with_difference(source.select(F.inline(F.array(*entries))))
 
 
 def count_rows(df: DataFrame) -> DataFrame:

@@ -94,6 +94,41 @@ def count_ids(df: DataFrame, column: str, limit: int = 0) -> DataFrame:
     return ids.agg(F.count("*").alias("ids"))
 
 
+def id_bitmaps(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """AGG16: exact bitmaps of whole-number columns, all in one pass.
+
+    A row is (name, word, bits, rows): the 64 ids of one word of one column as bits, and the rows that
+    hold them; rows without an id have no word. The bits are a plain number, so both halves of the
+    aggregate are hash aggregates, and a map task sends one row for up to 64 ids of a column.
+    """
+    ids = [
+        F.struct(F.lit(name).alias("name"), F.col(c).cast("bigint").alias("id"))
+        for name, c in columns.items()
+    ]
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("id").bitwiseAND(F.lit(63)).cast("int"))
+    return (
+        df.select(F.inline(F.array(*ids)))
+        .groupBy("name", F.shiftright("id", 6).alias("word"))
+        .agg(F.bit_or(bit).alias("bits"), F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def distinct_counts(df: DataFrame, columns: Mapping[str, str], rows: str | None = None) -> DataFrame:
+    """AGG8 / AGG16: the distinct ids of several columns in one row, and the number of rows.
+
+    One scan and no expansion into one set of rows per distinct count.
+    """
+    first = next(iter(columns))
+    found = [
+        F.coalesce(F.sum(F.when(F.col("name") == name, F.bit_count("bits"))), F.lit(0)).cast("bigint").alias(name)
+        for name in columns
+    ]
+    if rows is not None:
+        counted = F.sum(F.when(F.col("name") == first, F.col("rows")))
+        found.insert(0, F.coalesce(counted, F.lit(0)).alias(rows))
+    return id_bitmaps(df, columns).agg(*found)
+
+
 def count_when(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """AGG7 / AGG11: one count per condition, all in one pass; ``rows`` counts everything."""
     return df.agg(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
-from ledgerloom.operators import match
+from ledgerloom.operators import match, rollup
 
 # Dimension name in a scope table -> column of the contract lines.
 DIMENSIONS = {
@@ -178,12 +178,9 @@ def billing_scope(
 
 
 def scope_counts(lines: DataFrame, dimensions: Mapping[str, str] = DIMENSIONS) -> DataFrame:
-    """AGG16: distinct base rows and distinct ids per dimension, in one row."""
+    """AGG16: distinct base rows and distinct ids per dimension, in one row and one scan."""
     base = lines.select(*dimensions.values()).distinct()
-    return base.agg(
-        F.count("*").alias("base_rows"),
-        *[F.countDistinct(c).alias(f"{c}_count") for c in dimensions.values()],
-    )
+    return rollup.distinct_counts(base, {f"{c}_count": c for c in dimensions.values()}, "base_rows")
 
 
 def merge_scope(

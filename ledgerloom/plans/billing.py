@@ -75,8 +75,8 @@ def load_billings(
     return load.replace_by_key(existing, incoming, incoming, ["customer_id"])
 
 
-def with_placeholders(existing: DataFrame, contract_rows: DataFrame, run_ts: str) -> DataFrame:
-    """LOD10: existing billings and a placeholder for every customer that has none."""
+def placeholder_rows(existing: DataFrame, contract_rows: DataFrame, run_ts: str) -> DataFrame:
+    """LOD10: a placeholder billing for every customer that has none."""
     now = dates.run_timestamp(run_ts)
     owners = contract_rows.filter(F.col("customer_id").isNotNull())
     added = load.placeholders(
@@ -96,7 +96,12 @@ def with_placeholders(existing: DataFrame, contract_rows: DataFrame, run_ts: str
             "contract_parameters_thirteenth_salary_type": F.lit(""),
         },
     )
-    return existing.unionByName(conform(added, "billings"))
+    return conform(added, "billings")
+
+
+def with_placeholders(existing: DataFrame, contract_rows: DataFrame, run_ts: str) -> DataFrame:
+    """LOD9 / LOD10: existing billings and those placeholders."""
+    return existing.unionByName(placeholder_rows(existing, contract_rows, run_ts))
 
 
 def contract_billings(contract_rows: DataFrame, billing_rows: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes, dates, keys, text
-from ledgerloom.operators import load, match, quality, reshape, rollup
+from ledgerloom.operators import match, quality, reshape, rollup
 from ledgerloom.operators.scope import ScopeParams, in_scope, sample
 from ledgerloom.sources.schemas import conform
 
@@ -122,11 +122,6 @@ def promoter_tasks(lines: DataFrame, params: ScopeParams, run_ts: str) -> DataFr
     return conform(rows, "promoter_tasks")
 
 
-def load_promoter_tasks(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """PIP18: existing tasks stay, new names are added."""
-    return incoming if existing is None else load.append_new(existing, incoming, ["name"])
-
-
 def with_line_numbers(df: DataFrame, strict: bool = False) -> DataFrame:
     """Frequency and hours text as numbers, parsed once for every column that needs them.
 

@@ -1,7 +1,7 @@
 """Runs (PIP30): the pipelines in dependency order, each step writing one target table.
 
 A step reads what earlier steps wrote, so lineage ends at every written table and a lost executor
-only repeats work of the current step. A step that fails stops the run.
+only repeats work of the current step. A step that fails stops the run and publishes nothing.
 """
 
 from __future__ import annotations
@@ -62,7 +62,10 @@ NEEDS = {
 
 @dataclass
 class Run:
-    """One run: sources, target store, scope, load policy and the constants of the run."""
+    """One run: sources, target store, scope, load policy and the constants of the run.
+
+    ``run_id`` names the run in the store's journal; the same id again resumes it.
+    """
 
     source: object
     store: TargetStore
@@ -75,6 +78,7 @@ class Run:
     preferred_role: str = ""
     default_role: str = ""
     fallback_user_id: str | None = None
+    run_id: str | None = None
 
     def __post_init__(self) -> None:
         self.terms = sheets.sheet_terms(self.sheet) if self.sheet is not None else None
@@ -138,12 +142,13 @@ def _load_by_policy(run: Run, table: str, incoming: DataFrame, keys: Sequence[st
     )
 
 
-def _load_by_type(run: Run, table: str, incoming: DataFrame, column: str, owner: str) -> None:
+def _append_new(run: Run, table: str, incoming: DataFrame, keys: Sequence[str]) -> None:
+    """LOD6 / LOD7: write the rows of new keys only; the first load writes all."""
     existing = run.store.read(table)
-    content = incoming
-    if existing is not None:
-        content = load.replace_by_type(existing, incoming, column, owner)
-    run.store.write(table, content)
+    if existing is None:
+        run.store.write(table, incoming)
+    else:
+        run.store.append(table, load.new_rows(existing, incoming, keys))
 
 
 def _keys_of(run: Run, found: DataFrame) -> DataFrame:
@@ -181,7 +186,7 @@ def _customers(run: Run) -> None:
             removed = touched.unionByName(key_rows.select("id")).distinct()
             rows = load.replace_by_key(old, rows, removed, ["id"])
             key_rows = load.replace_by_key(old_keys, key_rows, removed, ["id"])
-    # Records first: a run lost in between leaves records without keys, never keys without records.
+    # Both are published with the step, so no version has records without keys or keys without records.
     run.store.write("customers", rows)
     run.store.write("customer_legacy_ids", key_rows)
 
@@ -190,12 +195,12 @@ def _customer_addresses(run: Run) -> None:
     rows = customers.addresses(
         run.source.table("parties"), run.target("customer_legacy_ids"), run.source.table("places")
     )
-    _load_by_type(run, "addresses", rows, "addressable_type", customers.OWNER)
+    run.store.write("addresses", rows, part=customers.OWNER)
 
 
 def _customer_contacts(run: Run) -> None:
     rows = customers.contacts(run.source.table("parties"), run.target("customer_legacy_ids"))
-    _load_by_type(run, "contacts", rows, "contactable_type", customers.OWNER)
+    run.store.write("contacts", rows, part=customers.OWNER)
 
 
 def _customer_brands(run: Run) -> None:
@@ -215,12 +220,8 @@ def _customer_customer_brand(run: Run) -> None:
         run.lines(), run.target("customer_legacy_ids"), run.target("customer_brands"),
         run.effective(),
     )
-    existing = run.store.read("customer_customer_brand")
     pair = ["customer_id", "customer_brand_id"]
-    run.store.write(
-        "customer_customer_brand",
-        incoming if existing is None else load.insert_ignore(existing, incoming, pair),
-    )
+    _append_new(run, "customer_customer_brand", incoming.dropDuplicates(pair), pair)
 
 
 def _store_segments(run: Run) -> None:
@@ -260,19 +261,21 @@ def _store_addresses(run: Run) -> None:
     rows = stores.addresses(
         run.source.table("store_records"), run.target("stores"), run.source.table("places")
     )
-    _load_by_type(run, "addresses", rows, "addressable_type", stores.OWNER)
+    run.store.write("addresses", rows, part=stores.OWNER)
 
 
 def _store_contacts(run: Run) -> None:
     rows = stores.contacts(run.source.table("store_records"), run.target("stores"))
-    _load_by_type(run, "contacts", rows, "contactable_type", stores.OWNER)
+    run.store.write("contacts", rows, part=stores.OWNER)
 
 
 def _users(run: Run) -> None:
-    existing = run.store.read("users")
-    found = scope.sample(run.source.table("source_users"), run.params, "id")
-    content = users.load_users(existing, found, run.policy.clear)
-    run.store.write("users", content)
+    """PIP14: replace everything on request, else add only users not loaded yet (LOD6)."""
+    rows = users.users(scope.sample(run.source.table("source_users"), run.params, "id"))
+    if run.policy.clear:
+        run.store.write("users", load.replace_all(rows))
+    else:
+        _append_new(run, "users", rows, ["legacy_id"])
 
 
 def _user_roles(run: Run) -> None:
@@ -310,15 +313,13 @@ def _billings(run: Run) -> None:
         existing = run.store.write(
             "billings", billing.conform(contract_rows.limit(0).select("customer_id"), "billings")
         )
-    run.store.write("billings", billing.with_placeholders(existing, contract_rows, run.run_ts))
+    run.store.append("billings", billing.placeholder_rows(existing, contract_rows, run.run_ts))
 
 
 def _promoter_tasks(run: Run) -> None:
+    """PIP18: existing tasks stay, new names are added."""
     incoming = contracts.promoter_tasks(run.lines(), run.effective(), run.run_ts)
-    run.store.write(
-        "promoter_tasks",
-        contracts.load_promoter_tasks(run.store.read("promoter_tasks"), incoming),
-    )
+    _append_new(run, "promoter_tasks", incoming, ["name"])
 
 
 def _contract_scenarios(run: Run) -> None:
@@ -421,16 +422,23 @@ TABLE_OF_STEP = {
 
 
 def run_step(run: Run, step: str) -> None:
-    """One step, after the steps whose tables it needs and that were never loaded."""
+    """One step, after the steps whose tables it needs and that were never loaded.
+
+    All tables of a step come out together; a step that fails changes nothing.
+    """
     for needed in NEEDS.get(step, ()):
         if run.store.read(TABLE_OF_STEP.get(needed, needed)) is None:
             run_step(run, needed)
-    STEPS[step](run)
+    with run.store.step(step, run.run_id):
+        STEPS[step](run)
 
 
 def _run_all(run: Run, steps: Sequence[str]) -> None:
+    """The steps in order; a run with an id leaves out those it has already published."""
+    done = run.store.done(run.run_id) if run.run_id is not None else ()
     for step in steps:
-        run_step(run, step)
+        if step not in done:
+            run_step(run, step)
 
 
 def run_customers(run: Run, steps: Sequence[str] = CUSTOMER_STEPS) -> None:
@@ -450,35 +458,37 @@ def run_contracts(run: Run, steps: Sequence[str] = CONTRACT_STEPS) -> None:
 
 
 def run_legacy_clients(run: Run) -> None:
-    """PIP27: every table of the older client model, replaced as a whole."""
-    for table, build in legacy_clients.TABLES.items():
-        run.store.write(table, build(run.source.table("parties"), run.source.table("places")))
+    """PIP27: every table of the older client model, replaced as a whole and published at once."""
+    with run.store.step("legacy_clients", run.run_id):
+        for table, build in legacy_clients.TABLES.items():
+            run.store.write(table, build(run.source.table("parties"), run.source.table("places")))
 
 
 def run_everything(run: Run) -> None:
-    """PIP30: customers, stores, users, contracts, then the run's entry in the history."""
+    """PIP30: customers, stores, users, contracts, then the run's entry in the history.
+
+    A run with an id that was lost on the way goes on at its first unfinished step.
+    """
     started = time.monotonic()
     run_customers(run)
     run_stores(run)
     run_users(run)
     run_contracts(run)
-    reports.save_run(
-        run.store, run.store.root, run.run_ts, time.monotonic() - started, measures(run)
-    )
+    if run.run_id is None or "run_history" not in run.store.done(run.run_id):
+        with run.store.step("run_history", run.run_id):
+            reports.save_run(
+                run.store, run.store.root, run.run_ts, time.monotonic() - started, measures(run)
+            )
 
 
 def measures(run: Run) -> dict[str, int]:
     """VAL10: rows of every loaded table and the legacy ids behind the customers.
 
-    One count per table comes back to the driver.
+    The rows were counted while they were written, so no table is read.
     """
     tables = {*(TABLE_OF_STEP.get(s, s) for s in STEPS), "customer_legacy_ids"}
-    loaded = {t: df for t in sorted(tables) if (df := run.store.read(t)) is not None}
-    return {r["table"]: r["rows"] for r in quality.table_counts(loaded).collect()}
-
-
-def _owner_rows(run: Run, table: str, column: str, owner: str) -> DataFrame:
-    return quality.count_rows(run.target(table).filter(F.col(column) == owner))
+    loaded = run.store.content().tables
+    return {t: run.store.rows(t) for t in sorted(tables) if t in loaded}
 
 
 def _filled_addresses(records: DataFrame, key_rows: DataFrame, groups: dict[str, str]) -> DataFrame:
@@ -500,61 +510,54 @@ def _filled_contacts(records: DataFrame, key_rows: DataFrame) -> DataFrame:
     return quality.count_rows(reshape.contact_rows(kept, ["id"]))
 
 
-def _reconcile_customers(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
+Counts = dict[str, tuple[DataFrame, DataFrame | int]]
+
+
+def _reconcile_customers(run: Run) -> Counts:
     parties, key_rows = run.source.table("parties"), run.target("customer_legacy_ids")
     names = run.scoped_lines().filter(text.not_blank(F.col("customer_name")))
     return {
         "customer_segments": (
-            quality.count_rows(run.source.table("segments")),
-            quality.count_rows(run.target("customer_segments")),
-        ),
-        "customers": (
-            rollup.count_ids(run.scoped_lines(), "customer_id"),
-            rollup.count_ids(key_rows, "legacy_id"),
+            quality.count_rows(run.source.table("segments")), run.store.rows("customer_segments"),
         ),
         "customer_addresses": (
             _filled_addresses(parties, key_rows, customers.ADDRESS_GROUPS),
-            _owner_rows(run, "addresses", "addressable_type", customers.OWNER),
+            run.store.rows("addresses", customers.OWNER),
         ),
         "customer_contacts": (
             _filled_contacts(parties, key_rows),
-            _owner_rows(run, "contacts", "contactable_type", customers.OWNER),
+            run.store.rows("contacts", customers.OWNER),
         ),
         "customer_brands": (
             rollup.count_groups(names, [text.strip(F.col("customer_name"))], "rows"),
-            quality.count_rows(run.target("customer_brands")),
+            run.store.rows("customer_brands"),
         ),
     }
 
 
-def _reconcile_stores(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
-    lines, count = run.scoped_lines(), quality.count_rows
+def _reconcile_stores(run: Run) -> Counts:
+    rows = run.store.rows
     records, key_rows = run.source.table("store_records"), match.key_map(run.target("stores"))
     loaded = match.within(records, key_rows.select(F.col("legacy_id").alias("id")), ["id"])
     in_lines = match.within(records, run.wanted("store_id"), ["id"])
     return {
-        "store_segments": (
-            rollup.count_ids(in_lines, "channel_id"), count(run.target("store_segments")),
-        ),
-        "retail_chains": (rollup.count_ids(lines, "chain_id"), count(run.target("retail_chains"))),
-        "store_brands": (rollup.count_ids(lines, "brand_id"), count(run.target("store_brands"))),
-        "stores": (rollup.count_ids(lines, "store_id"), count(run.target("stores"))),
+        "store_segments": (rollup.count_ids(in_lines, "channel_id"), rows("store_segments")),
         "store_cnpjs": (
-            count(loaded.filter(text.not_blank(F.col("tax_id")))), count(run.target("store_cnpjs")),
+            quality.count_rows(loaded.filter(text.not_blank(F.col("tax_id")))), rows("store_cnpjs"),
         ),
         "store_addresses": (
             _filled_addresses(records, key_rows, {"main_": "main"}),
-            _owner_rows(run, "addresses", "addressable_type", stores.OWNER),
+            run.store.rows("addresses", stores.OWNER),
         ),
         "store_contacts": (
             _filled_contacts(records, key_rows),
-            _owner_rows(run, "contacts", "contactable_type", stores.OWNER),
+            run.store.rows("contacts", stores.OWNER),
         ),
     }
 
 
-def _reconcile_contracts(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
-    lines, count = run.scoped_lines(), quality.count_rows
+def _reconcile_contracts(run: Run) -> Counts:
+    lines, count, rows = run.scoped_lines(), quality.count_rows, run.store.rows
     loaded = run.contract_keys().select(F.col("legacy_id").alias("contract_id"))
     own = match.within(lines, loaded, ["contract_id"])
     master = match.within(run.scoped("contract_master"), loaded, ["contract_id"])
@@ -565,51 +568,56 @@ def _reconcile_contracts(run: Run) -> dict[str, tuple[DataFrame, DataFrame]]:
         own, master.filter(F.col("seller_id").isNotNull()).select("contract_id"), ["contract_id"]
     )
     steps = {
-        "contracts": (rollup.count_ids(lines, "contract_id"), count(run.target("contracts"))),
         "contract_scenarios": (
             rollup.count_groups(own.filter(F.col("customer_id").isNotNull()), keys, "rows"),
-            count(run.target("contract_scenarios")),
+            rows("contract_scenarios"),
         ),
         "contract_scenario_stores": (
             count(own.filter(F.col("customer_id").isNotNull())),
-            count(run.target("contract_scenario_stores")),
+            rows("contract_scenario_stores"),
         ),
         "contract_team_members": (
-            rollup.count_groups(sold, dates_of, "rows"), count(run.target("contract_team_members")),
+            rollup.count_groups(sold, dates_of, "rows"), rows("contract_team_members"),
         ),
         "contract_partners": (
             rollup.count_groups(clients, [*dates_of, "store_client_id", "store_client_name"], "rows"),
-            count(run.target("contract_partners")),
+            rows("contract_partners"),
         ),
         "contract_additional_charges": (
-            rollup.count_charges(master), count(run.target("contract_additional_charges")),
+            rollup.count_charges(master), rows("contract_additional_charges"),
         ),
     }
     if run.terms is not None:
         listed = match.within(loaded, run.terms, ["contract_id"])
         steps["contract_sellers"] = (
-            listed.agg((F.count("*") * 2).alias("rows")), count(run.target("contract_sellers")),
+            listed.agg((F.count("*") * 2).alias("rows")), rows("contract_sellers"),
         )
     return steps
 
 
+#: Steps whose source count is the number of distinct ids of one column of the lines.
+COUNTED_IDS = {
+    "customers": "customer_id", "retail_chains": "chain_id", "store_brands": "brand_id",
+    "stores": "store_id", "contracts": "contract_id",
+}
+
+
 def reconcile_run(run: Run) -> DataFrame:
     """VAL1 + VAL2: source and target counts of every step of a finished run.
 
     Like is compared with like: customers by the ids they stand for, shared child tables by owner
-    type, sellers by the two rows each contract gets.
+    type, sellers by the two rows each contract gets. Targets are counted where they were written;
+    the ids of all dimensions are counted in one pass over the lines.
     """
-    accounts = {
-        "users": (
-            quality.count_rows(run.source.table("source_users")),
-            quality.count_rows(run.target("users")),
-        ),
-        "user_roles": (
-            quality.count_rows(run.target("users")), quality.count_rows(run.target("user_roles")),
-        ),
+    rows = run.store.rows
+    loaded = {step: rows(step) for step in COUNTED_IDS} | {"customers": rows("customer_legacy_ids")}
+    ids = quality.reconcile_row(rollup.distinct_counts(run.scoped_lines(), COUNTED_IDS), loaded)
+    accounts: Counts = {
+        "users": (quality.count_rows(run.source.table("source_users")), rows("users")),
+        "user_roles": (quality.count_rows(run.target("users")), rows("user_roles")),
     }
     steps = {**_reconcile_customers(run), **_reconcile_stores(run), **accounts}
-    return quality.reconcile({**steps, **_reconcile_contracts(run)})
+    return quality.reconcile({**steps, **_reconcile_contracts(run)}).unionByName(ids)
 
 
 def reject_list(run: Run) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes, dates, keys, text
-from ledgerloom.operators import load, scope
+from ledgerloom.operators import scope
 from ledgerloom.sources.schemas import conform
 
 # Account flags of a loaded user.
@@ -44,14 +44,6 @@ def users(source_users: DataFrame) -> DataFrame:
     return conform(rows.filter(F.col("name").isNotNull()), "users")
 
 
-def load_users(existing: DataFrame | None, source_users: DataFrame, clear: bool) -> DataFrame:
-    """PIP14: replace everything on request, else add only users not loaded yet (LOD6)."""
-    incoming = users(source_users)
-    if clear or existing is None:
-        return load.replace_all(incoming)
-    return load.append_new(existing, incoming, ["legacy_id"])
-
-
 def chosen_role(roles: DataFrame, preferred: str, default: str) -> DataFrame:
     """PIP15: the preferred role when it exists, else the default one, else the smallest id."""
     ids = roles.select(F.col("id").alias("role_id")).filter(F.col("role_id").isNotNull())

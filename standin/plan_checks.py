@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
-from ledgerloom.operators import match, quality
+from ledgerloom.operators import load, match, quality
 from ledgerloom.operators.scope import billing_scope
 from ledgerloom.plans import billing, contracts, customers, legacy_clients, stores, users
 from ledgerloom.sources import sheet as sheets
@@ -278,7 +278,7 @@ def user_rows(t):
 @check("users", f"SELECT *, {_FLAGS} FROM ({scopes.USERS}) u")
 def users_table(t):
     """PIP14 as a full load, with PRJ1 and STR9. Columns without any value are left out."""
-    return users.load_users(None, t["source_users"], clear=True).drop(*_EMPTY_ACCOUNT)
+    return users.users(t["source_users"]).drop(*_EMPTY_ACCOUNT)
 
 
 @check(
@@ -290,7 +290,7 @@ def users_table(t):
 def users_incremental(t):
     """PIP14 as an incremental load."""
     loaded = user_rows(t).filter("legacy_id % 3 = 0").withColumn("status", F.lit("old"))
-    content = users.load_users(loaded, t["source_users"], clear=False)
+    content = load.append_new(loaded, users.users(t["source_users"]), ["legacy_id"])
     return content.select("legacy_id", "status", "normalized_email")
 
 

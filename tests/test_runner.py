@@ -237,3 +237,75 @@ def test_narrow_customer_run_replaces_touched_groups(spark, tables, tmp_path):
     runner.run_step(wide, "customers")
     assert rows(wide.target("customers")) == before
     assert rows(wide.target("customer_legacy_ids")) == keys
+
+
+class Losing(TargetStore):
+    """A store whose write of one table fails."""
+
+    losing = None
+
+    def _new_folder(self, table, df, part):
+        if table == self.losing:
+            raise RuntimeError(f"{table} was lost")
+        return super()._new_folder(table, df, part)
+
+
+def test_a_lost_run_goes_on_at_its_first_unfinished_step(spark, tables, tmp_path):
+    store = Losing(spark, str(tmp_path))
+    store.losing = "customer_legacy_ids"
+
+    def run(run_id="night-1"):
+        return runner.Run(source=tables.source, store=store, run_ts=rules.RUN_TS, run_id=run_id)
+
+    # The first of the step's two tables is written, the second is lost: neither is published.
+    with pytest.raises(RuntimeError, match="lost"):
+        runner.run_customers(run())
+    assert store.done("night-1") == ("customer_segments",)
+    assert store.read("customers") is None and store.read("customer_legacy_ids") is None
+    store.losing = None
+    segments = store.content().folders("customer_segments")
+    runner.run_customers(run())
+    assert store.done("night-1") == runner.CUSTOMER_STEPS
+    assert store.content().folders("customer_segments") == segments
+    assert store.read("customers").count() == store.rows("customers") > 0
+    # A finished run does nothing more under its id; another id, or none, loads again.
+    before = store.versions()
+    runner.run_customers(run())
+    assert store.versions() == before
+    runner.run_customers(run("night-2"), ["customer_segments"])
+    runner.run_customers(run(None), ["customer_segments"])
+    assert len(store.versions()) == len(before) + 2 and store.done("night-2") == ("customer_segments",)
+
+
+def jobs_of(spark, build):
+    """The result of a call and the number of Spark jobs it started."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "jobs of one call")
+    try:
+        found = build()
+    finally:
+        context._jsc.clearJobGroup()
+    return found, len(context.statusTracker().getJobIdsForGroup("counted"))
+
+
+def test_totals_of_a_run_start_no_job(spark, finished):
+    found, jobs = jobs_of(spark, lambda: runner.measures(finished))
+    assert jobs == 0
+    assert found == {t: finished.target(t).count() for t in found} and len(found) == 25
+
+
+def test_shared_tables_are_loaded_by_owner(finished):
+    """LOD4 in a run: loading one owner type leaves the folders of the other as they are."""
+    content = finished.store.content()
+    of_stores = content.folders("addresses", "Store")
+    assert of_stores and len(of_stores) + len(content.folders("addresses", "Customer")) == len(
+        content.folders("addresses"))
+    runner.run_step(finished, "customer_addresses")
+    assert finished.store.content().folders("addresses", "Store") == of_stores
+
+
+def test_accounts_are_appended(finished):
+    """LOD6 in a run: accounts that are loaded stay in their folders."""
+    before = finished.store.content().folders("users")
+    runner.run_step(finished, "users")
+    assert finished.store.content().folders("users") == before

@@ -62,27 +62,98 @@ def test_conform_adds_missing_columns(spark):
     assert got.first()["name"] == "n" and got.first()["task_type"] is None
 
 
+ROLES = "user_id string, role_id string"
+
+
+def roles(spark, *ids):
+    return spark.createDataFrame([(i, "r") for i in ids], ROLES)
+
+
+def ids_of(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def files(folder):
+    """Data files below a folder, with the time of their last change."""
+    return {
+        os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+        for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")
+    }
+
+
 def test_target_store_versions(spark, folder):
     store = TargetStore(spark, folder, namespace="test")
-    assert store.read("user_roles") is None
-    first = spark.createDataFrame([("u1", "r")], "user_id string, role_id string")
-    assert store.write("user_roles", first).count() == 1
+    assert store.read("user_roles") is None and store.versions() == [] and store.rows("user_roles") == 0
+    assert store.write("user_roles", roles(spark, "u1")).count() == 1
     # The new content is computed from the old one and written next to it.
-    more = store.read("user_roles").unionByName(
-        spark.createDataFrame([("u2", "r")], "user_id string, role_id string")
-    )
-    assert store.write("user_roles", more).count() == 2
-    # A version whose write did not finish is not the table, and the next write passes over it.
-    os.makedirs(f"{store.root}/user_roles/v9")
-    assert store.read("user_roles").count() == 2
-    store.write("user_roles", first)
-    assert store.read("user_roles").count() == 1
-    assert os.path.exists(f"{store.root}/user_roles/v10/_SUCCESS")
+    assert store.write("user_roles", store.read("user_roles").unionByName(roles(spark, "u2"))).count() == 2
+    # A folder that no version lists is not part of the table.
+    os.makedirs(f"{store.root}/user_roles/d-lost")
+    roles(spark, "u9").write.mode("overwrite").parquet(f"{store.root}/user_roles/d-lost")
+    assert ids_of(store.read("user_roles")) == ["u1", "u2"]
+    store.write("user_roles", roles(spark, "u1"))
+    assert ids_of(store.read("user_roles")) == ["u1"] and store.versions() == [1, 2, 3]
+    assert [f.rows for f in store.content(2).folders("user_roles")] == [2]
+    # Another session sees the same.
+    assert ids_of(TargetStore(spark, folder, "test").read("user_roles")) == ["u1"]
+    empty = store.write("user_roles", roles(spark, "u1").limit(0))
+    assert empty.count() == 0 and empty.columns == ["user_id", "role_id"] and store.rows("user_roles") == 0
+
+
+def test_append_writes_new_rows_only(spark, folder):
+    store = TargetStore(spark, folder)
+    store.write("user_roles", roles(spark, *map(str, range(1000))))
+    before = files(folder)
+    sizes = []
+    for n in range(3):
+        old = files(folder)
+        assert store.append("user_roles", roles(spark, f"n{n}")).count() == 1001 + n
+        new = {f: t for f, t in files(folder).items() if f not in old}
+        sizes.append(sum(map(os.path.getsize, new)))
+    # The old files are as they were, and later appends write no more than the first one.
+    assert {f: t for f, t in files(folder).items() if f in before} == before
+    assert max(sizes) <= 2 * min(sizes) and store.rows("user_roles") == 1003
+    assert store.append("user_roles", roles(spark).limit(0)).count() == 1003
+    assert len(store.content().folders("user_roles")) == 4
+    with pytest.raises(ValueError, match="columns"):
+        store.append("user_roles", roles(spark, "x").drop("role_id"))
+    assert store.compact("user_roles").count() == 1003
+    assert [f.rows for f in store.content().folders("user_roles")] == [1003]
+    assert store.compact("nothing") is None
+
+
+def test_one_part_is_replaced_alone(spark, folder):
+    store = TargetStore(spark, folder)
+
+    def owned(kind, *ids):
+        return spark.createDataFrame([(i, kind) for i in ids], "id int, owner string")
+
+    store.write("notes", owned("Store", 1, 2), part="Store")
+    store.write("notes", owned("Customer", 3), part="Customer")
+    of_stores = {f.name for f in store.content().folders("notes", "Store")}
+    before = files(folder)
+    found = store.write("notes", owned("Customer", 4, 5, 6), part="Customer")
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, "Store"), (2, "Store"), (4, "Customer"), (5, "Customer"), (6, "Customer")]
+    assert {f.name for f in store.content().folders("notes", "Store")} == of_stores
+    assert {f: t for f, t in files(folder).items() if f in before} == before
+    # Reading one part lists the files of that part only, and its count starts no job.
+    only = store.read("notes", "Store")
+    assert all(any(n in f for n in of_stores) for f in only.inputFiles())
+    assert store.rows("notes", "Customer") == 3
+    store.append("notes", owned("Store", 7), part="Store")
+    assert ids_of(store.read("notes", "Store")) == [1, 2, 7]
+    assert ids_of(store.compact("notes")) == [1, 2, 4, 5, 6, 7]
+    assert {f.part for f in store.content().folders("notes")} == {"Store", "Customer"}
+    assert store.write("notes", owned("Store"), part="Store").count() == 3
+    store.write("plain", owned("Store", 1))
+    with pytest.raises(ValueError, match="no part"):
+        store.write("plain", owned("Store", 2), part="Store")
 
 
 def test_failed_write_leaves_the_table(spark, folder):
     store = TargetStore(spark, folder)
-    df = spark.createDataFrame([("u1", "r")], "user_id string, role_id string")
+    df = roles(spark, "u1")
     store.write("user_roles", df)
     broken = df.withColumn("role_id", F.raise_error(F.lit("lost")).cast("string"))
     with pytest.raises(Exception, match="lost"):
@@ -90,6 +161,47 @@ def test_failed_write_leaves_the_table(spark, folder):
     assert [tuple(r) for r in store.read("user_roles").collect()] == [("u1", "r")]
 
 
+def test_tables_of_a_step_come_out_together(spark, folder):
+    store, other = TargetStore(spark, folder), TargetStore(spark, folder)
+    with store.step("both", "run-1"):
+        store.write("a", roles(spark, "1"))
+        store.append("a", roles(spark, "2"))
+        # The step reads what it wrote; nobody else does yet.
+        assert ids_of(store.read("a")) == ["1", "2"] and other.read("a") is None
+        store.write("b", roles(spark, "3"))
+        with pytest.raises(ValueError, match="inside"), store.step("inner"):
+            pass
+    assert ids_of(other.read("a")) == ["1", "2"] and ids_of(other.read("b")) == ["3"]
+    assert other.versions() == [1] and other.done("run-1") == ("both",) and other.done("run-2") == ()
+    with pytest.raises(RuntimeError), store.step("lost", "run-1"):
+        store.write("a", roles(spark, "9"))
+        raise RuntimeError("lost between two writes")
+    assert ids_of(store.read("a")) == ["1", "2"] and store.done("run-1") == ("both",)
+    with store.step("idle"):
+        pass
+    assert store.versions() == [1]
+
+
+def test_two_runs_cannot_publish_the_same_version(spark, folder):
+    store, other = TargetStore(spark, folder), TargetStore(spark, folder)
+    store.write("a", roles(spark, "1"))
+    with pytest.raises(Exception, match="[Ee]xist"), store.step("slow"):
+        store.write("a", roles(spark, "2"))
+        other.write("b", roles(spark, "3"))
+    assert ids_of(store.read("a")) == ["1"] and ids_of(store.read("b")) == ["3"]
+
+
+def test_clean_keeps_what_the_last_versions_list(spark, folder):
+    store = TargetStore(spark, folder)
+    for n in range(4):
+        store.write("a", roles(spark, str(n)))
+    store.write("b", roles(spark, "x"))
+    assert len(os.listdir(f"{folder}/a")) == 4
+    assert store.clean(keep=2) == 3  # both kept versions list the last folder
+    assert len(os.listdir(f"{folder}/a")) == 1 and store.versions() == [4, 5]
+    assert ids_of(store.read("a")) == ["3"] and ids_of(store.read("b")) == ["x"]
+
+
 def test_store_defaults_to_the_shared_folder(spark):
     assert TargetStore(spark).root == spark.conf.get("spark.checkpoint.dir") + "/tables"
 
