@@ -32,6 +32,19 @@ def replace_by_key(
     return append_all(match.without(existing, removed.select(*keys), keys), incoming)
 
 
+def replace_in_buckets(
+    existing: DataFrame, incoming: DataFrame, removed: DataFrame, key: str, buckets: int
+) -> DataFrame:
+    """LOD2 for a target bucketed by a unique key: neither the join nor the write shuffles old rows.
+
+    The removed keys and the incoming rows are dealt into the target's buckets. A plain anti join, as
+    a second join column for null keys would not fit the buckets; rows with a null key are kept.
+    """
+    gone = removed.select(key).repartition(buckets, key).distinct()
+    kept = existing.join(gone, key, "left_anti")
+    return append_all(kept, incoming.repartition(buckets, key))
+
+
 def with_any_element(key_rows: DataFrame, ids: DataFrame) -> DataFrame:
     """ARR1 for long lists: the records that stand for any of the legacy ids.
 

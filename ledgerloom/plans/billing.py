@@ -104,6 +104,19 @@ def with_placeholders(existing: DataFrame, contract_rows: DataFrame, run_ts: str
     return existing.unionByName(placeholder_rows(existing, contract_rows, run_ts))
 
 
+def computed_billings(contract_rows: DataFrame) -> DataFrame:
+    """LOD10 without a join: contract -> billing of its customer, with the contract's legacy id.
+
+    Every customer with a contract has a billing, by placeholder if need be, and a billing's id is
+    that of its customer, so the billings need not be read. ``match.orphans`` shows contracts loaded
+    after the billings.
+    """
+    return contract_rows.filter(F.col("customer_id").isNotNull()).select(
+        F.col("legacy_id").alias("contract_legacy_id"), F.col("id").alias("contract_id"),
+        keys.surrogate_key("billing", F.col("customer_id")).alias("billing_id"),
+    )
+
+
 def contract_billings(contract_rows: DataFrame, billing_rows: DataFrame) -> DataFrame:
     """LOD10: contract -> billing of its customer, with the contract's legacy id."""
     owned = contract_rows.select(

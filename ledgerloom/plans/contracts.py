@@ -180,24 +180,27 @@ def unknown_tasks(scenarios: DataFrame, task_rows: DataFrame) -> DataFrame:
 def keyed_scenarios(
     lines: DataFrame,
     contract_billing_rows: DataFrame,
-    task_rows: DataFrame,
     params: ScopeParams,
     run_ts: str,
     strict: bool = False,
 ) -> DataFrame:
-    """PIP19 with its key columns. Scenarios of contracts without a billing are left out."""
+    """PIP19 with its key columns. Scenarios of contracts without a billing are left out.
+
+    The task's id is computed from its name, as the tasks come from the same lines; names without a
+    task stop the run before (VAL3).
+    """
     scenarios = distinct_scenarios(in_scope(lines, params), strict)
     scenarios = sample(scenarios, params, "contract_legacy_id", "frequency", "hours", "price")
     billed = scenarios.join(contract_billing_rows, "contract_legacy_id")
-    tasks = task_rows.select(
-        F.col("id").alias("promoter_task_id"), F.col("name").alias("_task")
+    tasked = billed.withColumn("_task", text.task_name(F.col("task_name"))).filter(
+        F.col("_task").isNotNull()
     )
-    tasked = billed.withColumn("_task", text.task_name(F.col("task_name"))).join(tasks, "_task")
     created = dates.first_timestamp(run_ts, F.col("line_created_at"))
     return tasked.withColumns(
         {
             "id": F.col("scenario_id"),
             "legacy_id": F.lit(0),
+            "promoter_task_id": keys.surrogate_key("promoter_task", F.col("_task")),
             "frequency_label": codes.frequency_label(F.col("frequency_number")),
             "hour_value": F.col("rate_key"),
             "start_date": dates.first_day(run_ts, F.col("start_day"), F.col("line_created_at")),
@@ -452,16 +455,15 @@ def contract_additional_charges(
     return conform(rows, "contract_additional_charges")
 
 
-def contract_scenarios_brands(
-    customer_brand_pairs: DataFrame, contract_rows: DataFrame, scenario_rows: DataFrame
-) -> DataFrame:
+def contract_scenarios_brands(customer_brand_pairs: DataFrame, scenario_rows: DataFrame) -> DataFrame:
     """PIP26 + JOI13: distinct (scenario, customer brand) pairs.
 
-    A scenario has one contract and a contract one customer, so once the junction rows are
-    distinct the pairs are too and need no further shuffle.
+    A scenario names the billing of its contract's customer, whose id follows from the customer's, so
+    scenarios meet the pairs by it and the contracts need not be read. A scenario has one customer, so
+    once the junction rows are distinct the pairs are too and need no further shuffle.
     """
-    owners = contract_rows.select(F.col("id").alias("contract_id"), "customer_id")
-    scenarios = scenario_rows.select(F.col("id").alias("scenario_id"), "contract_id").distinct()
-    pairs = customer_brand_pairs.select("customer_id", "customer_brand_id").distinct()
-    linked = scenarios.join(owners, "contract_id").join(pairs, "customer_id")
-    return conform(linked, "contract_scenarios_brands")
+    scenarios = scenario_rows.select(F.col("id").alias("scenario_id"), "billing_id").distinct()
+    pairs = customer_brand_pairs.select("customer_id", "customer_brand_id").distinct().select(
+        keys.surrogate_key("billing", F.col("customer_id")).alias("billing_id"), "customer_brand_id"
+    )
+    return conform(scenarios.join(pairs, "billing_id"), "contract_scenarios_brands")

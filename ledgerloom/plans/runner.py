@@ -17,7 +17,7 @@ from ledgerloom.functions import text
 from ledgerloom.operators import load, match, quality, reshape, rollup, scope
 from ledgerloom.operators.scope import ScopeParams, in_scope
 from ledgerloom.plans import billing, contracts, customers, legacy_clients, stores, users
-from ledgerloom.sources import reports, sheet as sheets
+from ledgerloom.sources import reports, schemas, sheet as sheets
 from ledgerloom.sources.catalog import TargetStore
 
 CUSTOMER_STEPS = (
@@ -130,16 +130,19 @@ class Run:
         return match.key_map(self.target("contracts"))
 
     def contract_billings(self) -> DataFrame:
-        return billing.contract_billings(self.target("contracts"), self.target("billings"))
+        return billing.computed_billings(self.target("contracts"))
 
 
 def _load_by_policy(run: Run, table: str, incoming: DataFrame, keys: Sequence[str]) -> None:
     existing = run.store.read(table)
     removed = incoming.select(*keys).distinct()
-    run.store.write(
-        table,
-        load.apply_policy(run.policy, run.is_restricted, existing, incoming, removed, keys),
-    )
+    buckets = run.store.bucket_count(table)
+    in_buckets = buckets is not None and list(keys) == [schemas.BUCKETED[table]]
+    if in_buckets and run.policy.mode(run.is_restricted, True) == "replace_by_key":
+        content = load.replace_in_buckets(existing, incoming, removed, keys[0], buckets)
+    else:
+        content = load.apply_policy(run.policy, run.is_restricted, existing, incoming, removed, keys)
+    run.store.write(table, content)
 
 
 def _append_new(run: Run, table: str, incoming: DataFrame, keys: Sequence[str]) -> None:
@@ -328,7 +331,7 @@ def _contract_scenarios(run: Run) -> None:
     scenarios = contracts.distinct_scenarios(run.scoped_lines())
     quality.require_mapped(contracts.unknown_tasks(scenarios, tasks), "task names")
     keyed = contracts.keyed_scenarios(
-        run.lines(), run.contract_billings(), tasks, run.effective(), run.run_ts
+        run.lines(), run.contract_billings(), run.effective(), run.run_ts
     )
     run.store.write("scenario_keys", contracts.scenario_key_map(keyed))
     _children_of_contracts(
@@ -401,8 +404,7 @@ def _contract_additional_charges(run: Run) -> None:
 
 def _contract_scenarios_brands(run: Run) -> None:
     rows = contracts.contract_scenarios_brands(
-        run.target("customer_customer_brand"), run.target("contracts"),
-        run.target("contract_scenarios"),
+        run.target("customer_customer_brand"), run.target("contract_scenarios")
     )
     run.store.write("contract_scenarios_brands", rows)
 

@@ -88,11 +88,12 @@ class FileSource:
 
 @dataclass(frozen=True)
 class Folder:
-    """One folder of rows of a table: its part (None: the table has no parts) and its rows."""
+    """One folder of rows: its part (None: the table has no parts), its rows, and its buckets if any."""
 
     name: str
     part: str | None
     rows: int
+    buckets: int | None = None
 
 
 @dataclass(frozen=True)
@@ -108,7 +109,7 @@ class Content:
         return tuple(f for f in self.tables.get(table, ()) if part is None or f.part == part)
 
     def to_json(self) -> str:
-        tables = {t: [[f.name, f.part, f.rows] for f in fs] for t, fs in self.tables.items()}
+        tables = {t: [[f.name, f.part, f.rows, f.buckets] for f in fs] for t, fs in self.tables.items()}
         return json.dumps(
             {"version": self.version, "tables": tables, "schemas": dict(self.schemas), "done": dict(self.done)}
         )
@@ -133,15 +134,19 @@ class TargetStore:
       that dies leaves no step half done and goes on at its first unfinished step.
 
     The version file is put in place by a rename that fails when the file exists, so of two runs that
-    publish at once one stops. The rows of a folder are counted while it is written. ``clean`` removes
+    publish at once one stops. Tables of ``schemas.BUCKETED`` are bucketed by their key while they are
+    one folder, so joins on the key need no shuffle of them. The rows of a folder are counted while it is written. ``clean`` removes
     folders that the last versions do not list; ``compact`` makes one folder of many.
 
     Without a root the tables live in the shared folder the cluster names. ``namespace`` separates
     environments that hold the same tables.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, namespace: str = ""):
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, namespace: str = "", buckets: int | None = None
+    ):
         self.spark = spark
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         base = (root or f"{session.shared_folder(spark)}/tables").rstrip("/")
         self.root = f"{base}/{namespace}" if namespace else base
         self._pending: Content | None = None
@@ -231,17 +236,41 @@ class TargetStore:
         schema = schemas.schema(table) if table in schemas.TARGETS else T.StructType.fromJson(json.loads(known))
         if not folders:
             return self.spark.createDataFrame([], schema)
+        if len(folders) == 1 and folders[0].buckets:
+            return self._bucketed(table, folders[0], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.root}/{table}/{f.name}" for f in folders))
 
     def rows(self, table: str, part: str | None = None) -> int:
         """The rows of a table, as counted when they were written; starts no job."""
         return sum(f.rows for f in self.content().folders(table, part))
 
+    def _bucketed(self, table: str, folder: Folder, schema: T.StructType) -> DataFrame:
+        """A bucketed folder; Spark knows buckets of named tables only, so it is named in the session."""
+        name, key = _session_name(folder), schemas.BUCKETED[table]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({schemas.TARGETS[table]}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {folder.buckets} BUCKETS "
+            f"LOCATION '{self.root}/{table}/{folder.name}'"
+        )
+        return self.spark.table(name).select(*schema.names)
+
+    def bucket_count(self, table: str) -> int | None:
+        """The buckets of a table that is read as a bucketed one."""
+        folders = self.content().folders(table)
+        return folders[0].buckets if len(folders) == 1 else None
+
     def _new_folder(self, table: str, df: DataFrame, part: str | None) -> Folder:
         name, seen = f"d-{uuid.uuid4().hex}", Observation()
+        path, key = f"{self.root}/{table}/{name}", schemas.BUCKETED.get(table)
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("errorifexists").parquet(f"{self.root}/{table}/{name}")
-        return Folder(name, part, seen.get["rows"])
+        if key is None:
+            counted.write.mode("errorifexists").parquet(path)
+            return Folder(name, part, seen.get["rows"])
+        folder = Folder(name, part, 0, self.buckets)
+        counted.write.bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(
+            _session_name(folder), format="parquet", mode="errorifexists"
+        )
+        return replace(folder, rows=seen.get["rows"])
 
     def _put(self, table: str, df: DataFrame, kept: Sequence[Folder], part: str | None) -> DataFrame:
         if kept:
@@ -302,6 +331,7 @@ class TargetStore:
                 continue
             for name in self._names(table):
                 if (table, name) not in listed:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {_session_name(Folder(name, None, 0))}")
                     path, fs = self._path(f"{table}/{name}")
                     removed += fs.delete(path, True)
         for version in known:
@@ -311,6 +341,10 @@ class TargetStore:
         return removed
 
 
+def _session_name(folder: Folder) -> str:
+    return "ledgerloom_" + folder.name.replace("-", "_")
+
+
 def append_jdbc(df: DataFrame, options: Mapping[str, str], table: str) -> None:
     """SNK1: batched insert from every partition; a failed batch fails the write."""
     df.write.format("jdbc").mode("append").options(

@@ -287,6 +287,13 @@ TARGETS: dict[str, str] = {
     "run_history": "run_at timestamp_ntz, target string, seconds double, measures map<string,bigint>",
 }
 
+# Tables that are replaced by a key of which no two rows share a value: their folders are bucketed by
+# it. Child tables are not, as a hot parent would be one bucket and so one task.
+BUCKETED: dict[str, str] = {
+    "retail_chains": "legacy_id", "store_brands": "legacy_id", "stores": "legacy_id",
+    "contracts": "legacy_id", "customers": "id",
+}
+
 
 def schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(TARGETS[table])

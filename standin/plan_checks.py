@@ -385,10 +385,7 @@ def billings_table(t):
 
 @shared
 def contract_billings(t):
-    found = contract_rows(t)
-    return billing.contract_billings(
-        found, billing.with_placeholders(billing_rows(t), found, r.RUN_TS)
-    )
+    return billing.computed_billings(contract_rows(t))
 
 
 @check(
@@ -421,7 +418,7 @@ def promoter_tasks(t):
 @shared
 def keyed(t):
     return contracts.keyed_scenarios(
-        t["contract_lines"], contract_billings(t), task_rows(t), PARAMS, r.RUN_TS
+        t["contract_lines"], contract_billings(t), PARAMS, r.RUN_TS
     )
 
 
@@ -604,7 +601,7 @@ def contract_additional_charges(t):
 def contract_scenarios_brands(t):
     """PIP26."""
     scenarios = contracts.contract_scenarios(keyed(t))
-    return contracts.contract_scenarios_brands(brand_pairs(t), contract_rows(t), scenarios)
+    return contracts.contract_scenarios_brands(brand_pairs(t), scenarios)
 
 
 @check(

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from conftest import SF
 from standin.checks import QUERIES
-from ledgerloom.operators import match, rollup, scope
+from ledgerloom.operators import load, match, rollup, scope
 from ledgerloom.plans import contracts, customers
+from ledgerloom.sources import schemas
+from ledgerloom.sources.catalog import TargetStore
 from standin.registry import PARAMS
 
 
@@ -153,3 +155,45 @@ def test_hot_null_keys_are_spread(spark, small_skew):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 2 * 50_000 / 8
+
+
+def test_replacing_by_key_shuffles_no_stored_row(spark, tables, tmp_path, no_broadcast):
+    """LOD2: the target's side of the anti join and of the write has no exchange."""
+    store = TargetStore(spark, str(tmp_path), buckets=4)
+    orders = tables["orders"].select(
+        F.concat(F.lit("o"), "o_orderkey").alias("id"), F.col("o_orderkey").alias("legacy_id")
+    )
+    existing = store.write("contracts", schemas.conform(orders, "contracts"))
+    fresh = schemas.conform(orders.filter("legacy_id % 7 = 0").withColumn("title", F.lit("new")), "contracts")
+    content = load.replace_in_buckets(existing, fresh, fresh, "legacy_id", store.bucket_count("contracts"))
+    plan = plan_of(content)
+    stored = plan[: plan.index("Exchange")]
+    assert "FileScan" in stored and "Bucketed: true" in stored and "SortMergeJoin" in plan
+    # Only the removed keys and the incoming rows move.
+    assert plan.count("Bucketed: true") == 1
+    found = store.write("contracts", content)
+    assert store.bucket_count("contracts") == 4
+    assert found.filter("title = 'new'").count() == orders.filter("legacy_id % 7 = 0").count()
+    assert store.rows("contracts") == orders.count() == found.select("legacy_id").distinct().count()
+    # A later session names the folder anew.
+    spark.sql(f"DROP TABLE ledgerloom_{store.content().folders('contracts')[0].name.replace('-', '_')}")
+    again = TargetStore(spark, str(tmp_path)).read("contracts")
+    assert again.count() == orders.count() and "Exchange" not in plan_of(again.groupBy("legacy_id").count())
+
+
+def test_one_scan_counts_all_dimensions(written, no_broadcast):
+    """AGG16: no expansion per distinct count, hash aggregates only, one scan."""
+    plan = plan_of(scope.scope_counts(written))
+    assert plan.count("FileScan") == 1 and "Expand" not in plan
+    assert "SortAggregate" not in plan and "partial_bit_or" in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [("contract_scenario_stores", 9), ("contract_scenarios_brands", 6), ("contract_scenarios", 3),
+     ("contract_additional_charges", 3)],
+)
+def test_ids_are_computed_not_joined(spark, name, most):
+    """Ids of other tables are hashes of natural keys, so the lines behind those tables stay unread."""
+    plan = plan_of(spark_entry.queries()[name](spark, SF))
+    assert plan.count("lineitem.parquet") <= most
