@@ -159,10 +159,12 @@ class TrieEncoder:
 
     def words(self, text: str) -> list[str]:
         """Normalised words. Text with other characters is cut by the library's own Unicode tables."""
-        if NOT_PLAIN.search(text):
+        # Some capitals below U+0250 have their lower form above it, so the lowered text decides.
+        lowered = text.lower()
+        if NOT_PLAIN.search(lowered):
             cut = self.file.pre_tokenizer.pre_tokenize_str(self.file.normalizer.normalize_str(text))
             return [w.translate(self.bytes).encode("latin-1").decode() for w, _ in cut]
-        return PLAIN_WORD.findall(text.lower())
+        return PLAIN_WORD.findall(lowered)
 
     def learn(self, words: set[str]) -> None:
         """Put the encodings of new words into the cache."""

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import saved, shuffle_width
+from ledgerloom.llm.common import held, released, saved, shuffle_width
 from ledgerloom.llm.components import connected_components, spanning
 from ledgerloom.llm.hashing import (
     BYTE_BASE,
@@ -519,11 +519,12 @@ def kept_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     found = components(docs, words, percent)
     best = found.filter("doc_id IS NOT NULL AND doc_id = component_id AND n_shingles > 0")
     chosen = best.groupBy("doc_id").agg(F.min("text_key").alias("chosen"))
-    named = docs.withColumn("__text_key", F.xxhash64("text"))
+    named = held(docs).withColumn("text_key", F.xxhash64("text"))
     one = named.join(
-        chosen.select(F.col("doc_id").alias("__id"), F.col("chosen").alias("__key")),
-        (F.col("doc_id") == F.col("__id")) & (F.col("__text_key") == F.col("__key")),
+        chosen.select(F.col("doc_id").alias("id"), F.col("chosen").alias("key")),
+        (F.col("doc_id") == F.col("id")) & (F.col("text_key") == F.col("key")),
         "left_semi",
     ).dropDuplicates(["doc_id"])
     wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")), F.lit(False))
-    return one.drop("__text_key").unionByName(docs.filter(wordless | F.col("doc_id").isNull()))
+    rest = named.filter(wordless | F.col("doc_id").isNull())
+    return released(one.unionByName(rest), docs.columns)

@@ -14,22 +14,23 @@ Documents are kept from a least score on, half way between chance (1 / number of
 Defined cases: null text and text without a letter are `und` with score 0; without any labelled text
 everything is `und` and nothing is kept; if only the held-out fold has labelled texts, documents to
 keep are told by a network that learned from these; with fewer than `MIN_CALIBRATION` held-out texts
-the least score is a quarter of the way from chance to 1; more than `SAMPLE` languages stop the run with
-an error; empty texts teach no language; rows with null or repeated ids are scored each; no rows give no rows. Other
+the least score is a quarter of the way from chance to 1; of more than `SAMPLE` languages those with
+the fewest texts are not learned, and their documents get another language; empty texts teach no language; rows with null or repeated ids are scored each; no rows give no rows. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import convnet
+from ledgerloom.llm.common import held, released
 
 UNKNOWN = "und"
 WINDOW = 192
@@ -42,7 +43,7 @@ CALIBRATION = 2_000
 MIN_CALIBRATION = 20
 LOW_QUANTILE = 0.001
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def text_windows(text: str | None, window: int) -> np.ndarray:
@@ -61,10 +62,8 @@ def sample_texts(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame | None:
     texts = labelled.filter(F.length("text") > 0).select("text", "lang", draw.alias("draw"))
     counts = (
         texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("low"))
-        .limit(sample + 1).collect()
+        .orderBy(F.desc("n"), "lang").limit(sample).collect()
     )
-    if len(counts) > sample:
-        raise ValueError(f"more than {sample} languages")
     if not counts:
         return None
     each = sample / len(counts)
@@ -222,7 +221,8 @@ def calibrated_score(held_out: DataFrame, model: Model) -> float:
     labelled = held_out.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     draw = F.pmod(F.xxhash64("text", F.lit(SEED + 1)), F.lit(1_000_000)) / F.lit(1_000_000.0)
     share = CALIBRATION / max(1, labelled.count())
-    sample = labelled.filter(draw < share).limit(2 * CALIBRATION)
+    # Copies draw alike, so they count once.
+    sample = labelled.filter(draw < share).distinct()
     right = F.col("identified.lang_pred") == F.col("lang")
     rows = predict(sample, model).filter(right).select("identified.score").collect()
     return least_score(np.array([r["score"] for r in rows], float), len(model.languages))
@@ -237,8 +237,7 @@ def kept_documents(docs: DataFrame, min_score: float | None = None) -> DataFrame
     model = fit(docs.filter(~held_out)) or fit(docs)
     if model is not None and min_score is None:
         min_score = calibrated_score(docs.filter(held_out), model)
-    names = docs.columns
     known = F.col("identified.lang_pred") != UNKNOWN
     if model is not None:
         known = known & (F.col("identified.score") >= min_score)
-    return predict(docs, model).filter(known).select(*(F.col(f"`{c}`") for c in names))
+    return released(predict(held(docs), model).filter(known), docs.columns)

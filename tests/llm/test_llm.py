@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as spark_entry
+import corpus_pipeline
 from conftest import SF
 from ledgerloom.llm import (
     bpe_trie,
     chat_format,
+    common,
     embedding_dedup,
     jaccard_join,
     language_id,
@@ -153,8 +157,8 @@ def test_quality_threshold():
     apart = np.array([-9, -8, -7, -6, -5, -4, -2, -1, 0, 1, 2, 3], float) * 1000
     assert quality_rules.best_threshold(apart, good) == -3000
     few = quality_rules.best_threshold(apart[2:], good[2:])
-    assert few == quality_rules.THRESHOLD_MILLIONTHS
-    assert quality_rules.best_threshold(-apart, good) == quality_rules.THRESHOLD_MILLIONTHS
+    assert few == quality_rules.KEEP_ALL
+    assert quality_rules.best_threshold(-apart, good) == quality_rules.KEEP_ALL
 
 
 def jaccard_by_hand(rows, words, percent):
@@ -234,7 +238,6 @@ def test_chat_round_trip(spark):
 
 
 def test_chat_digests_read_the_mask(spark):
-    from pyspark.sql import functions as F
 
     said = ["\ufeffbom", "", "a<b & c#d", "&amp;lt;", "\U0001f600 \u00e9", "</turn>\n", "plain"]
     long = [(2, i, ["user", "assistant"][i % 3 % 2], f"{said[i % 7]}{i}") for i in range(500)]
@@ -301,7 +304,6 @@ def test_language(spark, docs, empty):
 
 
 def test_language_kept(spark, docs):
-    from pyspark.sql import functions as F
 
     texts = table(spark, SF.replace("0.001", "0.01"), "documents")
     # Clean texts stay; without a labelled text all is `und`, which is not kept.
@@ -321,8 +323,8 @@ def test_many_languages(spark):
     _, langs = language_id.sample_windows(labelled)
     assert {"rare", "once"} <= set(langs) and len(set(langs)) == 252
     assert len(langs) < 1.2 * language_id.SAMPLE and langs.count("rare") == 1
-    with pytest.raises(ValueError, match="languages"):
-        language_id.sample_windows(labelled, 200)
+    _, langs = language_id.sample_windows(labelled, 20)
+    assert len(set(langs)) == 20 and set(langs) == set(sorted({f"l{i}" for i in range(250)})[:20])
 
 
 def test_many_thresholds(monkeypatch, spark):
@@ -420,6 +422,96 @@ def test_bpe(docs, empty):
     assert bpe_trie.digests(empty, path).count() == 0
 
 
+def test_bpe_words_below_u0250(spark):
+    """Capitals whose lower form lies above U+0250, and all other letters, alone and inside words."""
+    path = tokenizer_file("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), bpe_trie.TrieEncoder(path)
+    texts = [form for c in map(chr, range(0x250)) for form in (c, f"a{c}b", f"{c}ala 1{c}")]
+    draw = np.random.default_rng(9)
+    texts += ["".join(map(chr, draw.integers(1, 0x250, 30))) for _ in range(3_000)]
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_language_needs_a_letter(spark):
+    """Number signs and marks are no letters, though regular expressions may call them word characters."""
+    texts = ["½ ²", "١٢", "①", "_ 12", "\u0301", "ª", "É", "日"]
+    rows = [(i, "the quick fox " * 9, "en") for i in range(8)] + [(100 + i, t, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language_id.identify_documents(docs).collect()}
+    assert [found[100 + i] for i in range(len(texts))] == ["und"] * 5 + ["en"] * 3
+
+
+CLASHES = ("identified", "__id", "__key", "__text_key", "id", "key", "row", "text_key", "c0", "starts")
+
+
+def test_stages_keep_clashing_columns(spark):
+    docs = table(spark, SF, "documents").limit(60)
+    for n, name in enumerate(CLASHES):
+        docs = docs.withColumn(name, F.lit(n))
+    labels = table(spark, SF, "labels")
+    for stage in (
+        language_id.kept_documents,
+        lambda d: quality_rules.kept_documents(d, labels),
+        jaccard_join.kept_documents,
+        substring_dedup.deduplicated_documents,
+    ):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all([r[c] for c in CLASHES] == list(range(len(CLASHES))) for r in rows)
+
+
+def test_toxicity_held_out(spark):
+    """Labels of the held-out fold teach nothing; most of its toxic rows are found, few others."""
+    folder = SF.replace("0.001", "0.1")
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = {r.doc_id: r for r in toxicity.assess(docs, labels).collect()}
+    assert len(found) == docs.count()
+    marks = [r for r in labels.collect() if found[r.doc_id].held_out and r.toxic is not None]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in marks)
+    toxic = [found[r.doc_id].predicted for r in marks if r.toxic]
+    clean = [found[r.doc_id].predicted for r in marks if not r.toxic]
+    # Measured: 0.887 of 97 toxic rows; the README has the figure.
+    assert np.mean(toxic) >= 0.85 and np.mean(clean) <= 0.02
+
+
+def test_no_text_is_shuffled_for_the_fit(spark):
+    """Trusted and sampled ids are broadcast; the texts stay where they are scanned."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trusted = quality_rules.trusted_sample(labels)
+        plan = quality_rules.ngram_counts(docs, trusted)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(trusted) == {r.doc_id for r in labels.collect() if r.quality == 1} and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_pipeline_of_odd_tables(spark, docs, folder):
+    """No rows, null texts and columns named as the stages' own go through every stage."""
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    for n, rows in enumerate((docs.limit(0), docs.withColumn("row", F.lit(1)).withColumn("identified", F.lit("x")))):
+        rows.write.parquet(f"{folder}/{n}/documents.parquet")
+        labels.write.parquet(f"{folder}/{n}/labels.parquet")
+        assert corpus_pipeline.run(spark, f"{folder}/{n}").columns[0] == "doc_id"
+
+
+def test_scratch_goes_with_the_next_stage(spark, docs):
+    common.new_scratch(spark, docs)
+    first = common.scratch_folder(spark)
+    kept = common.saved(docs.select("doc_id"))
+    common.new_scratch(spark, kept)  # still read, so it stays
+    assert kept.count() == docs.count() and common.scratch_folder(spark) != first
+    second = common.scratch_folder(spark)
+    common.saved(docs.select("doc_id"))
+    common.new_scratch(spark, docs)
+    assert not os.path.exists(second.removeprefix("file:"))
+    common.end_scratch(spark)
+    assert common.scratch_folder(spark) == common.shared_folder(spark)
+
+
 def test_pipeline(spark):
     packed = spark_entry.queries()["pipeline"](spark, SF)
     assert packed.filter("length > 1024 OR offset + length > 1024").count() == 0
