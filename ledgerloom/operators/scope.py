@@ -132,10 +132,10 @@ def first_source(sources: Sequence[DataFrame], column: str) -> DataFrame:
 
 
 def precedence(candidates: Sequence[DataFrame], column: str) -> DataFrame:
-    """SET5 as one plan: every candidate is read, the first that holds rows is kept.
+    """FIL13 / SET5 as one plan: the ids of the first candidate that holds any.
 
-    For sources that are cheap to read twice ``first_source`` is the better choice; this form runs
-    no job while the plan is built.
+    Runs no job while the plan is built. Every id is grouped with the best rank it has, and the best
+    rank of all is asked of the same groups, so each candidate is read once.
     """
     ranked = [
         c.select(F.lit(rank).alias("_rank"), F.col(column).cast("bigint").alias(column)).filter(
@@ -146,8 +146,10 @@ def precedence(candidates: Sequence[DataFrame], column: str) -> DataFrame:
     everything = ranked[0]
     for r in ranked[1:]:
         everything = everything.unionByName(r)
-    best = everything.agg(F.min("_rank")).scalar()
-    return everything.filter(F.col("_rank") == best).select(column).distinct()
+    found = everything.groupBy(column).agg(F.min("_rank").alias("_rank"))
+    # Ids of the first candidate have its rank whatever others hold them, too.
+    best = found.agg(F.min("_rank")).scalar()
+    return found.filter(F.col("_rank") == best).select(column)
 
 
 def intersect_sheet(requested: DataFrame | None, sheet_ids: DataFrame) -> DataFrame:

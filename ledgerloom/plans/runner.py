@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import text
 from ledgerloom.operators import load, match, quality, reshape, rollup, scope
 from ledgerloom.operators.scope import ScopeParams, in_scope
-from ledgerloom.plans import billing, contracts, customers, legacy_clients, stores, users
+from ledgerloom.plans import (
+    billing, contracts, customers, legacy_clients, scope_refresh, stores, users,
+)
 from ledgerloom.sources import reports, schemas, sheet as sheets
 from ledgerloom.sources.catalog import TargetStore
 
@@ -79,10 +81,24 @@ class Run:
     default_role: str = ""
     fallback_user_id: str | None = None
     run_id: str | None = None
+    use_saved_scope: bool = True
 
     def __post_init__(self) -> None:
         self.terms = sheets.sheet_terms(self.sheet) if self.sheet is not None else None
-        self._effective = self.params if self.terms is None else None
+        self._effective: ScopeParams | None = None
+
+    def saved_scope(self) -> DataFrame | None:
+        """SRC5: the scope document of the store, unless the run leaves it aside."""
+        return reports.load_scope(self.store) if self.use_saved_scope else None
+
+    def requested(self) -> DataFrame | None:
+        """SET5: the contracts of the saved scope; without any, those asked for; None: all."""
+        saved = self.saved_scope()
+        if saved is not None:
+            ids = scope.dimension(saved, scope.CONTRACT, "contract_id")
+            if not ids.isEmpty():
+                return ids
+        return self.params.contract_ids
 
     def effective(self) -> ScopeParams:
         """SET1: the requested contracts, cut to those the sheet lists when there is a sheet.
@@ -90,11 +106,11 @@ class Run:
         A run whose request and sheet have no contract in common stops here.
         """
         if self._effective is None:
-            ids = scope.intersect_sheet(
-                self.params.contract_ids, self.terms.select("contract_id")
-            )
-            scope.require_rows(ids, "the sheet lists none of the requested contracts")
-            self._effective = self.params.with_ids(ids)
+            ids = self.requested()
+            if self.terms is not None:
+                ids = scope.intersect_sheet(ids, self.terms.select("contract_id"))
+                scope.require_rows(ids, "the sheet lists none of the requested contracts")
+            self._effective = self.params if ids is None else self.params.with_ids(ids)
         return self._effective
 
     @property
@@ -173,7 +189,14 @@ def _children_of_contracts(run: Run, table: str, incoming: DataFrame, found: Dat
 
 
 def _customer_segments(run: Run) -> None:
-    run.store.write("customer_segments", customers.customer_segments(run.source.table("segments")))
+    """PIP1: all segments, or with a saved scope those it covers."""
+    segments, saved, wanted = run.source.table("segments"), run.saved_scope(), None
+    if saved is not None:
+        wanted = scope_refresh.segments_in_scope(
+            saved, run.scoped_lines(), segments, run.source.table("contract_master"),
+            run.source.table("parties"),
+        )
+    run.store.write("customer_segments", customers.customer_segments(segments, wanted))
 
 
 def _customers(run: Run) -> None:
@@ -303,7 +326,7 @@ def _billings(run: Run) -> None:
     existing = run.store.read("billings")
     if run.terms is not None:
         wanted = scope.billing_scope(
-            run.params.contract_ids, run.terms.select("contract_id"), match.key_map(contract_rows)
+            run.requested(), run.terms.select("contract_id"), match.key_map(contract_rows)
         )
         billed = billing.contracts_to_bill(
             run.lines(), wanted, run.target("customer_legacy_ids")
@@ -466,6 +489,22 @@ def run_legacy_clients(run: Run) -> None:
             run.store.write(table, build(run.source.table("parties"), run.source.table("places")))
 
 
+def save_scope(run: Run) -> DataFrame:
+    """PIP28 + PIP29 + SNK2: refresh the scope under the run's parameters and save it.
+
+    Later runs on the same store cover the saved contracts, whatever they ask for (SET5).
+    """
+    table = run.source.table
+    with run.store.step("scope"):
+        found = scope_refresh.refresh(
+            run.lines(), table("contract_master"), table("store_records"), table("segments"),
+            table("parties"), run.params,
+        )
+        saved = reports.save_scope(run.store, found)
+        filled = scope_refresh.fill_dependencies(saved, run.lines(), table("store_records"))
+        return reports.save_scope(run.store, filled)
+
+
 def run_everything(run: Run) -> None:
     """PIP30: customers, stores, users, contracts, then the run's entry in the history.
 

@@ -24,7 +24,7 @@ def segment_ids(
     if "segment_id" in parties.columns:
         owners = parties.withColumnRenamed("id", "customer_id")
         sources.append(match.segments_through(lines, owners, "customer_id"))
-    found = scope.first_source(sources, "segment_id")
+    found = scope.precedence(sources, "segment_id")
     return found.select(
         F.lit(scope.SEGMENT).alias("dimension"), F.col("segment_id").cast("bigint").alias("id")
     )
@@ -58,3 +58,19 @@ def fill_dependencies(saved: DataFrame, lines: DataFrame, stores: DataFrame) ->
     present = saved.filter(F.col("dimension").isin(*names)).agg(F.collect_set("dimension"))
     missing = ~F.array_contains(present.scalar(), F.col("dimension"))
     return saved.unionByName(derived.filter(missing))
+
+
+def segments_in_scope(
+    saved: DataFrame, lines: DataFrame, segments: DataFrame, master: DataFrame, parties: DataFrame
+) -> DataFrame:
+    """PIP1: the segments a saved scope covers, as ids.
+
+    Those it names; else those of the lines in scope; else all. A scope that names neither contracts
+    nor customers covers none. ``lines`` are already in scope.
+    """
+    named = scope.dimension(saved, scope.SEGMENT, "segment_id")
+    derived = segment_ids(lines, segments, master, parties).select(F.col("id").alias("segment_id"))
+    owners = saved.filter(F.col("dimension").isin(scope.CONTRACT, scope.CUSTOMER)).agg(F.count("*"))
+    covered = owners.scalar() > 0
+    every = segments.select(F.col("id").alias("segment_id"))
+    return scope.precedence([named, derived.filter(covered), every.filter(covered)], "segment_id")

@@ -309,3 +309,56 @@ def test_accounts_are_appended(finished):
     before = finished.store.content().folders("users")
     runner.run_step(finished, "users")
     assert finished.store.content().folders("users") == before
+
+
+def test_a_saved_scope_holds_in_every_step(spark, tables, tmp_path):
+    """SNK2, SRC5, SET5: the saved contracts decide, not those a later run asks for."""
+    store = TargetStore(spark, str(tmp_path))
+
+    def run(ids=None, **options):
+        wanted = ScopeParams(contract_ids=scope.id_table(spark, ids)) if ids else ScopeParams()
+        return runner.Run(source=tables.source, store=store, run_ts=rules.RUN_TS, params=wanted, **options)
+
+    owned = tables["contract_lines"].filter("customer_id IS NOT NULL").select("contract_id").distinct()
+    first, second, third = (r[0] for r in owned.orderBy("contract_id").limit(3).collect())
+    saved = runner.save_scope(run([first, second]))
+    found = {r["id"] for r in saved.filter(F.col("dimension") == scope.CONTRACT).collect()}
+    assert found == {first, second}
+    dimensions = {r["dimension"] for r in saved.select("dimension").distinct().collect()}
+    assert {scope.CUSTOMER, scope.STORE, scope.CONTRACT} <= dimensions
+    for asked in (None, [third]):
+        lines = run(asked).scoped_lines().select("contract_id").distinct().collect()
+        assert {r[0] for r in lines} == {first, second}
+    assert run([third]).is_restricted and not run(use_saved_scope=False).is_restricted
+    assert {r[0] for r in run([third], use_saved_scope=False).scoped_lines().select("contract_id").collect()} == {third}
+    # An empty scope document asks for nothing.
+    store.write("scope", saved.limit(0))
+    assert {r[0] for r in run([third]).scoped_lines().select("contract_id").collect()} == {third}
+    assert not run().is_restricted
+
+
+def test_a_saved_scope_chooses_the_segments(spark, tables, tmp_path):
+    """PIP1: named segments, else those of the lines in scope; a scope without owners has none."""
+    store = TargetStore(spark, str(tmp_path))
+    run = runner.Run(source=tables.source, store=store, run_ts=rules.RUN_TS)
+
+    def loaded(*entries):
+        store.write("scope", spark.createDataFrame(list(entries), schema("scope")))
+        fresh = runner.Run(source=tables.source, store=store, run_ts=rules.RUN_TS)
+        runner.run_step(fresh, "customer_segments")
+        return {r["legacy_id"] for r in fresh.target("customer_segments").collect()}
+
+    runner.run_step(run, "customer_segments")
+    every = {r["legacy_id"] for r in run.target("customer_segments").collect()}
+    one = min(every)
+    assert loaded((scope.SEGMENT, one), (scope.CONTRACT, 1)) == {one}
+    assert loaded((scope.STORE, 1)) == set()
+    contract = tables["contract_lines"].filter("segment_names IS NOT NULL").orderBy("contract_id").first()
+    assert loaded((scope.CONTRACT, contract["contract_id"])) <= every
+
+
+def test_precedence_plans_without_a_job(spark):
+    """FIL13: no job while the plan is built; the first candidate with ids decides."""
+    ids = [spark.createDataFrame([(i,) for i in rows], "k long") for rows in ([], [2, 2, 3], [1, 2])]
+    found, jobs = jobs_of(spark, lambda: scope.precedence(ids, "k"))
+    assert jobs == 0 and sorted(r[0] for r in found.collect()) == [2, 3]
