@@ -519,12 +519,15 @@ def kept_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     found = components(docs, words, percent)
     best = found.filter("doc_id IS NOT NULL AND doc_id = component_id AND n_shingles > 0")
     chosen = best.groupBy("doc_id").agg(F.min("text_key").alias("chosen"))
-    named = held(docs).withColumn("text_key", F.xxhash64("text"))
+    wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")), F.lit(False))
+    # The row holds the text, which is not to be moved twice.
+    named = held(docs).select(
+        "doc_id", "row", F.xxhash64("text").alias("text_key"), wordless.alias("wordless")
+    )
     one = named.join(
         chosen.select(F.col("doc_id").alias("id"), F.col("chosen").alias("key")),
         (F.col("doc_id") == F.col("id")) & (F.col("text_key") == F.col("key")),
         "left_semi",
     ).dropDuplicates(["doc_id"])
-    wordless = ~F.coalesce(F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")), F.lit(False))
-    rest = named.filter(wordless | F.col("doc_id").isNull())
+    rest = named.filter(F.col("wordless") | F.col("doc_id").isNull())
     return released(one.unionByName(rest), docs.columns)
