@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held, released, saved, shuffle_width
+from ledgerloom.llm.common import discard, held, released, saved, shuffle_width
 from ledgerloom.llm.components import connected_components, spanning
 from ledgerloom.llm.hashing import (
     BYTE_BASE,
@@ -464,12 +464,14 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     light = lists.filter(F.col("n") <= LIGHT)
     anew = relisted(signed, lists, docs, words, level, percent, boundary)
     every = saved(light.unionByName(shared_lists(anew)))
+    discard(lists)
     prefixes = saved(
         signed.select("node", "size", F.concat("head", "more").alias("prefix"))
         .join(every.select("node").distinct(), "node", "left_semi")
         .dropDuplicates(["node"])
     )
-    signed = signed.drop("head", "more")
+    whole, signed = signed, saved(signed.drop("head", "more"))
+    discard(whole)
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         rows = signed.join(nodes.distinct(), "node", "left_semi").groupBy("node")
@@ -479,12 +481,15 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
     star = likely(against_smallest(every, percent), prefixes, percent)
-    links = verified(star, sets_of(ends(star)), percent)
+    star_sets = sets_of(ends(star))
+    links = verified(star, star_sets, percent)
+    discard(star, star_sets)
     left = saved(divided(every, connected_components(links)))
     pairs = likely(light_pairs(left, percent), prefixes, percent)
     crowded = left.filter(F.col("n") > LIGHT)
     stored = prefixes.select("node", F.col("prefix").alias("tokens"))
-    near = connected_components(over_blocks(crowded, stored, percent))
+    near = saved(connected_components(over_blocks(crowded, stored, percent)))
+    discard(prefixes)
     sets = sets_of(ends(pairs).unionByName(near.select("node")))
     once = crowded.select("node", "size", "root").distinct()
     clusters = once.join(near.select("node", F.col("root").alias("key")), "node")
