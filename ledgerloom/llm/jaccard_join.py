@@ -358,7 +358,7 @@ class Block:
     def __init__(self, rows: pd.DataFrame):
         self.root, self.node, self.own = (rows[c].to_numpy() for c in ("root", "node", "own"))
         self.size = rows["size"].to_numpy()
-        self.sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
+        self.sets = [np.asarray(t) for t in rows["tokens"]]
         self.count = np.array([len(t) for t in self.sets])
         self.starts = np.concatenate([[0], np.cumsum(self.count)[:-1]])
         self.flat = np.concatenate(self.sets)
@@ -378,9 +378,12 @@ class Block:
         return np.bincount(found, minlength=len(self.sets))
 
     def apart(self, i: int) -> np.ndarray:
-        """Least number of shingles in which every set differs from set i, as far as known."""
-        mine = np.searchsorted(self.sets[i], self.end, "right")
-        theirs = np.add.reduceat(self.flat <= self.end[i], self.starts)
+        """Least number of shingles in which every set differs from set i, as far as known.
+
+        Shortened values may tie at an end, so only those below it count as known.
+        """
+        mine = np.searchsorted(self.sets[i], self.end, "left")
+        theirs = np.add.reduceat(self.flat < self.end[i], self.starts, dtype=np.int64)
         return mine + theirs - 2 * self.overlaps(i)
 
     def near(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -487,7 +490,10 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     left = saved(divided(every, connected_components(links)))
     pairs = likely(light_pairs(left, percent), prefixes, percent)
     crowded = left.filter(F.col("n") > LIGHT)
-    stored = prefixes.select("node", F.col("prefix").alias("tokens"))
+    # Every block's row carries them: values shortened to 31 bits keep the order, and ties only make
+    # sets look nearer; whole sets are compared by whole values.
+    short = F.transform("prefix", lambda t: F.shiftright(t, 32).cast("int"))
+    stored = prefixes.select("node", short.alias("tokens"))
     near = saved(connected_components(over_blocks(crowded, stored, percent)))
     discard(prefixes)
     sets = sets_of(ends(pairs).unionByName(near.select("node")))
