@@ -1,159 +1,271 @@
 """Substring dedup: removes words inside windows that also start in an earlier document.
 
-A window is `WINDOW` consecutive words. Comparing all windows would move as many rows as there are
-words, so they are sifted first:
-
-1. Every window has an anchor, the smallest hash of its runs of `GRAM` words, at its leftmost place.
-   Equal windows have equal anchors, and neighbouring windows mostly share theirs.
-2. Count-min sketch of the anchors: each batch of documents sends its counters (a counter for every
-   anchor modulo `COUNTERS`, one count per document), and the merged counters overestimate in how
-   many documents an anchor, and so a window, occurs. The sketch is as wide as the counters' numbers
-   allow and kept sparse, so it is spread over the cluster and never sent to one place.
-3. Only windows whose counter reached two are hashed as a whole and grouped exactly by their hash,
-   for the smallest document id of each. A window that occurs twice has a counter of two or more, so
-   none is lost.
-4. Words covered by a window with a smaller first document go; the text keeps the other words,
+A window is `WINDOW` consecutive words. Grouping all windows would move as many rows as there are
+words, so a count-min sketch sifts them first. Texts are dealt to units of about `UNIT` characters by
+a hash, in one shuffle that all passes share:
+
+1. Every unit builds its own sketch of all its windows: `ROWS` rows of counters, each row as wide as
+   the corpus has characters, about six counters a window. A unit's counters that are not zero are
+   cut into shards of `SHARD` counters and packed, so a sketch of any width is merged piece by piece.
+2. Every shard adds up the sketches of all units in one dense array, and tells each unit by one bit
+   for each of its counters whether two or more windows are counted there.
+3. A window whose counters all reach two is estimated to be repeated; only such windows go on. Sums
+   of counters never fall below a window's count, so none that occurs twice is lost.
+4. These are grouped exactly. A unit sends each of its windows once, with its smallest document id,
+   and learns by one bit whether an earlier document has it. So copies meet inside units first, and a
+   window that every document holds is one row of each unit.
+5. Words covered by a window with a smaller first document go; the text keeps the other words,
    joined by single spaces.
 
-Windows are told apart by 64-bit polynomial hashes of 64-bit word hashes. All groups are reduced by
-partial aggregates, and joins on windows are plain equi-joins whose hot keys Spark splits.
+Counters hold 0, 1 and 2, where 2 stands for more. Windows are told apart by two 64-bit polynomial
+hashes of 64-bit word hashes. All steps are one plan: a lost executor costs its own units and shards.
 
 Defined cases: null, empty and short texts have no window; documents with a null id neither lose nor
-take words; rows that repeat an id are one document; repeated rows give repeated results; no rows
-give no rows. Other columns are ignored, or kept by `deduplicated_documents`.
+take words; rows that repeat an id are one document; repeated rows give repeated results (equal rows
+share a unit); no rows give no rows. Other columns are ignored, or kept by `deduplicated_documents`.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, run_hashes, word_hashes_of
+from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, mixed, run_hashes, word_hashes_of
 
 WINDOW = 50
-GRAM = 8
-COUNTERS = 1 << 48
-
-def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every `width` neighbours, by doubling."""
-    done = 1
-    while done < width:
-        step = min(done, width - done)
-        values = np.minimum(values[:-step], values[step:])
-        done += step
-    return values
-
-
-def anchors(hashes: np.ndarray, window: int, gram: int, powers: Powers):
-    """(anchor, first window, end) of every stretch of windows that share an anchor."""
-    n = len(hashes) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.arange(len(hashes) - gram + 1)
-    lowest = sliding_min(run_hashes(hashes, at, at + gram, powers), window - gram + 1)
-    firsts = np.flatnonzero(np.concatenate([[True], lowest[1:] != lowest[:-1]]))
-    return lowest[firsts], firsts, np.append(firsts[1:], n)
-
-
-def with_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a hash of the text, which tells rows with one id apart."""
-    return docs.select("doc_id", "text").withColumn("text_key", F.xxhash64("text"))
-
-
-def anchor_stretches(keyed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, text_key, counter, fresh, first, end); `fresh` counts a counter once per row."""
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of_bytes, of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
-        for batch in batches:
-            out = []
-            every = word_hashes_of(batch["text"], of_bytes)
-            for doc_id, key, hashes in zip(batch["doc_id"], batch["text_key"], every, strict=True):
-                anchor, first, end = anchors(hashes, window, gram, of_words)
-                if not len(anchor):
-                    continue
-                counter = (anchor % np.uint64(COUNTERS)).astype(np.int64)
-                fresh = np.zeros(len(counter), np.int32)
-                fresh[np.unique(counter, return_index=True)[1]] = 1
-                out.append((np.full(len(first), doc_id), np.full(len(first), key), counter, fresh, first, end))
-            if out:
-                columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                names = ["doc_id", "text_key", "counter", "fresh", "first", "end"]
-                yield pd.DataFrame(dict(zip(names, columns, strict=True)))
-
-    return keyed.filter("doc_id IS NOT NULL").mapInPandas(
-        find, "doc_id long, text_key long, counter long, fresh int, first int, end int"
-    )
+UNIT = 8_000_000
+SHARD = 1 << 25
+LEAST_WIDTH = 1 << 10
+ROWS = 2
 
+# Odd multiplier of the second window hash and one number for each row of the sketch (arbitrary).
+SECOND_BASE = 0xA0761D6478BD642F
+SEEDS = (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 
-def repeated_stretches(stretches: DataFrame) -> DataFrame:
-    """One row per document: the stretches of windows that the sketch takes for repeated."""
-    sketch = stretches.groupBy("counter").agg(F.sum("fresh").alias("estimate"))
-    repeated = sketch.filter("estimate >= 2").select("counter")
-    return (
-        stretches.join(repeated, "counter", "left_semi")
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.struct("first", "end")).alias("stretches"))
-    )
+PIECES = "unit long, shard long, n long, body binary"
+
+
+class Shape(NamedTuple):
+    """Words of a window, counters of a row and of a shard, number of units."""
+
+    window: int
+    width: int
+    shard: int
+    units: int
+
+
+def shape_of(docs: DataFrame, window: int, unit: int, shard: int) -> Shape:
+    """Units and width that suit the number of characters in texts that are long enough."""
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return Shape(window, max(LEAST_WIDTH, size), shard, size // unit + 1)
 
 
-def window_rows(texts: DataFrame, window: int) -> DataFrame:
-    """(window_hash, doc_id, text_key, start) of every window in the stretches of every text."""
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of_bytes, of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
-        for batch in batches:
-            every = word_hashes_of(batch["text"], of_bytes)
-            rows = zip(batch["doc_id"], batch["text_key"], batch["stretches"], every, strict=True)
-            for doc_id, key, stretches, hashes in rows:
-                starts = np.unique(np.concatenate([np.arange(s["first"], s["end"]) for s in stretches]))
-                yield pd.DataFrame(
-                    {
-                        "window_hash": run_hashes(hashes, starts, starts + window, of_words).view(np.int64),
-                        "doc_id": doc_id,
-                        "text_key": key,
-                        "start": starts.astype(np.int32),
-                    }
+class Windows:
+    """All windows of a unit's texts: two hashes, the row of the text and the first word."""
+
+    def __init__(self, texts: list[str], window: int):
+        of_bytes, first, second = Powers(BYTE_BASE), Powers(WORD_BASE), Powers(SECOND_BASE)
+        parts = []
+        for row, hashes in enumerate(word_hashes_of(texts, of_bytes)):
+            at = np.arange(max(0, len(hashes) - window + 1))
+            parts.append(
+                (
+                    run_hashes(hashes, at, at + window, first),
+                    run_hashes(hashes, at, at + window, second),
+                    np.full(len(at), row),
+                    at,
                 )
+            )
+        self.hash, self.check, self.row, self.start = map(np.concatenate, zip(*parts, strict=True))
 
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-        for part in cut(batches):
-            held.append(part)
-            size += len(part)
-            if size >= 100_000:
-                yield pd.concat(held)
-                held, size = [], 0
-        if held:
-            yield pd.concat(held)
-
-    return texts.mapInPandas(joined, "window_hash long, doc_id long, text_key long, start int")
-
-
-def later_windows(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, text_key, starts): windows that also start in a document with a smaller id."""
-    candidates = repeated_stretches(anchor_stretches(keyed, window, gram))
-    # The same rows of texts are asked for here and when words are cut, so Spark moves them once.
-    rows = window_rows(keyed.join(candidates, ["doc_id", "text_key"]), window)
-    first = (
-        rows.groupBy("window_hash")
-        .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-        .filter("first_id < last_id")
-        .select("window_hash", "first_id")
-    )
-    return (
-        rows.join(first, "window_hash")
-        .filter("doc_id > first_id")
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("start").alias("starts"))
+
+def counters(hashes: np.ndarray, shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each row of a unit's sketch: its counters above zero, every window's one, the counts."""
+    for seed in SEEDS[:ROWS]:
+        places = (mixed(hashes ^ seed) % np.uint64(shape.width)).astype(np.int64)
+        yield np.unique(places, return_inverse=True, return_counts=True)
+
+
+def runs(shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, from, to) of every run of equal numbers."""
+    if len(shards):
+        cuts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1], [True]]))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield int(shards[a]), int(a), int(b)
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, each as planes of bytes, which the shuffle's compression likes best."""
+    return b"".join(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+
+
+def unpacked(body: bytes, n: int, *kinds: str) -> list[np.ndarray]:
+    columns, at = [], 0
+    for kind in kinds:
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(body, np.uint8, n * width, at).reshape(width, n)
+        columns.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * width
+    return columns
+
+
+def flags(bits: np.ndarray) -> bytes:
+    return np.packbits(bits).tobytes()
+
+
+def read_flags(body: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(body, np.uint8), count=n).astype(bool)
+
+
+def pieces(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    named = zip(("unit", "shard", "n", "body"), columns, kinds, strict=True)
+    return pa.table({name: pa.array(list(c), kind) for name, c, kind in named})
+
+
+def unit_sketch(unit: int, texts: list[str], shape: Shape) -> pa.Table:
+    """The sketch of a unit's windows, in shards: places as differences, and which counts pass one."""
+    out = []
+    shards = -(-shape.width // shape.shard)
+    for row, (places, _, counts) in enumerate(counters(Windows(texts, shape.window).hash, shape)):
+        for shard, a, b in runs(places // shape.shard):
+            steps = np.diff(places[a:b], prepend=shard * shape.shard).astype(np.uint32)
+            several = (counts[a:b] > 1).astype(np.uint8)
+            out.append((unit, row * shards + shard, b - a, packed(steps, several)))
+    return pieces(out)
+
+
+def merged_sketch(rows: pa.Table, shape: Shape) -> pa.Table:
+    """One shard of the sum of all sketches, as a bit for every counter that a unit sent."""
+    total = np.zeros(min(shape.shard, shape.width), np.uint8)
+    sent = list(zip(*(rows[c].to_pylist() for c in ("unit", "shard", "n", "body")), strict=True))
+
+    def places(n: int, body: bytes) -> tuple[np.ndarray, np.ndarray]:
+        steps, several = unpacked(body, n, "uint32", "uint8")
+        return np.cumsum(steps, dtype=np.int64), several
+
+    for _, _, n, body in sent:
+        at, several = places(n, body)
+        total[at] = np.minimum(total[at] + 1 + several, 2)
+    return pieces([(u, s, n, flags(total[places(n, body)[0]] >= 2)) for u, s, n, body in sent])
+
+
+class Candidates:
+    """A unit's windows that the merged sketch takes for repeated, and the groups of equal ones."""
+
+    def __init__(self, ids: list[int], texts: list[str], replies: pa.Table, shape: Shape):
+        every = Windows(texts, shape.window)
+        order = np.argsort(np.array(replies["shard"], dtype=np.int64), kind="stable")
+        counts, bodies = replies["n"].to_pylist(), replies["body"].to_pylist()
+        bits = [read_flags(bodies[i], counts[i]) for i in order]
+        repeated = np.concatenate([*bits, np.zeros(0, bool)])
+        chosen, used = np.ones(len(every.hash), bool), 0
+        for places, own, _ in counters(every.hash, shape):
+            chosen &= repeated[used : used + len(places)][own]
+            used += len(places)
+        kept = np.flatnonzero(chosen)
+        docs = np.array(ids, np.int64)[every.row[kept]]
+        by = np.lexsort((docs, every.check[kept], every.hash[kept]))
+        kept, self.docs = kept[by], docs[by]
+        self.hash, self.check = every.hash[kept], every.check[kept]
+        self.row, self.start = every.row[kept], every.start[kept]
+        new = firsts_of(self.hash, self.check)
+        self.first, self.group = np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def firsts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def unit_windows(unit: int, found: Candidates, shape: Shape) -> pa.Table:
+    """Each candidate of a unit once, with its smallest document id, in shards by its hash."""
+    h, check, docs = (c[found.first] for c in (found.hash, found.check, found.docs))
+    shards = ((h >> np.uint64(33)) * np.uint64(shape.units)) >> np.uint64(31)
+    return pieces(
+        [(unit, s, b - a, packed(h[a:b], check[a:b], docs[a:b])) for s, a, b in runs(shards)]
     )
 
 
+def first_documents(rows: pa.Table) -> pa.Table:
+    """For every window that a unit sent: whether another unit has it in a smaller document."""
+    sent = list(zip(*(rows[c].to_pylist() for c in ("unit", "shard", "n", "body")), strict=True))
+    parts = [unpacked(body, n, "uint64", "uint64", "int64") for _, _, n, body in sent]
+    h, check, docs = (np.concatenate(c) for c in zip(*parts, strict=True))
+    by = np.lexsort((docs, check, h))
+    new = firsts_of(h[by], check[by])
+    lowest = docs[by][np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = np.empty(len(by), bool)
+    later[by] = docs[by] > lowest
+    ends = np.cumsum([n for _, _, n, _ in sent])
+    return pieces([(u, s, n, flags(later[e - n : e])) for (u, s, n, _), e in zip(sent, ends, strict=True)])
+
+
+def later_starts(found: Candidates, replies: pa.Table, count: int) -> list[np.ndarray | None]:
+    """For every text the windows that also start in a smaller document; none: null."""
+    order = np.argsort(np.array(replies["shard"], dtype=np.int64), kind="stable")
+    counts, bodies = replies["n"].to_pylist(), replies["body"].to_pylist()
+    bits = [read_flags(bodies[i], counts[i]) for i in order]
+    elsewhere = np.concatenate([*bits, np.zeros(0, bool)])[found.group]
+    later = elsewhere | (found.docs > found.docs[found.first][found.group])
+    row, start = found.row[later], found.start[later]
+    by = np.lexsort((start, row))
+    row, start = row[by], start[by].astype(np.int32)
+    cuts = np.searchsorted(row, np.arange(count + 1))
+    return [start[a:b] if a < b else None for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def with_starts(docs: DataFrame, shape: Shape) -> DataFrame:
+    """Rows with an id and a text, with `starts`: their windows that an earlier document has."""
+    units = docs.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shape.units)))
+    schema = StructType(list(docs.schema)).add("starts", ArrayType(IntegerType()))
+    columns = docs.columns
+
+    def unit_of(table: pa.Table) -> int:
+        return table["unit"][0].as_py()
+
+    def step(table: pa.Table, number: int) -> pa.Table:
+        return table.filter(pa.compute.equal(table["step"], number))
+
+    def candidates(texts: pa.Table, replies: pa.Table) -> Candidates:
+        ids, said = texts["doc_id"].to_pylist(), texts["text"].to_pylist()
+        return Candidates(ids, said, step(replies, 1), shape)
+
+    def sketch(texts: pa.Table) -> pa.Table:
+        return unit_sketch(unit_of(texts), texts["text"].to_pylist(), shape)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        return merged_sketch(rows, shape)
+
+    def send(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        return unit_windows(unit_of(texts), candidates(texts, replies), shape)
+
+    def finish(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        starts = later_starts(candidates(texts, replies), step(replies, 2), len(texts))
+        return texts.select(columns).append_column("starts", pa.array(starts, pa.list_(pa.int32())))
+
+    # The units are asked for three times in one plan, so Spark moves the texts once.
+    sketches = units.groupBy("unit").applyInArrow(sketch, PIECES)
+    estimates = sketches.groupBy("shard").applyInArrow(merge, PIECES).withColumn("step", F.lit(1))
+    sent = units.groupBy("unit").cogroup(estimates.groupBy("unit")).applyInArrow(send, PIECES)
+    exact = sent.groupBy("shard").applyInArrow(first_documents, PIECES).withColumn("step", F.lit(2))
+    replies = estimates.unionByName(exact)
+    return units.groupBy("unit").cogroup(replies.groupBy("unit")).applyInArrow(finish, schema)
+
+
 def kept_words(text: str | None, starts, window: int) -> tuple[list[bytes], int]:
     """The words outside the windows that begin at `starts`, and the number of all words."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
@@ -166,16 +278,17 @@ def kept_words(text: str | None, starts, window: int) -> tuple[list[bytes], int]
     return [w for w, gone in zip(words, covered, strict=True) if not gone], len(words)
 
 
-def with_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """All rows and columns of `docs` with `text_key` and `starts` (null: no word goes)."""
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    known = keyed.filter("doc_id IS NOT NULL")
-    later = later_windows(known.select("doc_id", "text", "text_key"), window, gram)
-    nameless = keyed.filter("doc_id IS NULL").withColumn("starts", F.lit(None).cast("array<int>"))
-    return known.join(later, ["doc_id", "text_key"], "left").unionByName(nameless)
+def with_windows(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, shard: int = SHARD) -> DataFrame:
+    """All rows and columns of `docs` with `starts` (null: no word goes)."""
+    # So many words have so many characters and the spaces between them.
+    long_enough = F.col("doc_id").isNotNull() & (F.length("text") >= 2 * window - 1)
+    long_enough = F.coalesce(long_enough, F.lit(False))
+    some, rest = docs.filter(long_enough), docs.filter(~long_enough)
+    found = with_starts(some, shape_of(some, window, unit, shard))
+    return found.unionByName(rest.withColumn("starts", F.lit(None).cast("array<int>")))
 
 
-def digests(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def digests(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the words kept, for every row."""
 
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
@@ -188,11 +301,11 @@ def digests(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 rows.append((count, count - len(kept), said))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
 
-    found = with_windows(docs.select("doc_id", "text"), window, gram)
+    found = with_windows(docs.select("doc_id", "text"), window, unit, shard)
     return found.select("doc_id", digest("text", "starts").alias("d")).select("doc_id", "d.*")
 
 
-def deduplicated_documents(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def deduplicated_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows and columns of `docs`; texts that lose words keep the others, single-spaced."""
 
     @F.pandas_udf("string")
@@ -210,7 +323,7 @@ def deduplicated_documents(docs: DataFrame, window: int = WINDOW, gram: int = GR
     others = [(c, n) for c, n in zip(docs.columns, named, strict=True) if c != "text"]
     row = F.struct(*(F.col(f"`{c}`").alias(n) for c, n in others))
     held = docs.select("doc_id", "text", row.alias("row"))
-    found = with_windows(held, window, gram)
+    found = with_windows(held, window)
     text = F.when(F.col("starts").isNull(), F.col("text")).otherwise(cut("text", "starts"))
     found = found.withColumn("new_text", text)
     values = {c: F.col("new_text") for c in docs.columns} | {

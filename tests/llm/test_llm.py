@@ -373,8 +373,7 @@ def test_plan_is_tight():
     assert held == counts and sum(r.count for r in runs) <= 1.01 * least
 
 
-def test_substrings(docs, empty):
-    rows = {(r.doc_id, r.text) for r in docs.collect()}
+def substrings_by_hand(rows):
     first = {}
     for doc_id, text in sorted((x for x in rows if x[0] is not None)):
         words = (text or "").encode().split()
@@ -389,12 +388,49 @@ def test_substrings(docs, empty):
                 gone |= set(range(i, i + 50))
         kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
         expected.add((doc_id, len(words), len(gone), hashlib.sha256(kept).hexdigest()))
-    assert set(rows_of(substring_dedup.digests(docs))) == expected
+    return expected
+
+
+@pytest.mark.parametrize("unit,shard", [(substring_dedup.UNIT, substring_dedup.SHARD), (100_000, 50_000)])
+def test_substrings(docs, empty, unit, shard):
+    """One unit and shard, then several of both; repeated rows give repeated results."""
+    expected = substrings_by_hand({(r.doc_id, r.text) for r in docs.collect()})
+    found = rows_of(substring_dedup.digests(docs, unit=unit, shard=shard))
+    assert set(found) == expected and len(found) == docs.count()
     assert substring_dedup.digests(empty).count() == 0
     whole = substring_dedup.deduplicated_documents(docs)
     assert whole.columns == docs.columns and whole.count() == docs.count()
 
 
+def test_substrings_of_the_tables(spark):
+    """All documents of a table, in many units and shards, against plain Python."""
+    docs = table(spark, SF, "documents")
+    expected = substrings_by_hand({(r.doc_id, r.text) for r in docs.collect()})
+    assert sum(n for _, _, n, _ in expected) > 0
+    assert set(rows_of(substring_dedup.digests(docs, unit=50_000, shard=20_000))) == expected
+
+
+def test_sketch_overestimates():
+    """However narrow the sketch, every window that two units hold is estimated as repeated."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[:300]), " ".join(words[100:])]
+    for width in (64, 1_024, 1 << 20):
+        shape = substring_dedup.Shape(50, width, 48, 2)
+        sent = [substring_dedup.unit_sketch(u, [t], shape).to_pylist() for u, t in enumerate(texts)]
+        replies = {0: [], 1: []}
+        for shard in {r["shard"] for rows in sent for r in rows}:
+            both = [tuple(r.values()) for rows in sent for r in rows if r["shard"] == shard]
+            for row in substring_dedup.merged_sketch(substring_dedup.pieces(both), shape).to_pylist():
+                replies[row["unit"]].append(tuple(row.values()))
+        found = [
+            substring_dedup.Candidates([u], [t], substring_dedup.pieces(replies[u]), shape)
+            for u, t in enumerate(texts)
+        ]
+        assert set(found[0].start) >= set(range(100, 251)) and set(found[1].start) >= set(range(151))
+        if width == 1 << 20:
+            assert len(found[0].start) < 160
+
+
 def test_urls(spark):
     entries = spark.createDataFrame(
         [("bad.com", 5, True), ("bad.com", 9, False), ("bad.com", 5, False), ("bad.com", 20, True),
