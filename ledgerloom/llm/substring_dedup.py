@@ -42,7 +42,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, mixed, run_hashes, word_hashes_of
 
 WINDOW = 50
-UNIT = 8_000_000
+UNIT = 4_000_000
 SHARD = 1 << 25
 LEAST_WIDTH = 1 << 10
 ROWS = 2
