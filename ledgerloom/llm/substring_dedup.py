@@ -28,16 +28,15 @@ share a unit); no rows give no rows. Other columns are ignored, or kept by `dedu
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from ledgerloom.llm.hashing import BYTE_BASE, WORD_BASE, Powers, mixed, run_hashes, word_hashes_of
 
@@ -51,6 +50,9 @@ ROWS = 2
 SECOND_BASE = 0xA0761D6478BD642F
 SEEDS = (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3))
 
+#: Texts and their starts (none: null) to columns of values.
+Derive = Callable[[list[str], list], list[pa.Array]]
+
 PIECES = "unit long, shard long, n long, body binary"
 
 
@@ -228,11 +230,15 @@ def later_starts(found: Candidates, replies: pa.Table, count: int) -> list[np.nd
     return [start[a:b] if a < b else None for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def with_starts(docs: DataFrame, shape: Shape) -> DataFrame:
-    """Rows with an id and a text, with `starts`: their windows that an earlier document has."""
+def derived(docs: DataFrame, shape: Shape, derive: Derive, kinds: StructType) -> DataFrame:
+    """Rows with an id and a text, without the text, and what `derive` makes of text and starts.
+
+    A text's starts are those of its windows that an earlier document has. The values are made where
+    the starts are found, so no second Python worker is held beside the first.
+    """
     units = docs.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shape.units)))
-    schema = StructType(list(docs.schema)).add("starts", ArrayType(IntegerType()))
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != "text"]
+    schema = StructType([docs.schema[c] for c in columns] + list(kinds))
 
     def unit_of(table: pa.Table) -> int:
         return table["unit"][0].as_py()
@@ -255,7 +261,9 @@ def with_starts(docs: DataFrame, shape: Shape) -> DataFrame:
 
     def finish(texts: pa.Table, replies: pa.Table) -> pa.Table:
         starts = later_starts(candidates(texts, replies), step(replies, 2), len(texts))
-        return texts.select(columns).append_column("starts", pa.array(starts, pa.list_(pa.int32())))
+        values = derive(texts["text"].to_pylist(), starts)
+        kept = [texts[c] for c in columns]
+        return pa.Table.from_arrays([*kept, *values], names=schema.names)
 
     # The units are asked for three times in one plan, so Spark moves the texts once.
     sketches = units.groupBy("unit").applyInArrow(sketch, PIECES)
@@ -278,59 +286,66 @@ def kept_words(text: str | None, starts, window: int) -> tuple[list[bytes], int]
     return [w for w, gone in zip(words, covered, strict=True) if not gone], len(words)
 
 
-def with_windows(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, shard: int = SHARD) -> DataFrame:
-    """All rows and columns of `docs` with `starts` (null: no word goes)."""
+def divided(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that may hold windows, and all others, which keep every word."""
     # So many words have so many characters and the spaces between them.
-    long_enough = F.col("doc_id").isNotNull() & (F.length("text") >= 2 * window - 1)
-    long_enough = F.coalesce(long_enough, F.lit(False))
-    some, rest = docs.filter(long_enough), docs.filter(~long_enough)
-    found = with_starts(some, shape_of(some, window, unit, shard))
-    return found.unionByName(rest.withColumn("starts", F.lit(None).cast("array<int>")))
+    some = F.col("doc_id").isNotNull() & (F.length("text") >= 2 * window - 1)
+    some = F.coalesce(some, F.lit(False))
+    return docs.filter(some), docs.filter(~some)
 
 
 def digests(docs: DataFrame, window: int = WINDOW, unit: int = UNIT, shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the words kept, for every row."""
 
-    @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
-    def digest(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts in batches:
-            rows = []
-            for text, at in zip(texts, starts, strict=True):
-                kept, count = kept_words(text, at, window)
-                said = hashlib.sha256(b" ".join(kept)).hexdigest()
-                rows.append((count, count - len(kept), said))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
+    def digest(texts: list[str | None], starts: list) -> list[pa.Array]:
+        rows = []
+        for text, at in zip(texts, starts, strict=True):
+            kept, count = kept_words(text, at, window)
+            rows.append((count, count - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+        columns = zip(*rows, strict=True) if rows else ((), (), ())
+        kinds = (pa.int64(), pa.int64(), pa.string())
+        return [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
+
+    some, rest = divided(docs.select("doc_id", "text"), window)
+    kinds = (
+        StructType().add("n_words", LongType()).add("n_removed", LongType())
+        .add("kept_sha256", StringType())
+    )
+    found = derived(some, shape_of(some, window, unit, shard), digest, kinds)
+    names, schema = found.columns, found.schema
 
-    found = with_windows(docs.select("doc_id", "text"), window, unit, shard)
-    return found.select("doc_id", digest("text", "starts").alias("d")).select("doc_id", "d.*")
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = digest(batch["text"].to_pylist(), [None] * len(batch))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *values], names=names)
+
+    return found.unionByName(rest.mapInArrow(short, schema))
 
 
 def deduplicated_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows and columns of `docs`; texts that lose words keep the others, single-spaced."""
 
-    @F.pandas_udf("string")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, starts in batches:
-            yield pd.Series(
-                [
-                    b" ".join(kept_words(text, at, window)[0]).decode("utf-8", "surrogatepass")
-                    for text, at in zip(texts, starts, strict=True)
-                ],
-                dtype=object,
-            )
+    def cut(texts: list[str], starts: list) -> list[pa.Array]:
+        new = [
+            text if at is None
+            else b" ".join(kept_words(text, at, window)[0]).decode("utf-8", "surrogatepass")
+            for text, at in zip(texts, starts, strict=True)
+        ]
+        return [pa.array(new, pa.string()), pa.array([at is not None for at in starts], pa.bool_())]
 
     named = [f"c{i}" for i in range(len(docs.columns))]
     others = [(c, n) for c, n in zip(docs.columns, named, strict=True) if c != "text"]
     row = F.struct(*(F.col(f"`{c}`").alias(n) for c, n in others))
-    held = docs.select("doc_id", "text", row.alias("row"))
-    found = with_windows(held, window)
-    text = F.when(F.col("starts").isNull(), F.col("text")).otherwise(cut("text", "starts"))
-    found = found.withColumn("new_text", text)
+    some, rest = divided(docs.select("doc_id", "text", row.alias("row")), window)
+    kinds = StructType().add("new_text", StringType()).add("changed", BooleanType())
+    found = derived(some, shape_of(some, window, UNIT, SHARD), cut, kinds).unionByName(
+        rest.select("doc_id", "row", F.col("text").alias("new_text"), F.lit(False).alias("changed"))
+    )
     values = {c: F.col("new_text") for c in docs.columns} | {
         c: F.col(f"row.{n}") for c, n in others
     }
     if "n_chars" in values:
         values["n_chars"] = F.when(
-            F.col("starts").isNull(), values["n_chars"]
-        ).otherwise(F.length("new_text").cast("long"))
+            F.col("changed"), F.length("new_text").cast("long")
+        ).otherwise(values["n_chars"])
     return found.select(*(v.alias(c) for c, v in values.items()))
