@@ -23,8 +23,8 @@ The boundary is chosen by cost from the histogram of sizes. Lists are light or h
   may be similar into clusters, then with whole sets, once for each cluster.
 
 Links that join no two components yet are all that is looked for, so large groups are not expanded
-into all pairs; every link between components is found. Sets are compared by 63-bit values of their
-shingles, nodes by 64-bit hashes of their sets.
+into all pairs; every link between components is found. Sets are compared by values of their
+shingles (a rank above 56 bits of hash), nodes by 64-bit hashes of their sets.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; texts with fewer
 words than a shingle are one shingle; rows that repeat an id are rows of their own; a null id comes
