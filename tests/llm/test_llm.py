@@ -552,3 +552,18 @@ def test_pipeline(spark):
     packed = spark_entry.queries()["pipeline"](spark, SF)
     assert packed.filter("length > 1024 OR offset + length > 1024").count() == 0
     assert 0 < packed.select("doc_id").distinct().count() <= 200
+
+
+def test_trusted_target_is_whole(spark):
+    """More documents labelled good than the list of broadcast ids holds: all of them are counted."""
+    rows = [(i, f"word{i} and") for i in range(60)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    trusted = quality_rules.trusted_sample(labels, 10)
+    for threshold in ("-1", "10MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            counts = quality_rules.ngram_counts(docs, trusted).agg(F.sum("raw"), F.sum("target")).first()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert tuple(counts) == (3 * 60 + 3, 3 * 60)
