@@ -556,9 +556,9 @@ def test_pipeline(spark):
 
 def test_trusted_target_is_whole(spark):
     """More documents labelled good than the list of broadcast ids holds: all of them are counted."""
-    rows = [(i, f"word{i} and") for i in range(60)] + [(None, "no id")]
+    rows = [(i * i - 70, f"word{i} and") for i in range(60)] + [(None, "no id"), (5_000, "no label")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    labels = docs.filter("doc_id < 5000").selectExpr("doc_id", "1 AS quality", "0 AS toxic")
     trusted = quality_rules.trusted_sample(labels, 10)
     for threshold in ("-1", "10MB"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -566,4 +566,46 @@ def test_trusted_target_is_whole(spark):
             counts = quality_rules.ngram_counts(docs, trusted).agg(F.sum("raw"), F.sum("target")).first()
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        assert tuple(counts) == (3 * 60 + 3, 3 * 60)
+        assert tuple(counts) == (3 * 60 + 6, 3 * 60)
+
+
+def test_threshold_of_all_labelled(spark):
+    """The threshold is that of all labelled documents, each good one scored without its own n-grams."""
+    draw = np.random.default_rng(3)
+    rows = []
+    for i in range(2_600):
+        first = 0 if i % 2 else 60
+        rows.append((i, " ".join(f"w{w}" for w in draw.integers(first, first + 400, 50 + i % 7))))
+    rows += [rows[1], (None, rows[1][1]), (9_999, rows[4][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2_600)], "doc_id long, quality int")
+    weights, marks = quality_rules.fit(docs, labels), common.saved(quality_rules.label_marks(labels))
+    scored = quality_rules.scored(docs, marks, weights)
+    assert scored.count() == len(rows) and scored.filter("good IS NULL").count() == 2
+    found = quality_rules.calibrated_threshold(scored, marks)
+
+    grams = quality_rules.ngram_buckets("hashes", quality_rules.BUCKETS)
+    of = [(r.doc_id, r.grams) for r in quality_rules.with_words(docs).select("doc_id", grams.alias("grams")).collect()]
+    raw, target = Counter(), Counter()
+    for i, own in of:
+        raw.update(own)
+        if i is not None and i < 2_600 and i % 2:
+            target.update(own)
+    n, m, pull = raw.total(), target.total(), quality_rules.PULL
+    ratios = {}
+    for i, own in of:
+        if i is None or i >= 2_600:
+            continue
+        count = Counter(own)
+        ratios[i] = sum(
+            c * round((np.log((max(target[b] - c * (i % 2), 0) + pull * raw[b] / n) / (m + pull)) - np.log(raw[b] / n)) * 1e6)
+            for b, c in count.items()
+        ) / len(own)
+    failed = {r.doc_id for r in scored.filter("base_failed").collect()}
+    at = [i for i in sorted(ratios) if i not in failed]
+    ratio, good = np.array([ratios[i] for i in at]), np.array([i % 2 == 1 for i in at])
+    assert len(at) > 2_500 and abs(found - quality_rules.best_threshold(ratio, good)) <= 2
+    # The same of a table and of arrays, ties included.
+    for r in (ratio, np.round(ratio, -4), -ratio):
+        points = spark.createDataFrame([(float(x), bool(g)) for x, g in zip(r, good, strict=True)], "ratio double, good boolean")
+        assert quality_rules.threshold_of(points) == quality_rules.best_threshold(r, good)
