@@ -609,3 +609,21 @@ def test_threshold_of_all_labelled(spark):
     for r in (ratio, np.round(ratio, -4), -ratio):
         points = spark.createDataFrame([(float(x), bool(g)) for x, g in zip(r, good, strict=True)], "ratio double, good boolean")
         assert quality_rules.threshold_of(points) == quality_rules.best_threshold(r, good)
+
+
+def test_toxicity_learns_from_all(spark, monkeypatch):
+    """Every labelled text is learned from, in several shards, and long ones whole."""
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    monkeypatch.setattr(toxicity, "STEPS", 60)
+    long = "calm " * 4_000
+    rows = [(i, f"{'vile' if i % 2 else 'nice'} word{i % 9}" if i % 10 else long, "en") for i in range(600)]
+    docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 2 and i % 10)) for i in range(600)], "doc_id long, toxic int")
+    texts = toxicity.labelled_texts(docs, labels.selectExpr("doc_id", "cast(toxic > 0 as int) AS toxic"))
+    assert texts.count() == 601 and texts.select("shard").distinct().count() > 5
+    assert texts.filter("size(symbols) = 4000").count() == 60
+    net = toxicity.trained(texts)
+    kept_out = toxicity.kept_out_scores(texts, net).toPandas()
+    assert 100 <= kept_out[["clean", "toxic"]].to_numpy().sum() <= 120
+    found = toxicity.score_documents(docs, net).toPandas()
+    assert ((found["score"] >= 0.5) == found["text"].str.startswith("vile")).all()
