@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 from decimal import Decimal
 
@@ -363,3 +364,14 @@ def test_near_matches_keep_ten_per_key(spark):
     got = scope.near_matches(lines, wanted)
     assert [r["line_id"] for r in got.orderBy("line_id").collect()] == list(range(10))
     assert "WindowGroupLimit" in got._jdf.queryExecution().toString()
+
+
+def test_shuffles_begin_with_many_partitions(spark):
+    """What one task sorts and groups does not depend on the session's few shuffle partitions."""
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    df = spark.range(1_000).selectExpr("id % 70 AS k", "id", "id % 3 AS v")
+    first = match.first_per_key(df, ["k"], ["id"])
+    assert re.search(r"hashpartitioning\(k#\d+L, 1024\)", first._jdf.queryExecution().executedPlan().toString())
+    assert rows(first) == sorted(((k, k, k % 3) for k in range(70)), key=repr)
+    # Small partitions are merged again.
+    assert first.rdd.getNumPartitions() <= 16
