@@ -611,6 +611,36 @@ def test_threshold_of_all_labelled(spark):
         assert quality_rules.threshold_of(points) == quality_rules.best_threshold(r, good)
 
 
+def test_only_texts_with_repeats_are_sorted(spark):
+    """Windows are packed and sorted in texts that have one twice; the counts are those of plain Python."""
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in draw.integers(0, most, n)) for most in (2, 5, 400) for n in (0, 1, 2, 3, 4, 9, 60)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id long, text string")
+    found = quality_rules.with_repeated_words(quality_rules.with_words(docs)).collect()
+    assert len(found) == len(texts) + 1
+    for r in found:
+        words = (r.text or "").split()
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        count = Counter(windows)
+        covered = {j for i, w in enumerate(windows) if count[w] > 1 for j in range(i, i + 3)}
+        assert r.n_repeat_words == len(covered)
+        assert len(r.packed) == (len(windows) if covered else 0)
+
+
+def test_weights_without_own(spark):
+    """The weight without an n-gram, from the counts, is the one of the table of weights."""
+    rows = [(i, f"a{i % 7} b{i % 5} c{i % 3} d") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    weights = quality_rules.fit(docs, labels)
+    table = quality_rules.ngram_weights(quality_rules.ngram_counts(docs, quality_rules.trusted_sample(labels)))
+    assert set(table.columns) == {"bucket", "raw", "target", "weight", "weight_without", "all_raw", "all_target"}
+    bucket = F.col("bucket")
+    one = weights.without(bucket, F.lit(1).cast("long"))
+    for r in table.select("*", one.alias("one"), F.get(weights.weight, bucket).alias("w")).collect():
+        assert (r.one, r.w) == (r.weight_without, r.weight)
+
+
 def test_toxicity_learns_from_all(spark, monkeypatch):
     """Every labelled text is learned from, in several shards, and long ones whole."""
     monkeypatch.setattr(toxicity, "SHARD", 100)
