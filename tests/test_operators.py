@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as spark_entry
 from ledgerloom.functions import text
 from ledgerloom.operators import golden, load, match, quality, reshape, rollup, scope
 from ledgerloom.operators.scope import ScopeParams
@@ -366,12 +367,19 @@ def test_near_matches_keep_ten_per_key(spark):
     assert "WindowGroupLimit" in got._jdf.queryExecution().toString()
 
 
-def test_shuffles_begin_with_many_partitions(spark):
-    """What one task sorts and groups does not depend on the session's few shuffle partitions."""
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
-    df = spark.range(1_000).selectExpr("id % 70 AS k", "id", "id % 3 AS v")
-    first = match.first_per_key(df, ["k"], ["id"])
-    assert re.search(r"hashpartitioning\(k#\d+L, 1024\)", first._jdf.queryExecution().executedPlan().toString())
-    assert rows(first) == sorted(((k, k, k % 3) for k in range(70)), key=repr)
-    # Small partitions are merged again.
-    assert first.rdd.getNumPartitions() <= 16
+def test_shuffles_begin_with_more_partitions_on_larger_tables(spark, folder):
+    """What one task sorts and groups does not grow with the tables under the session's few partitions."""
+    query = spark_entry._configured(
+        lambda s, _: match.first_per_key(s.range(1_000).selectExpr("id % 70 AS k", "id", "id % 3 AS v"), ["k"], ["id"])
+    )
+    try:
+        for size, partitions in ((0, 8), (100 << 20, 100)):
+            with open(f"{folder}/table", "wb") as f:
+                f.truncate(size)
+            first = query(spark, folder)
+            plan = first._jdf.queryExecution().executedPlan().toString()
+            assert re.search(rf"hashpartitioning\(k#\d+L, {partitions}\)", plan)
+            assert rows(first) == sorted(((k, k, k % 3) for k in range(70)), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
