@@ -641,6 +641,23 @@ def test_weights_without_own(spark):
         assert (r.one, r.w) == (r.weight_without, r.weight)
 
 
+def test_weights_stay_out_of_plans(spark, monkeypatch):
+    """No plan spells out the weights, and no row carries their arrays along."""
+    rows = [(i, " ".join(f"w{i * j % 97} a" for j in range(60))) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    plans, saved = [], quality_rules.saved
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return saved(df)
+
+    monkeypatch.setattr(quality_rules, "saved", noted)
+    assert quality_rules.kept_documents(docs, labels).count() <= 41
+    assert any("own_sum" in p for p in plans) and max(map(len, plans)) < 100_000
+    assert not any(re.search(r"Subquery subquery#\d+, \[id=#\d+\] AS", p) for p in plans)
+
+
 def test_toxicity_learns_from_all(spark, monkeypatch):
     """Every labelled text is learned from, in several shards, and long ones whole."""
     monkeypatch.setattr(toxicity, "SHARD", 100)
