@@ -316,6 +316,23 @@ def test_language_kept(spark, docs):
     assert 0.35 < language_id.least_score(scores[:3], 4) < 0.5
 
 
+def test_language_score_of_all(monkeypatch, spark):
+    """Every held-out text counts once; the quantile is that of all rightly identified ones."""
+    by_text = F.struct(F.lit("en").alias("lang_pred"), F.col("text").cast("double").alias("score"))
+    monkeypatch.setattr(language_id, "predict", lambda docs, model: docs.select("*", by_text.alias("identified")))
+    model = type("Model", (), {"languages": ["de", "en"]})
+    draw = np.random.default_rng(1)
+    for scores in (
+        0.6 + 0.4 * draw.random(9_000) ** 2, 1 - draw.random(9_000) * 1e-13, np.full(9_000, 1.0), draw.random(19),
+        np.concatenate([np.zeros(1), np.full(20, 0.5), draw.random(5_000)]), np.zeros(0),
+    ):
+        rows = [(repr(float(x)), "en") for x in scores] * 2
+        rows += [("0.01", "de"), (None, "en"), ("0.02", None)]
+        held_out = spark.createDataFrame(rows, "text string, lang string")
+        expected = language_id.least_score(np.unique(scores), 2)
+        assert language_id.calibrated_score(held_out, model) == pytest.approx(expected, abs=1e-15)
+
+
 def test_many_languages(spark):
     rows = [(f"text {i} of {i % 250}", f"l{i % 250}") for i in range(10_000)] + [("", "none")]
     rows += [("a rare text", "rare")] * 3 + [("one", "once")]
