@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -151,14 +153,21 @@ def scenario_key_columns() -> dict[str, Column]:
     }
 
 
-def distinct_scenarios(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """AGG2 + WIN1: one row per (contract, frequency, hours, price), the first by all columns."""
+def first_scenarios(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """AGG2 + WIN1: one row per (contract, frequency, hours, price), the first by all columns.
+
+    ``columns`` are those wanted besides the keys, by default all.
+    """
     rolled = rollup.scenario_rollup(lines).withColumn(
         "price", F.coalesce(F.col("price"), F.lit(0).cast("decimal(18,2)"))
     )
-    first = match.first_per_key(
-        rolled, ["contract_id", "frequency", "hours", "price"], []
+    return match.first_per_key(
+        rolled, ["contract_id", "frequency", "hours", "price"], [], columns
     ).withColumnRenamed("contract_id", "contract_legacy_id")
+
+
+def with_scenario_keys(first: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows of ``first_scenarios`` with their numbers, id and normalised keys."""
     return with_line_numbers(first, strict).withColumns(
         {
             "scenario_id": keys.surrogate_key(
@@ -170,6 +179,11 @@ def distinct_scenarios(lines: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def distinct_scenarios(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """AGG2 + WIN1: the scenarios of the lines with their keys."""
+    return with_scenario_keys(first_scenarios(lines), strict)
+
+
 def unknown_tasks(scenarios: DataFrame, task_rows: DataFrame) -> DataFrame:
     """VAL3: task names of scenarios without a task row; a missing name counts as unknown."""
     spelled = scenarios.select("task_name").distinct()
@@ -177,6 +191,31 @@ def unknown_tasks(scenarios: DataFrame, task_rows: DataFrame) -> DataFrame:
     return match.without(names, task_rows, ["name"])
 
 
+def billed_scenarios(
+    lines: DataFrame,
+    contract_billing_rows: DataFrame,
+    params: ScopeParams,
+    strict: bool = False,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Scenarios of contracts with a billing that name a task, with their key columns.
+
+    ``columns`` are those of the first line wanted besides, by default all; the task's name is always
+    one. What only makes keys of the scenarios needs no other, and moves and sorts none then. The keys
+    are made after the join, so they are not moved either.
+    """
+    wanted = None if columns is None else ["task_name", *columns]
+    scenarios = first_scenarios(in_scope(lines, params), wanted)
+    scenarios = sample(scenarios, params, "contract_legacy_id", "frequency", "hours", "price")
+    billed = scenarios.join(contract_billing_rows, "contract_legacy_id")
+    tasked = with_scenario_keys(billed, strict).withColumn("_task", text.task_name(F.col("task_name"))).filter(
+        F.col("_task").isNotNull()
+    )
+    return tasked.withColumn(
+        "frequency_label", codes.frequency_label(F.col("frequency_number"))
+    )
+
+
 def keyed_scenarios(
     lines: DataFrame,
     contract_billing_rows: DataFrame,
@@ -189,19 +228,13 @@ def keyed_scenarios(
     The task's id is computed from its name, as the tasks come from the same lines; names without a
     task stop the run before (VAL3).
     """
-    scenarios = distinct_scenarios(in_scope(lines, params), strict)
-    scenarios = sample(scenarios, params, "contract_legacy_id", "frequency", "hours", "price")
-    billed = scenarios.join(contract_billing_rows, "contract_legacy_id")
-    tasked = billed.withColumn("_task", text.task_name(F.col("task_name"))).filter(
-        F.col("_task").isNotNull()
-    )
+    tasked = billed_scenarios(lines, contract_billing_rows, params, strict)
     created = dates.first_timestamp(run_ts, F.col("line_created_at"))
     return tasked.withColumns(
         {
             "id": F.col("scenario_id"),
             "legacy_id": F.lit(0),
             "promoter_task_id": keys.surrogate_key("promoter_task", F.col("_task")),
-            "frequency_label": codes.frequency_label(F.col("frequency_number")),
             "hour_value": F.col("rate_key"),
             "start_date": dates.first_day(run_ts, F.col("start_day"), F.col("line_created_at")),
             "end_date": F.col("notice_day"),
@@ -224,9 +257,7 @@ def contract_scenarios(keyed: DataFrame) -> DataFrame:
 def scenario_key_map(keyed: DataFrame) -> DataFrame:
     """JOI5: four-column key -> scenario; of several scenarios on a key the smallest price wins."""
     return keyed.groupBy(*SCENARIO_KEY).agg(
-        F.min_by(
-            F.struct("scenario_id", "frequency_label"), F.struct("price", "scenario_id")
-        ).alias("_s")
+        F.min(F.struct("price", "scenario_id", "frequency_label")).alias("_s")
     ).select(*SCENARIO_KEY, "_s.scenario_id", F.col("_s.frequency_label").alias("frequency"))
 
 
@@ -237,16 +268,14 @@ def keyed_lines(lines: DataFrame, params: ScopeParams, strict: bool = False) ->
     return numbered.withColumns(scenario_key_columns())
 
 
-def contract_scenario_stores(
+def linked_lines(
     lines: DataFrame,
-    line_flags: DataFrame,
     key_rows: DataFrame,
     store_rows: DataFrame,
     params: ScopeParams,
-    run_ts: str,
     strict: bool = False,
 ) -> DataFrame:
-    """PIP20: every line in scope with its scenario and its store.
+    """Every line in scope with its scenario and its store.
 
     Lines whose key has no scenario, whose frequency the scenario's label does not stand for, or
     whose store is not loaded are left out; ``quality.line_rejects`` lists them.
@@ -260,7 +289,14 @@ def contract_scenario_stores(
         "legacy_store_id", "store_id",
     )
     fits = F.array_contains(codes.frequency_texts(F.col("frequency")), F.col("frequency_key"))
-    linked = stored.join(key_rows, list(SCENARIO_KEY)).filter(fits)
+    return stored.join(key_rows, list(SCENARIO_KEY)).filter(fits).select(
+        "contract_legacy_id", "line_id", "scenario_id", "store_id", "start_at", "line_created_at",
+        "line_updated_at",
+    )
+
+
+def scenario_store_rows(linked: DataFrame, line_flags: DataFrame, run_ts: str) -> DataFrame:
+    """PIP20 of ``linked_lines``."""
     flagged = match.left_lookup(linked, line_flags.select("line_id", "active"), ["line_id"])
     created = dates.first_timestamp(run_ts, F.col("line_created_at"))
     rows = flagged.select(
@@ -278,6 +314,20 @@ def contract_scenario_stores(
     return conform(rows, "contract_scenario_stores")
 
 
+def contract_scenario_stores(
+    lines: DataFrame,
+    line_flags: DataFrame,
+    key_rows: DataFrame,
+    store_rows: DataFrame,
+    params: ScopeParams,
+    run_ts: str,
+    strict: bool = False,
+) -> DataFrame:
+    """PIP20: every line in scope with its scenario, its store and its flag."""
+    linked = linked_lines(lines, key_rows, store_rows, params, strict)
+    return scenario_store_rows(linked, line_flags, run_ts)
+
+
 def line_rejects(
     lines: DataFrame, key_rows: DataFrame, store_rows: DataFrame, params: ScopeParams
 ) -> DataFrame:

@@ -8,11 +8,13 @@ from ledgerloom.functions import codes
 from ledgerloom.operators import load, match, quality
 from ledgerloom.operators.scope import billing_scope
 from ledgerloom.plans import billing, contracts, customers, legacy_clients, stores, users
+from ledgerloom.session import staged
 from ledgerloom.sources import sheet as sheets
 from standin import record_checks as records
 from standin import rules as r
 from standin import scope_checks as scopes
 from standin.registry import PARAMS, check, scoped, shared
+from standin.store_checks import folder_of
 
 V = scopes.V
 UPDATED = "coalesce(updated_at, created_at) AS updated_at"
@@ -460,10 +462,20 @@ def contract_scenarios(t):
     LEFT JOIN {{line_flags}} f ON f.line_id = l.line_id WHERE {scopes.FITS}""",
 )
 def contract_scenario_stores(t):
-    """PIP20. The column without any value is left out."""
-    return contracts.contract_scenario_stores(
-        t["contract_lines"], t["line_flags"], contracts.scenario_key_map(keyed(t)), store_rows(t),
-        PARAMS, r.RUN_TS,
+    """PIP20. The column without any value is left out.
+
+    Keys of scenarios and stores are tables of steps before, as in a run, and so are the linked lines:
+    the disk holds the shuffles of one step at a time.
+    """
+    folder = folder_of(t)
+    stored = staged(match.key_map(store_rows(t)), f"{folder}/stores")
+    billed = contracts.billed_scenarios(
+        t["contract_lines"], contract_billings(t), PARAMS, columns=[]
+    )
+    key_rows = staged(contracts.scenario_key_map(billed), f"{folder}/scenario_keys")
+    linked = contracts.linked_lines(t["contract_lines"], key_rows, stored, PARAMS)
+    return contracts.scenario_store_rows(
+        staged(linked, f"{folder}/linked"), t["line_flags"], r.RUN_TS
     ).drop("closed_at")
 
 

@@ -73,6 +73,21 @@ def test_first_per_key_with_hot_key(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_first_per_key_of_some_columns(spark):
+    """The columns asked for are those of the whole first row, and no others are moved."""
+    random.seed(4)
+    data = [tuple(random.choice([None, *range(4)]) for _ in range(5)) for _ in range(2_000)]
+    df = spark.createDataFrame(data, "k int, a int, b int, c int, d int")
+    for order in ([], ["c"]):
+        for columns in ([], ["a"], ["b"], ["d", "a"], ["a", "b", "c", "d"]):
+            some = match.first_per_key(df, ["k"], order, columns)
+            kept = [c for c in df.columns if c == "k" or c in columns]
+            assert some.columns == kept
+            assert rows(some) == rows(match.first_per_key(df, ["k"], order).select(*kept))
+    plan = match.first_per_key(df.select("k", "a", "b"), ["k"], [], ["a"])._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"named_struct\([^)]*\bb\b", plan)
+
+
 def test_first_per_key_nulls_last(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (2, None, "c")], "k int, o int, v string")
     got = match.first_per_key(df, ["k"], list(match.nulls_last("o")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from conftest import SF
+from ledgerloom import session
 from standin.checks import QUERIES
 from ledgerloom.operators import load, match, rollup, scope
 from ledgerloom.plans import contracts, customers
@@ -197,3 +198,46 @@ def test_ids_are_computed_not_joined(spark, name, most):
     """Ids of other tables are hashes of natural keys, so the lines behind those tables stay unread."""
     plan = plan_of(spark_entry.queries()[name](spark, SF))
     assert plan.count("lineitem.parquet") <= most
+
+
+def test_staged_rows_leave_no_shuffle_files(spark, tmp_path):
+    """The disk holds the shuffles of one step of a query, not of all steps before."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {str(b) for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllBlocks())}
+
+    before = shuffled()
+    counts = spark.range(1_000).groupBy((F.col("id") % 70).alias("k")).agg(F.max("id").alias("most"))
+    found = session.staged(counts, str(tmp_path / "counts"))
+    assert shuffled() <= before
+    assert {(r.k, r.most) for r in found.collect()} == {(k, max(range(k, 1_000, 70))) for k in range(70)}
+    # Of the lines only the flags are still to be read.
+    plan = plan_of(spark_entry.queries()["contract_scenario_stores"](spark, SF))
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 0
+
+
+def test_scenario_keys_move_no_other_columns(spark, tables, no_broadcast):
+    """The key map of slim scenarios is that of whole ones, also with empty and repeated values."""
+    day = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    pick = lambda n, *values: F.element_at(F.array(*map(F.lit, values)), (F.hash("id", F.lit(n)) % len(values) + len(values)) % len(values) + 1)
+    lines = spark.range(4_000).select(
+        (F.col("id") % 40).alias("contract_id"), pick(1, None, 1, 2).cast("bigint").alias("customer_id"),
+        pick(2, None, "x", "1", "1.0", "2").alias("frequency"), pick(3, None, "8", "8,0", "n/d").alias("hours"),
+        pick(4, None, "0", "10", "20").cast("decimal(18,2)").alias("price"),
+        pick(5, None, " ", "Estoque", "Validade").alias("task_name"), pick(6, None, "a", "b").alias("customer_name"),
+        pick(7, None, 6, 7).cast("int").alias("status"), pick(8, None, 1, 2).cast("bigint").alias("task_id"),
+        day.alias("start_at"), day.alias("notice_at"), day.alias("line_created_at"), day.alias("line_updated_at"),
+    )
+    billed = spark.range(30).selectExpr(
+        "id AS contract_legacy_id", "cast(id AS string) AS contract_id", "cast(id AS string) AS billing_id"
+    )
+    params = scope.ScopeParams()
+    whole = contracts.scenario_key_map(contracts.keyed_scenarios(lines, billed, params, "2024-01-01 00:00:00"))
+    slim = contracts.scenario_key_map(contracts.billed_scenarios(lines, billed, params, columns=[]))
+    expected = sorted(map(tuple, whole.collect()), key=repr)
+    assert len(expected) > 100 and sorted(map(tuple, slim.collect()), key=repr) == expected
+    # What only the scenario table has is no part of the rows that are ranked, and ids are made after the join.
+    plan = slim._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(line_created_at" not in plan and not re.search(r"struct\(task_name, task_name#\d+, ", plan)
+    assert "scenario_id" not in plan[plan.index("Join Inner"):]
