@@ -333,6 +333,15 @@ def test_language_score_of_all(monkeypatch, spark):
         assert language_id.calibrated_score(held_out, model) == pytest.approx(expected, abs=1e-15)
 
 
+def test_held_out_texts_are_predicted_once(monkeypatch, spark, docs):
+    plans, none = [], spark.createDataFrame([], "score double")
+    monkeypatch.setattr(
+        language_id, "saved", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or none
+    )
+    language_id.calibrated_score(docs, type("Model", (), {"languages": ["de", "en"]}))
+    assert plans[0].count("ArrowEvalPython") == 1
+
+
 def test_many_languages(spark):
     rows = [(f"text {i} of {i % 250}", f"l{i % 250}") for i in range(10_000)] + [("", "none")]
     rows += [("a rare text", "rare")] * 3 + [("one", "once")]
